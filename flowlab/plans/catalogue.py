@@ -242,4 +242,3 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iterate_until": q_iterate_until,
 }
 
-ALL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(BATCH_QUERIES)

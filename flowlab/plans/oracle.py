@@ -154,3 +154,21 @@ WITH RECURSIVE it(l_orderkey, l_linenumber, n, steps) AS (
   FROM it WHERE n <> 10)
 SELECT l_orderkey, l_linenumber, n, steps FROM it WHERE n = 10""",
 }
+
+ORACLE_SQL.update({
+    "group_sum_stream": ORACLE_SQL["group_sum"],
+    "anti_broadcast_stream": """
+SELECT event_id, user_id, event_type FROM events e
+WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.value > 250)""",
+    "tumbling_stream": ORACLE_SQL["tumbling"],
+    "sliding_global_stream": ORACLE_SQL["sliding_global"],
+    "session_global_stream": ORACLE_SQL["session_global"],
+    "session_watermark_stream": f"""
+SELECT * FROM ({_sessions(5 * 60_000_000, keyed=False)}) s
+WHERE s.session_end <= (SELECT max(ts) FROM events) - INTERVAL 3500 MILLISECOND""",
+    "count_window_10_stream": ORACLE_SQL["count_window_10"],
+    "state_snapshot": """
+SELECT user_id, count(*) % 10 AS leftover FROM events GROUP BY user_id HAVING count(*) % 10 <> 0""",
+    "recovered_stream": ORACLE_SQL["count_window_10"],
+    "batched_sink_stream": ORACLE_SQL["batched_sink"],
+})
