@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("sum", "count", "min", "max", "first")
 _CHUNK = "_fl_chunk"
+_KEY = "_fl_key"
 
 
 def _as_list(keys) -> list[str]:
@@ -122,21 +123,26 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
 
     if chunk_width is None:
         chunk_width = auto_chunk_width(df, order)
-    d = df.withColumn(_CHUNK, F.floor(F.col(order) / F.lit(chunk_width)).cast("bigint"))
-
-    w_in = Window.partitionBy(*keys, _CHUNK).orderBy(order) \
+    # One struct key: never null itself (null fields compare equal), so rows
+    # with a null key are kept by the inner join below, and the join reuses
+    # the window's partitioning on (key, chunk) instead of shuffling again.
+    key = F.struct(*keys) if keys else F.lit(0)
+    d = df.withColumn(_KEY, key).withColumn(
+        _CHUNK, F.floor(F.col(order) / F.lit(chunk_width)).cast("bigint"))
+
+    w_in = Window.partitionBy(_KEY, _CHUNK).orderBy(order) \
         .rowsBetween(Window.unboundedPreceding, frame_end)
     inner = d.select("*", *[_window_agg(k, e, w_in).alias(f"_fl_in_{n}") for n, (k, e) in aggs.items()])
 
-    totals = d.groupBy(*keys, _CHUNK).agg(
+    totals = d.groupBy(_KEY, _CHUNK).agg(
         *[_chunk_total(k, e, order).alias(f"_fl_t_{n}") for n, (k, e) in aggs.items()])
-    w_c = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    w_c = Window.partitionBy(_KEY).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
-        *keys, _CHUNK,
+        _KEY, _CHUNK,
         F.count(F.lit(1)).over(w_c).alias("_fl_nb"),
         *[_carry(k, F.col(f"_fl_t_{n}"), w_c).alias(f"_fl_c_{n}") for n, (k, _e) in aggs.items()])
 
-    joined = inner.join(carry, on=[*keys, _CHUNK], how="inner")
+    joined = inner.join(carry, on=[_KEY, _CHUNK], how="inner")
     out_cols = [F.col(c) for c in df.columns]
     for n, (k, _e) in aggs.items():
         out_cols.append(_combine(k, F.col(f"_fl_c_{n}"), F.col(f"_fl_in_{n}"), F.col("_fl_nb")).alias(n))
