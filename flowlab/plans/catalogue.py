@@ -211,6 +211,25 @@ def q_iterate_until(spark, sf):
     return iterate(li, step, lambda: F.col("n") == 10, max_iter=64)
 
 
+# ---------------------------------------------------------------- hot key
+# One key holding a third of all rows: every user with user_id % 3 = 0 is
+# folded into key 0.  Same operators; the skew-split scan spreads key 0
+# over many tasks.
+
+def _hot(df: DataFrame) -> DataFrame:
+    return df.withColumn("hot_user", F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("bigint"))
+                         .otherwise(F.col("user_id"))).drop("user_id")
+
+
+def q_rolling_sum_hot_key(spark, sf):
+    return rolling_sum(_hot(_events(spark, sf).drop("ts")), "hot_user", "event_id", "c", carry=["event_type"],
+                       name="sum_c").drop("event_type")
+
+
+def q_count_window_10_hot_key(spark, sf):
+    return count_window(_hot(_events(spark, sf)), "hot_user", "event_id", "c", size=COUNT_WINDOW)
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_project": q_filter_project,
     "parse_lines": q_parse_lines,
@@ -240,5 +259,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_window_10_list": q_count_window_10_list,
     "batched_sink": q_batched_sink,
     "iterate_until": q_iterate_until,
+    "rolling_sum_hot_key": q_rolling_sum_hot_key,
+    "count_window_10_hot_key": q_count_window_10_hot_key,
 }
 

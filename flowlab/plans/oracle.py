@@ -172,3 +172,25 @@ SELECT user_id, count(*) % 10 AS leftover FROM events GROUP BY user_id HAVING co
     "recovered_stream": ORACLE_SQL["count_window_10"],
     "batched_sink_stream": ORACLE_SQL["batched_sink"],
 })
+
+_HOT = ("(SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS hot_user, event_type, "
+        "CAST(round(value * 100) AS BIGINT) AS c FROM events)")
+
+ORACLE_SQL.update({
+    "rolling_sum_stream": ORACLE_SQL["rolling_sum"],
+    "count_trigger_5_stream": ORACLE_SQL["count_trigger_5"],
+    "count_window_10_list_stream": ORACLE_SQL["count_window_10_list"],
+    "sliding_keyed_stream": ORACLE_SQL["sliding_keyed"],
+    "session_keyed_stream": f"""
+SELECT * FROM ({_sessions(6 * 3_600_000_000, keyed=True)}) s
+WHERE s.session_end <= (SELECT max(ts) FROM events)""",
+    "rolling_sum_hot_key": f"""
+SELECT event_id, hot_user, c,
+       CAST(sum(c) OVER (PARTITION BY hot_user ORDER BY event_id {_ROWS}) AS BIGINT) AS sum_c,
+       first_value(event_type) OVER (PARTITION BY hot_user ORDER BY event_id {_ROWS}) AS first_event_type
+FROM {_HOT}""",
+    "count_window_10_hot_key": f"""
+SELECT hot_user, (rn - 1) // 10 AS window_no, CAST(sum(c) AS BIGINT) AS total
+FROM (SELECT hot_user, c, row_number() OVER (PARTITION BY hot_user ORDER BY event_id) AS rn FROM {_HOT})
+GROUP BY hot_user, (rn - 1) // 10 HAVING count(*) = 10""",
+})

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from flowlab.functions.exprs import cents
 from flowlab.operators.transforms import prefix_filter
-from flowlab.plans.catalogue import (COUNT_WINDOW, EXCLUDE_ABOVE, LATE_DELAY_US, SESSION_GAP_GLOBAL_US,
-                                     SINK_SHARDS, SINK_THRESHOLD)
+from flowlab.plans.catalogue import (COUNT_TRIGGER, COUNT_WINDOW, EXCLUDE_ABOVE, LATE_DELAY_US,
+                                     SESSION_GAP_GLOBAL_US, SESSION_GAP_USER_US, SINK_SHARDS, SINK_THRESHOLD)
 from flowlab.sources.tables import directory_stream, load_table, table_stream
-from flowlab.streaming.operators import (batched_sink_stream, count_window_stream, exclude_stream,
-                                         read_state, session_agg_stream, window_agg_stream, with_event_time)
+from flowlab.streaming.operators import (batched_sink_stream, count_trigger_stream, count_window_stream,
+                                         exclude_stream, read_state, rolling_stream, session_agg_stream,
+                                         window_agg_stream, with_event_time)
 from flowlab.streaming.runner import (LATE_PARITY_CONF, SESSION_CONF, STATEFUL_CONF, StreamRun,
                                       run_to_completion, run_with_restarts, start_stream)
 
@@ -142,6 +143,43 @@ def q_batched_sink_stream(spark, sf):
     return res.select("shard", "batch_no", "rows", "first_event_id", "last_event_id", "total")
 
 
+def q_rolling_sum_stream(spark, sf):
+    """R2 in emit-per-row form on a stream."""
+    q = rolling_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", "event_type", emit="row")
+    out = run_to_completion(spark, q, "rolling_sum_stream", "append", conf=STATEFUL_CONF)
+    return out.select("event_id", "user_id", "c", F.col("sum").alias("sum_c"), "first_event_type")
+
+
+def q_count_trigger_5_stream(spark, sf):
+    """W8 on a stream: running totals at every 5th event of a user."""
+    q = count_trigger_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", COUNT_TRIGGER, "event_type")
+    return run_to_completion(spark, q, "count_trigger_5_stream", "append", conf=STATEFUL_CONF)
+
+
+def q_count_window_10_list_stream(spark, sf):
+    """K2 on a stream: list state of the open group, emitted as text."""
+    q = count_window_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", COUNT_WINDOW, with_values=True)
+    out = run_to_completion(spark, q, "count_window_10_list_stream", "append", conf=STATEFUL_CONF)
+    return out.select("user_id", "window_no", "values", "total")
+
+
+def q_sliding_keyed_stream(spark, sf):
+    ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
+    agg = window_agg_stream(ev, "et", "2 hours", "1 hour", {"n": F.count(F.lit(1)), "sum_c": F.sum("c")},
+                            keys=["event_type"])
+    out = run_to_completion(spark, agg, "sliding_keyed_stream", "update", keys=["event_type", "window_start"])
+    return _ntz_bounds(out, "window_start", "window_end")
+
+
+def q_session_keyed_stream(spark, sf):
+    """W5 on a stream, append mode: sessions per user closed by the watermark."""
+    ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
+    agg = session_agg_stream(ev, "et", f"{SESSION_GAP_USER_US // 1_000_000} seconds",
+                             {"n": F.count(F.lit(1)), "sum_c": F.sum("c")}, keys=["user_id"])
+    out = run_to_completion(spark, agg, "session_keyed_stream", "append", conf=SESSION_CONF)
+    return _ntz_bounds(out, "session_start", "session_end")
+
+
 STREAM_QUERIES = {
     "group_sum_stream": q_group_sum_stream,
     "anti_broadcast_stream": q_anti_broadcast_stream,
@@ -153,4 +191,9 @@ STREAM_QUERIES = {
     "state_snapshot": q_state_snapshot,
     "recovered_stream": q_recovered_stream,
     "batched_sink_stream": q_batched_sink_stream,
+    "rolling_sum_stream": q_rolling_sum_stream,
+    "count_trigger_5_stream": q_count_trigger_5_stream,
+    "count_window_10_list_stream": q_count_window_10_list_stream,
+    "sliding_keyed_stream": q_sliding_keyed_stream,
+    "session_keyed_stream": q_session_keyed_stream,
 }
