@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.prefix import running
+from flowlab.operators.prefix import AUTO, running
 
 
 def with_event_time(df: DataFrame, col: str, name: str = "event_time", millis: bool = False) -> DataFrame:
@@ -35,7 +35,7 @@ def delayed_arrival(order: str, every: int, places: int) -> Column:
 
 
 def late_report(df: DataFrame, time_col: str, arrival: str, gap_us: int, delay_us: int,
-                chunk_width: int | None = None) -> DataFrame:
+                chunk_width: int | str | None = AUTO) -> DataFrame:
     """All rows with the watermark they met on arrival and a ``late`` flag."""
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
     d = df.withColumn("_fl_t", t)

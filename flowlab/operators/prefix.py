@@ -12,6 +12,10 @@ if one key holds a third of the data, one task scans a third of the data.
    ``chunks per key`` rows per key, independent of how many rows the key has;
 3. join the carry-in back on ``(key, chunk)`` and combine.
 
+When no key is hot the plain window is cheaper (one shuffle, no join), so
+by default ``plan_chunks`` measures the data first and picks the plain
+window unless the hottest key would overload its task.
+
 Valid for the associative, order-insensitive combiners ``sum``, ``count``,
 ``min``, ``max`` (also on structs, which gives arg-min/arg-max) and ``first``
 (the value at the lowest order).  ``order`` must be an integral column that
@@ -36,13 +40,53 @@ def _as_list(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def auto_chunk_width(df: DataFrame, order: str, chunks_per_key: int | None = None) -> int:
-    """Chunk width so that one key's order range splits into about
-    ``chunks_per_key`` chunks (default: 4 x the cluster's parallelism).
+AUTO = "auto"
+
+
+def _partitions(spark) -> int:
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except Exception:  # noqa: BLE001
+        return max(1, spark.sparkContext.defaultParallelism)
+
+
+def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
+                oversplit: int = 2) -> int | None:
+    """Decide how to scan: ``None`` = plain window (no key is hot), else the
+    chunk width for the two-level scan.
+
+    One small job computes the rows of the hottest key, the total rows and
+    the span of ``order`` (a per-key count with partial aggregation, then a
+    single-row aggregate; nothing unbounded reaches the driver).  A key is
+    hot when it holds more than ``skew_factor`` times the rows of an average
+    shuffle partition; then the order range is cut so that the hottest key
+    falls into chunks of about half an average partition each.
+    """
+    keys = _as_list(keys)
+    o = F.col(order)
+    if keys:
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(o).alias("lo"), F.max(o).alias("hi"))
+        row = per_key.agg(F.max("n").alias("hot"), F.sum("n").alias("total"),
+                          F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    else:
+        row = df.agg(F.count(F.lit(1)).alias("hot"), F.count(F.lit(1)).alias("total"),
+                     F.min(o).alias("lo"), F.max(o).alias("hi")).first()
+    if row is None or not row["total"]:
+        return None
+    parts = _partitions(df.sparkSession)
+    per_part = max(1.0, row["total"] / parts)
+    if keys and row["hot"] <= skew_factor * per_part:
+        return None
+    chunks = max(2, oversplit * -(-int(row["hot"]) // int(per_part)))
+    span = int(row["hi"]) - int(row["lo"]) + 1
+    return max(1, -(-span // chunks))
+
 
-    Runs one small aggregate (min and max of one column)."""
+def auto_chunk_width(df: DataFrame, order: str, chunks_per_key: int | None = None) -> int:
+    """Chunk width that cuts the whole order range into ``chunks_per_key``
+    chunks (default: 2 x the shuffle partitions)."""
     if chunks_per_key is None:
-        chunks_per_key = 4 * df.sparkSession.sparkContext.defaultParallelism
+        chunks_per_key = 2 * _partitions(df.sparkSession)
     row = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
     if row is None or row["lo"] is None:
         return 1
@@ -106,23 +150,23 @@ def _combine(kind: str, carry: Column, inner: Column, n_before: Column) -> Colum
 
 
 def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]],
-            include_current: bool = True, chunk_width: int | None = None,
-            skew_split: bool = True) -> DataFrame:
+            include_current: bool = True, chunk_width: int | str | None = AUTO) -> DataFrame:
     """Add one column per entry of ``aggs`` (``name -> (kind, expr)``) holding
     the aggregate over the rows of the same key up to this row in ``order``
     (``include_current=False``: strictly before it).
 
-    ``skew_split=False`` gives the plain single-level window (one task per
-    key); otherwise the two-level scan described in the module docstring.
+    ``chunk_width``: ``"auto"`` (default) measures the data with
+    ``plan_chunks``; ``None`` forces the plain single-level window (one task
+    per key); an integer forces the two-level scan with that chunk width.
     """
     keys = _as_list(keys)
     frame_end = Window.currentRow if include_current else -1
-    if not skew_split:
+    if chunk_width == AUTO:
+        chunk_width = plan_chunks(df, keys, order)
+    if chunk_width is None:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, frame_end)
         return df.select("*", *[_window_agg(k, e, w).alias(n) for n, (k, e) in aggs.items()])
 
-    if chunk_width is None:
-        chunk_width = auto_chunk_width(df, order)
     # One struct key: never null itself (null fields compare equal), so rows
     # with a null key are kept by the inner join below, and the join reuses
     # the window's partitioning on (key, chunk) instead of shuffling again.
@@ -154,4 +198,4 @@ def row_number(df: DataFrame, keys, order: str, name: str = "rn", **kw) -> DataF
     return running(df, keys, order, {name: ("count", F.lit(1))}, **kw)
 
 
-__all__: Sequence[str] = ("running", "row_number", "auto_chunk_width", "KINDS")
+__all__: Sequence[str] = ("running", "row_number", "plan_chunks", "auto_chunk_width", "KINDS", "AUTO")

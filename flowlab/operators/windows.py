@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.prefix import auto_chunk_width, running
+from flowlab.operators.prefix import AUTO, plan_chunks, running
 
 _COMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
@@ -66,7 +66,7 @@ def sessions_native(df: DataFrame, time_col: str, gap: str, aggs: dict[str, tupl
 
 
 def sessions(df: DataFrame, time_col: str, gap_us: int, aggs: dict[str, tuple[str, Column]],
-             keys=None, chunk_width: int | None = None) -> DataFrame:
+             keys=None, chunk_width: int | str | None = AUTO) -> DataFrame:
     """Session windows with gap ``gap_us`` microseconds.
 
     A row joins the current session when it is at most ``gap`` after the
@@ -77,8 +77,9 @@ def sessions(df: DataFrame, time_col: str, gap_us: int, aggs: dict[str, tuple[st
     ntz = dict(df.dtypes)[time_col] == "timestamp_ntz"
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
     d = df.withColumn("_fl_t", t).withColumn("_fl_b", F.floor(F.col("_fl_t") / F.lit(gap_us)).cast("bigint"))
-    if chunk_width is None:
-        chunk_width = auto_chunk_width(d, "_fl_b")
+    if chunk_width == AUTO:
+        # measured on the raw rows: a key's bucket count is at most its row count
+        chunk_width = plan_chunks(d, keys, "_fl_b")
     # 1. lossless collapse into gap-wide buckets (parallel, partial agg)
     b = d.groupBy(*keys, "_fl_b").agg(
         F.min("_fl_t").alias("_fl_s"), F.max("_fl_t").alias("_fl_e"), *_agg_exprs(aggs))
