@@ -67,6 +67,18 @@ def exclude_stream(df: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
     return df.join(excluded.select(key).distinct(), on=key, how="left_anti")
 
 
+def exclude_per_batch(load_excluded, key: str, write, max_broadcast_rows: int | None = 1_000_000):
+    """J5 with an exclusion list that changes while the stream runs: a
+    ``foreachBatch`` function that re-reads the list (``load_excluded()``)
+    at the start of every micro-batch, anti-joins, and hands the kept rows
+    to ``write(df, batch_id)`` (use an idempotent writer)."""
+    from flowlab.operators.joins import exclude
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(exclude(batch, load_excluded(), key, max_broadcast_rows), batch_id)
+    return run
+
+
 def count_window_stream(df: DataFrame, keys, order: str, value: str, size: int = 10,
                         with_values: bool = False) -> DataFrame:
     keys = _keys(keys)
