@@ -77,9 +77,11 @@ class CountWindowProcessor(StatefulProcessor):
             out[f"first_{self.order}"] = done["first"].to_numpy(dtype=np.int64)
             out[f"last_{self.order}"] = done["last"].to_numpy(dtype=np.int64)
             if self.with_values:
+                # g is non-decreasing: one split at the group boundaries, O(rows)
+                pieces = np.split(v, np.flatnonzero(np.diff(g)) + 1)
                 texts = []
                 for gi in done.index:
-                    vals = v[g == gi].tolist()
+                    vals = pieces[gi].tolist()
                     if gi == 0:
                         vals = old_values + vals
                     texts.append("".join(f" {x}" for x in vals))
@@ -95,7 +97,7 @@ class CountWindowProcessor(StatefulProcessor):
             row = open_.iloc[0]
             self.cnt.update((int(row["rows"]), int(row["total"]), int(row["first"])))
             if self.with_values:
-                vals = v[g == gi].tolist()
+                vals = v[g == gi].tolist()   # the open group is the last one: one pass
                 if gi == 0:
                     vals = old_values + vals
                 self.buf.put([(int(x),) for x in vals])

@@ -17,9 +17,16 @@ from flowlab.session import get_session  # noqa: E402
 
 
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(entry.queries())
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if plain:   # a bare session, as a caller of the contract would build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8") \
+            .config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8)
     con = duck(sf)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
