@@ -16,8 +16,12 @@ from flowlab.operators import (count_trigger, count_window, count_window_list, e
                                rolling_count, rolling_max, rolling_max_by, rolling_min, rolling_min_by,
                                rolling_sum, sessions, sliding, tumbling)
 from flowlab.operators.prefix import running
-from flowlab.sources.sinks import write_delimited, write_tuples
-from flowlab.sources.text import read_lines, sequence
+from flowlab.sources.sinks import stream_to_files, write_delimited, write_tuples
+from flowlab.sources.text import line_stream, read_lines, sequence
+from flowlab.streaming.operators import (count_trigger_stream, count_window_stream, exclude_stream,
+                                         processing_time, rolling_stream, session_agg_stream,
+                                         window_agg_stream, with_event_time)
+from flowlab.streaming.runner import STATEFUL_CONF, scoped_conf, versioned_writer
 
 
 def word_count(spark: SparkSession, input: str, output: str | None = None, prefix: str = "N") -> DataFrame:
@@ -150,3 +154,118 @@ def keyed_count_windows(spark: SparkSession, input: str, size: int = 10, with_va
     if with_values:
         return count_window_list(kn, "key", "seq", "value", size=size)
     return count_window(kn, "key", "seq", "value", size=size)
+
+
+# ---------------------------------------------------------------- streaming jobs
+# Each returns an unstarted streaming DataFrame over a directory of line
+# files (file replay; ``max_files_per_trigger`` sets the micro-batch).  Start
+# it with ``run_stream_job`` or any ``writeStream``.  A text stream has no
+# line number, so order-dependent jobs use the order in which rows are
+# delivered inside a micro-batch (and the batch order across batches).
+
+
+
+def run_stream_job(df: DataFrame, output: str, checkpoint: str, output_mode: str = "append",
+                   fmt: str = "text", trigger: dict | None = None, stateful: bool = False):
+    """Start a job's stream into a checkpointed file sink (S8); returns the
+    running query.  ``trigger={"processingTime": "1 second"}`` gives the
+    periodic checkpoints of a long-running job (K6)."""
+    with scoped_conf(df.sparkSession, STATEFUL_CONF if stateful else None):
+        if output_mode == "append":
+            return stream_to_files(df, output, checkpoint, fmt=fmt, trigger=trigger)
+        w = df.writeStream.foreachBatch(versioned_writer(output)).outputMode(output_mode) \
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+        return w.start()
+
+
+def word_count_stream(spark: SparkSession, input_dir: str, prefix: str = "N") -> DataFrame:
+    """Running count per word (update mode: one row per word per batch)."""
+    words = prefix_filter(line_stream(spark, input_dir), "value", prefix)
+    return words.groupBy(F.col("value").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sales_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    lines = line_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
+    return parse_fields(lines, "sale").drop("date")
+
+
+def rolling_sales_stream(spark: SparkSession, input_dir: str, **kw) -> DataFrame:
+    """R2-R7 per month, one row per input row: running n, sum, min, max of
+    profit, the first row's and the extreme rows' category and product."""
+    return rolling_stream(sales_stream(spark, input_dir, **kw), "month", None, "profit",
+                          ["category", "product"], emit="row")
+
+
+def average_profit_stream(spark: SparkSession, input_dir: str, **kw) -> DataFrame:
+    """Running average profit per month."""
+    r = rolling_sales_stream(spark, input_dir, **kw)
+    return r.select("month", (F.col("sum").cast("double") / F.col("n")).alias("avg_profit"))
+
+
+def sales_window_stream(spark: SparkSession, input_dir: str, kind: str = "tumbling", **kw) -> DataFrame:
+    """W1 / W3 / W5 on processing time, keyed by month: total profit and
+    rows per window (tumbling 2 s, sliding 2 s / 1 s, session gap 1 s).
+    Sessions run in append or complete mode only."""
+    s = processing_time(sales_stream(spark, input_dir, **kw), "t")
+    aggs = {"profit": F.sum("profit"), "n": F.count(F.lit(1))}
+    if kind == "tumbling":
+        return window_agg_stream(s, "t", "2 seconds", None, aggs, keys=["month"])
+    if kind == "sliding":
+        return window_agg_stream(s, "t", "2 seconds", "1 second", aggs, keys=["month"])
+    if kind == "session":
+        return session_agg_stream(s.withWatermark("t", "0 seconds"), "t", "1 second", aggs, keys=["month"])
+    raise ValueError(kind)
+
+
+def sales_count_trigger_stream(spark: SparkSession, input_dir: str, every: int = 5, **kw) -> DataFrame:
+    """Cumulative profit at every ``every``-th row of a month."""
+    s = sales_stream(spark, input_dir, **kw)
+    return count_trigger_stream(s, "month", None, "profit", every, "category")
+
+
+def readings_window_stream(spark: SparkSession, input_dir: str, kind: str = "sliding", **kw) -> DataFrame:
+    """Un-keyed event-time windows over ``<epoch ms>,<value>`` lines:
+    ``sliding`` 4 s / 2 s with a monotone watermark (W4), ``session`` gap 1 s
+    (W6), ``watermark`` session gap 10 s with 3.5 s allowed lateness (W7)."""
+    r = parse_fields(line_stream(spark, input_dir, **kw), "reading")
+    delay = "3500 milliseconds" if kind == "watermark" else "0 seconds"
+    r = with_event_time(r, "ts_ms", "et", delay, millis=True)
+    aggs = {"total": F.sum("value")}
+    if kind == "sliding":
+        return window_agg_stream(r, "et", "4 seconds", "2 seconds", aggs)
+    if kind == "session":
+        return session_agg_stream(r, "et", "1 second", aggs)
+    if kind == "watermark":
+        return session_agg_stream(r, "et", "10 seconds", aggs)
+    raise ValueError(kind)
+
+
+def keyed_sum_stream(spark: SparkSession, input_dir: str, size: int = 10, with_values: bool = False,
+                     **kw) -> DataFrame:
+    """K1-K4: ``key,value`` lines; the sum of every ``size`` values of a key
+    (with the values as text for K2)."""
+    kn = parse_fields(line_stream(spark, input_dir, **kw), "keyed_number")
+    return count_window_stream(kn, "key", None, "value", size, with_values)
+
+
+def department_count_stream(spark: SparkSession, input_dir: str, excluded: str, **kw) -> DataFrame:
+    """J5 + R1: employees not in the excluded file, with the running count of
+    kept employees per department (one row per kept employee)."""
+    emp = parse_fields(line_stream(spark, input_dir, **kw), "employee").withColumn("one", F.lit(1))
+    exc = parse_fields(read_lines(spark, excluded, with_seq=False), "employee")
+    kept = exclude_stream(emp, exc, "id")
+    return rolling_stream(kept, "dept", None, "one", ["id"]).select("dept", F.col("n"))
+
+
+def split_numbers_stream(spark: SparkSession, input_dir: str, output: str, checkpoint: str, **kw):
+    """P11 on a stream: one ``foreachBatch`` writes both typed branches of
+    every micro-batch (overwriting ``<branch>/batch=<id>``: idempotent)."""
+    nums = parse_fields(line_stream(spark, input_dir, **kw), "number")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parts = parity_split(batch, "n")
+        for name in ("even", "odd"):
+            parts[name].write.mode("overwrite").parquet(f"{output}/{name}/batch={batch_id}")
+
+    return nums.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()

@@ -79,16 +79,19 @@ def exclude_per_batch(load_excluded, key: str, write, max_broadcast_rows: int |
     return run
 
 
-def count_window_stream(df: DataFrame, keys, order: str, value: str, size: int = 10,
+def count_window_stream(df: DataFrame, keys, order: str | None, value: str, size: int = 10,
                         with_values: bool = False) -> DataFrame:
+    """K1-K4 on a stream (``order=None``: the order rows are delivered in)."""
     keys = _keys(keys)
     fields = _key_fields(df, keys) + [StructField("window_no", LongType()), StructField("rows", LongType()),
-                                      StructField("total", LongType()), StructField(f"first_{order}", LongType()),
-                                      StructField(f"last_{order}", LongType())]
+                                      StructField("total", LongType())]
+    if order:
+        fields += [StructField(f"first_{order}", LongType()), StructField(f"last_{order}", LongType())]
     if with_values:
         fields.append(StructField("values", StringType()))
     proc = CountWindowProcessor(keys, order, value, size, with_values)
-    return df.select(*keys, order, value).groupBy(*keys).transformWithStateInPandas(
+    cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value)]
+    return df.select(*cols).groupBy(*keys).transformWithStateInPandas(
         proc, StructType(fields), "Append", "None")
 
 
@@ -99,32 +102,40 @@ def batched_sink_stream(df: DataFrame, shard, order: str, value: str, threshold:
     return out.withColumnRenamed("window_no", "batch_no")
 
 
-def count_trigger_stream(df: DataFrame, keys, order: str, value: str, every: int, carry: str) -> DataFrame:
+def count_trigger_stream(df: DataFrame, keys, order: str | None, value: str, every: int,
+                         carry: str) -> DataFrame:
+    """W8 on a stream (``order=None``: the order rows are delivered in)."""
     keys = _keys(keys)
-    fields = _key_fields(df, keys) + [df.schema[order], StructField("n", LongType()),
-                                      StructField("total", LongType()), StructField(f"first_{carry}", StringType())]
+    fields = _key_fields(df, keys) + ([df.schema[order]] if order else []) + [
+        StructField("n", LongType()), StructField("total", LongType()), StructField(f"first_{carry}", StringType())]
     proc = CountTriggerProcessor(keys, order, value, every, carry)
-    return df.select(*keys, order, value, carry).groupBy(*keys).transformWithStateInPandas(
+    cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value), carry]
+    return df.select(*cols).groupBy(*keys).transformWithStateInPandas(
         proc, StructType(fields), "Append", "None")
 
 
-def rolling_stream(df: DataFrame, keys, order: str, value: str, carry: str, emit: str = "row") -> DataFrame:
-    """R1-R5/R7 on a stream.
+def rolling_stream(df: DataFrame, keys, order: str | None, value: str, carry, emit: str = "row") -> DataFrame:
+    """R1-R8 on a stream.
 
     ``emit="row"``: one row per input row (exact rolling semantics, state
-    processor).  ``emit="batch"``: built-in aggregation in update mode, one
-    row per key per micro-batch (partial aggregation before the shuffle)."""
+    processor) with running ``n, sum, min, max``, the first row's ``carry``
+    fields and the arg-min / arg-max rows' ``carry`` fields.
+    ``emit="batch"``: built-in aggregation in update mode, one row per key
+    per micro-batch (partial aggregation before the shuffle)."""
     keys = _keys(keys)
+    carry = [carry] if isinstance(carry, str) else list(carry)
     if emit == "batch":
         return df.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.sum(value).alias("sum"), F.min(value).alias("min"),
-            F.max(value).alias("max"), F.max(order).alias(f"last_{order}"))
-    fields = _key_fields(df, keys) + [df.schema[order], StructField(value, LongType()),
-                                      StructField("n", LongType()), StructField("sum", LongType()),
-                                      StructField("min", LongType()), StructField("max", LongType()),
-                                      StructField(f"first_{carry}", StringType())]
+            F.max(value).alias("max"))
+    fields = _key_fields(df, keys) + ([df.schema[order]] if order else []) + [
+        StructField(value, LongType()), StructField("n", LongType()), StructField("sum", LongType()),
+        StructField("min", LongType()), StructField("max", LongType())]
+    for p in ("first", "argmin", "argmax"):
+        fields += [StructField(f"{p}_{c}", StringType()) for c in carry]
     proc = RollingProcessor(keys, order, value, carry)
-    return df.select(*keys, order, value, carry).groupBy(*keys).transformWithStateInPandas(
+    cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value), *carry]
+    return df.select(*cols).groupBy(*keys).transformWithStateInPandas(
         proc, StructType(fields), "Append", "None")
 
 

@@ -27,12 +27,15 @@ import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
-def _batch(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
+def _batch(rows: Iterator[pd.DataFrame], order: str | None) -> pd.DataFrame:
+    """The key's rows of this micro-batch, sorted by ``order``.  ``order=None``
+    keeps the order in which Spark delivers them (the line order of a single
+    text source in practice, but not guaranteed across input partitions)."""
     frames = [f for f in rows if len(f)]
     if not frames:
         return pd.DataFrame()
     pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    return pdf.sort_values(order, kind="stable", ignore_index=True)
+    return pdf.sort_values(order, kind="stable", ignore_index=True) if order else pdf
 
 
 class CountWindowProcessor(StatefulProcessor):
@@ -55,7 +58,7 @@ class CountWindowProcessor(StatefulProcessor):
         if pdf.empty:
             return
         v = pdf[self.value].to_numpy(dtype=np.int64)
-        o = pdf[self.order].to_numpy(dtype=np.int64)
+        o = pdf[self.order].to_numpy(dtype=np.int64) if self.order else np.zeros(len(v), dtype=np.int64)
         count, total, first = self.cnt.get() if self.cnt.exists() else (0, 0, None)
         emitted = self.emitted.get()[0] if self.emitted.exists() else 0
         g = (count + np.arange(len(v))) // self.size
@@ -74,8 +77,9 @@ class CountWindowProcessor(StatefulProcessor):
             out["window_no"] = (emitted + done.index.to_numpy()).astype(np.int64)
             out["rows"] = done["rows"].to_numpy(dtype=np.int64)
             out["total"] = done["total"].to_numpy(dtype=np.int64)
-            out[f"first_{self.order}"] = done["first"].to_numpy(dtype=np.int64)
-            out[f"last_{self.order}"] = done["last"].to_numpy(dtype=np.int64)
+            if self.order:
+                out[f"first_{self.order}"] = done["first"].to_numpy(dtype=np.int64)
+                out[f"last_{self.order}"] = done["last"].to_numpy(dtype=np.int64)
             if self.with_values:
                 # g is non-decreasing: one split at the group boundaries, O(rows)
                 pieces = np.split(v, np.flatnonzero(np.diff(g)) + 1)
@@ -129,7 +133,8 @@ class CountTriggerProcessor(StatefulProcessor):
         self.acc.update((int(n[-1]), int(total[-1]), first))
         if hit.any():
             out = pd.DataFrame({k: [key[i]] * int(hit.sum()) for i, k in enumerate(self.key_names)})
-            out[self.order] = pdf[self.order].to_numpy()[hit]
+            if self.order:
+                out[self.order] = pdf[self.order].to_numpy()[hit]
             out["n"] = n[hit]
             out["total"] = total[hit]
             out[f"first_{self.carry}"] = first
@@ -140,35 +145,60 @@ class CountTriggerProcessor(StatefulProcessor):
 
 
 class RollingProcessor(StatefulProcessor):
-    """Output: ``key..., <order>, <value>, n, sum, min, max, first_<carry>``
-    for every input row (R1-R5/R7 in emit-per-row form)."""
+    """Output per input row: ``key..., [order], value, n, sum, min, max``,
+    ``first_<c>`` for every carried column, and the arg-min / arg-max rows
+    ``argmin_<c>`` / ``argmax_<c>`` (ties keep the earlier row).  R1-R8 in
+    emit-per-row form."""
 
-    def __init__(self, key_names: list[str], order: str, value: str, carry: str):
-        self.key_names, self.order, self.value, self.carry = list(key_names), order, value, carry
+    def __init__(self, key_names: list[str], order: str | None, value: str, carry):
+        self.key_names, self.order, self.value = list(key_names), order, value
+        self.carry = [carry] if isinstance(carry, str) else list(carry)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        firsts = ", ".join(f"first_{c} string" for c in self.carry)
+        mins = ", ".join(f"argmin_{c} string" for c in self.carry)
+        maxs = ", ".join(f"argmax_{c} string" for c in self.carry)
         self.acc = handle.getValueState(
-            "acc", f"n long, sum long, min long, max long, first_{self.carry} string")
+            "acc", f"n long, sum long, min long, max long, {firsts}, {mins}, {maxs}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _batch(rows, self.order)
         if pdf.empty:
             return
+        k = len(self.carry)
         v = pdf[self.value].to_numpy(dtype=np.int64)
+        payload = [pdf[c].astype(str).to_numpy(dtype=object) for c in self.carry]
         if self.acc.exists():
-            n0, s0, lo, hi, first = self.acc.get()
+            st = self.acc.get()
+            n0, s0, lo, hi = st[0], st[1], st[2], st[3]
+            first, amin, amax = list(st[4:4 + k]), list(st[4 + k:4 + 2 * k]), list(st[4 + 2 * k:4 + 3 * k])
         else:
-            n0, s0, lo, hi, first = 0, 0, v[0], v[0], str(pdf[self.carry].iloc[0])
-        n = n0 + np.arange(1, len(v) + 1, dtype=np.int64)
+            n0, s0, lo, hi = 0, 0, None, None
+            first = [p[0] for p in payload]
+            amin, amax = [None] * k, [None] * k
+        m = len(v)
+        idx = np.arange(m)
+        n = n0 + idx + 1
         s = s0 + np.cumsum(v)
-        mn = np.minimum.accumulate(np.concatenate([[lo], v]))[1:]
-        mx = np.maximum.accumulate(np.concatenate([[hi], v]))[1:]
-        self.acc.update((int(n[-1]), int(s[-1]), int(mn[-1]), int(mx[-1]), first))
-        out = pd.DataFrame({k: [key[i]] * len(v) for i, k in enumerate(self.key_names)})
-        out[self.order] = pdf[self.order].to_numpy()
+        mn = np.minimum.accumulate(v if lo is None else np.minimum(v, lo))
+        mx = np.maximum.accumulate(v if hi is None else np.maximum(v, hi))
+        # row holding the running extreme: only a strictly better value moves it
+        prev_mn = np.concatenate([[np.iinfo(np.int64).max if lo is None else lo], mn[:-1]])
+        prev_mx = np.concatenate([[np.iinfo(np.int64).min if hi is None else hi], mx[:-1]])
+        at_min = np.maximum.accumulate(np.where(v < prev_mn, idx, -1))
+        at_max = np.maximum.accumulate(np.where(v > prev_mx, idx, -1))
+        out = pd.DataFrame({kn: [key[i]] * m for i, kn in enumerate(self.key_names)})
+        if self.order:
+            out[self.order] = pdf[self.order].to_numpy()
         out[self.value] = v
         out["n"], out["sum"], out["min"], out["max"] = n, s, mn, mx
-        out[f"first_{self.carry}"] = first
+        for j, c in enumerate(self.carry):
+            out[f"first_{c}"] = first[j]
+            out[f"argmin_{c}"] = np.where(at_min >= 0, payload[j][np.maximum(at_min, 0)], amin[j])
+            out[f"argmax_{c}"] = np.where(at_max >= 0, payload[j][np.maximum(at_max, 0)], amax[j])
+        last = out.iloc[-1]
+        self.acc.update((int(n[-1]), int(s[-1]), int(mn[-1]), int(mx[-1]), *first,
+                         *[last[f"argmin_{c}"] for c in self.carry], *[last[f"argmax_{c}"] for c in self.carry]))
         yield out
 
     def close(self) -> None:
