@@ -25,13 +25,16 @@ is a total order within each key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 
 KINDS = ("sum", "count", "min", "max", "first")
 _CHUNK = "_fl_chunk"
 _KEY = "_fl_key"
+_NO_CHUNK = -(2 ** 62)
 
 
 def _as_list(keys) -> list[str]:
@@ -50,36 +53,71 @@ def _partitions(spark) -> int:
         return max(1, spark.sparkContext.defaultParallelism)
 
 
+@dataclass(frozen=True)
+class ScanPlan:
+    """How ``running`` scans: ``width=None`` is the plain window; otherwise
+    the chunk width, and ``hot`` the keys to split (``None``: every key)."""
+    width: int | None
+    hot: tuple | None = None
+
+
 def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
-                oversplit: int = 2) -> int | None:
-    """Decide how to scan: ``None`` = plain window (no key is hot), else the
-    chunk width for the two-level scan.
-
-    One small job computes the rows of the hottest key, the total rows and
-    the span of ``order`` (a per-key count with partial aggregation, then a
-    single-row aggregate; nothing unbounded reaches the driver).  A key is
-    hot when it holds more than ``skew_factor`` times the rows of an average
-    shuffle partition; then the order range is cut so that the hottest key
-    falls into chunks of about half an average partition each.
+                oversplit: int = 2) -> ScanPlan:
+    """Measure the data and decide how to scan.
+
+    One job computes per-key row counts (partial aggregation) and reduces
+    them to one row: rows of the hottest key, total rows, span of ``order``.
+    A key is hot when it holds more than ``skew_factor`` times the rows of
+    an average shuffle partition.  No hot key: plain window.  Otherwise the
+    hot keys are fetched; there are fewer than ``partitions / skew_factor``
+    of them by construction, so the list has a proven bound.  The order range
+    is cut so that the hottest key falls into chunks of about half an
+    average partition each.  Cold keys stay in one chunk and skip the
+    chunk totals.  Without keys the whole table is one hot group.
     """
     keys = _as_list(keys)
     o = F.col(order)
-    if keys:
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(o).alias("lo"), F.max(o).alias("hi"))
-        row = per_key.agg(F.max("n").alias("hot"), F.sum("n").alias("total"),
-                          F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
-    else:
-        row = df.agg(F.count(F.lit(1)).alias("hot"), F.count(F.lit(1)).alias("total"),
-                     F.min(o).alias("lo"), F.max(o).alias("hi")).first()
-    if row is None or not row["total"]:
-        return None
     parts = _partitions(df.sparkSession)
-    per_part = max(1.0, row["total"] / parts)
-    if keys and row["hot"] <= skew_factor * per_part:
-        return None
+    if not keys:
+        row = df.agg(F.count(F.lit(1)).alias("total"), F.min(o).alias("lo"), F.max(o).alias("hi")).first()
+        if row is None or not row["total"]:
+            return ScanPlan(None)
+        chunks = max(2, oversplit * parts)
+        return ScanPlan(max(1, -(-(int(row["hi"]) - int(row["lo"]) + 1) // chunks)))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total"),
+                          F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
+        if row is None or not row["total"]:
+            return ScanPlan(None)
+        per_part = max(1.0, row["total"] / parts)
+        threshold = skew_factor * per_part
+        if row["hot"] <= threshold:
+            return ScanPlan(None)
+        # bounded: each hot key has more than total * skew_factor / parts rows
+        hot = tuple(tuple(r) for r in per_key.filter(F.col("_n") > threshold).select(*keys).collect())
+    finally:
+        per_key.unpersist()
     chunks = max(2, oversplit * -(-int(row["hot"]) // int(per_part)))
     span = int(row["hi"]) - int(row["lo"]) + 1
-    return max(1, -(-span // chunks))
+    return ScanPlan(max(1, -(-span // chunks)), hot)
+
+
+def _hot_condition(keys: list[str], hot: tuple) -> Column:
+    if len(keys) == 1:
+        vals = [h[0] for h in hot if h[0] is not None]
+        cond = F.col(keys[0]).isin(vals) if vals else F.lit(False)
+        if any(h[0] is None for h in hot):
+            cond = cond | F.col(keys[0]).isNull()
+        return F.coalesce(cond, F.lit(False))
+    cond = F.lit(False)
+    for h in hot:
+        term = F.lit(True)
+        for k, v in zip(keys, h):
+            term = term & (F.col(k).isNull() if v is None else (F.col(k) == F.lit(v)))
+        cond = cond | F.coalesce(term, F.lit(False))
+    return cond
 
 
 def auto_chunk_width(df: DataFrame, order: str, chunks_per_key: int | None = None) -> int:
@@ -150,35 +188,46 @@ def _combine(kind: str, carry: Column, inner: Column, n_before: Column) -> Colum
 
 
 def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]],
-            include_current: bool = True, chunk_width: int | str | None = AUTO) -> DataFrame:
+            include_current: bool = True, chunk_width: int | str | ScanPlan | None = AUTO) -> DataFrame:
     """Add one column per entry of ``aggs`` (``name -> (kind, expr)``) holding
     the aggregate over the rows of the same key up to this row in ``order``
     (``include_current=False``: strictly before it).
 
     ``chunk_width``: ``"auto"`` (default) measures the data with
     ``plan_chunks``; ``None`` forces the plain single-level window (one task
-    per key); an integer forces the two-level scan with that chunk width.
+    per key); an integer forces the two-level scan of every key with that
+    chunk width; a ``ScanPlan`` is used as given.
     """
     keys = _as_list(keys)
     frame_end = Window.currentRow if include_current else -1
     if chunk_width == AUTO:
-        chunk_width = plan_chunks(df, keys, order)
-    if chunk_width is None:
+        plan = plan_chunks(df, keys, order)
+    elif isinstance(chunk_width, ScanPlan):
+        plan = chunk_width
+    else:
+        plan = ScanPlan(chunk_width)
+    if plan.width is None:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, frame_end)
         return df.select("*", *[_window_agg(k, e, w).alias(n) for n, (k, e) in aggs.items()])
 
     # One struct key: never null itself (null fields compare equal), so rows
-    # with a null key are kept by the inner join below, and the join reuses
-    # the window's partitioning on (key, chunk) instead of shuffling again.
+    # with a null key are kept by the join below, and the join reuses the
+    # window's partitioning on (key, chunk) instead of shuffling again.
     key = F.struct(*keys) if keys else F.lit(0)
-    d = df.withColumn(_KEY, key).withColumn(
-        _CHUNK, F.floor(F.col(order) / F.lit(chunk_width)).cast("bigint"))
+    # non-nullable chunk (rows with a null order sort first anyway), so no
+    # inferred not-null filter is added
+    chunk = F.coalesce(F.floor(F.col(order) / F.lit(plan.width)).cast("bigint"), F.lit(_NO_CHUNK))
+    hot = _hot_condition(keys, plan.hot) if (keys and plan.hot is not None) else None
+    if hot is not None:
+        chunk = F.when(hot, chunk).otherwise(F.lit(_NO_CHUNK))   # a cold key is one chunk
+    d = df.withColumn(_KEY, key).withColumn(_CHUNK, chunk)
 
     w_in = Window.partitionBy(_KEY, _CHUNK).orderBy(order) \
         .rowsBetween(Window.unboundedPreceding, frame_end)
     inner = d.select("*", *[_window_agg(k, e, w_in).alias(f"_fl_in_{n}") for n, (k, e) in aggs.items()])
 
-    totals = d.groupBy(_KEY, _CHUNK).agg(
+    # chunk totals of the split keys only (cold keys have no earlier chunk)
+    totals = (d.filter(hot) if hot is not None else d).groupBy(_KEY, _CHUNK).agg(
         *[_chunk_total(k, e, order).alias(f"_fl_t_{n}") for n, (k, e) in aggs.items()])
     w_c = Window.partitionBy(_KEY).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
@@ -186,10 +235,11 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
         F.count(F.lit(1)).over(w_c).alias("_fl_nb"),
         *[_carry(k, F.col(f"_fl_t_{n}"), w_c).alias(f"_fl_c_{n}") for n, (k, _e) in aggs.items()])
 
-    joined = inner.join(carry, on=[_KEY, _CHUNK], how="inner")
+    joined = inner.join(carry, on=[_KEY, _CHUNK], how="left" if hot is not None else "inner")
+    nb = F.coalesce(F.col("_fl_nb"), F.lit(0))
     out_cols = [F.col(c) for c in df.columns]
     for n, (k, _e) in aggs.items():
-        out_cols.append(_combine(k, F.col(f"_fl_c_{n}"), F.col(f"_fl_in_{n}"), F.col("_fl_nb")).alias(n))
+        out_cols.append(_combine(k, F.col(f"_fl_c_{n}"), F.col(f"_fl_in_{n}"), nb).alias(n))
     return joined.select(*out_cols)
 
 
@@ -198,4 +248,5 @@ def row_number(df: DataFrame, keys, order: str, name: str = "rn", **kw) -> DataF
     return running(df, keys, order, {name: ("count", F.lit(1))}, **kw)
 
 
-__all__: Sequence[str] = ("running", "row_number", "plan_chunks", "auto_chunk_width", "KINDS", "AUTO")
+__all__: Sequence[str] = ("running", "row_number", "plan_chunks", "ScanPlan", "auto_chunk_width", "KINDS",
+                          "AUTO")

@@ -66,7 +66,7 @@ def sessions_native(df: DataFrame, time_col: str, gap: str, aggs: dict[str, tupl
 
 
 def sessions(df: DataFrame, time_col: str, gap_us: int, aggs: dict[str, tuple[str, Column]],
-             keys=None, chunk_width: int | str | None = AUTO) -> DataFrame:
+             keys=None, chunk_width=AUTO) -> DataFrame:
     """Session windows with gap ``gap_us`` microseconds.
 
     A row joins the current session when it is at most ``gap`` after the

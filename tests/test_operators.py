@@ -15,6 +15,7 @@ from flowlab.functions.parse import parse_fields
 from flowlab.operators import (batched, count_window, equi_join, exclude, late_report, parity_split,
                                rolling_max_by, rolling_min_by, running, sessions, sessions_native)
 from flowlab.operators.iterate import IterationLimitExceeded, iterate
+from flowlab.operators.prefix import ScanPlan
 from flowlab.sources.sinks import write_delimited, write_tuples
 
 
@@ -125,15 +126,17 @@ def _brute(pdf: pd.DataFrame, include_current: bool) -> dict:
     return out
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=16, deadline=None)
 @given(data=st.lists(st.tuples(st.sampled_from([None, 0, 1, 2]), st.integers(-50, 50)), min_size=1, max_size=40),
-       width=st.integers(1, 9), include_current=st.booleans())
-def test_running_matches_brute_force(spark, data, width, include_current):
+       width=st.integers(1, 9), include_current=st.booleans(),
+       hot=st.sampled_from([None, ((0,),), ((0,), (None,)), ((2,), (1,))]))
+def test_running_matches_brute_force(spark, data, width, include_current, hot):
     # a hot key (0 holds most rows) and a null key are both in the draw
     pdf = pd.DataFrame({"o": range(len(data)), "k": [d[0] for d in data], "v": [d[1] for d in data]})
     df = spark.createDataFrame(pdf.astype({"k": "Int64"}), "o long, k long, v long")
     aggs = {"s": ("sum", F.col("v")), "mn": ("min", F.col("v")), "mx": ("max", F.col("v")),
             "n": ("count", F.lit(1)), "f": ("first", F.col("v"))}
     got = {r.o: (r.s, r.mn, r.mx, r.n, r.f) for r in
-           running(df, "k", "o", aggs, include_current=include_current, chunk_width=width).collect()}
+           running(df, "k", "o", aggs, include_current=include_current,
+                   chunk_width=width if hot is None else ScanPlan(width, hot)).collect()}
     assert got == _brute(pdf, include_current)
