@@ -9,9 +9,9 @@ history, which lives in the (RocksDB) state store.
 
 * ``CountWindowProcessor`` - K1/K3/K4 (sum per ``size`` values, then
   clear), K2 (also the values as text) and S10 (``size`` = batch threshold,
-  emitting the batch's order range): state ``cnt`` = (count, total) of the
-  open group, ``emitted`` = groups emitted so far, ``buf`` = open group's
-  values (list variant only).
+  emitting the batch's order range): state ``cnt`` = (count, total, first
+  order) of the open group - cleared to count 0 on emission - and the number
+  of groups emitted so far; ``buf`` = open group's values (list variant).
 * ``CountTriggerProcessor`` - W8: running totals at every ``every``-th row,
   never purged.
 * ``RollingProcessor`` - R1-R8 in ``emit="row"`` form: one output row per
@@ -48,8 +48,9 @@ class CountWindowProcessor(StatefulProcessor):
         self.with_values = with_values
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cnt = handle.getValueState("cnt", "count long, total long, first long")
-        self.emitted = handle.getValueState("emitted", "n long")
+        # one value per key (one read, one write per micro-batch); count = 0
+        # means no open group
+        self.cnt = handle.getValueState("cnt", "count long, total long, first long, emitted long")
         if self.with_values:
             self.buf = handle.getListState("buf", "v long")
 
@@ -59,8 +60,7 @@ class CountWindowProcessor(StatefulProcessor):
             return
         v = pdf[self.value].to_numpy(dtype=np.int64)
         o = pdf[self.order].to_numpy(dtype=np.int64) if self.order else np.zeros(len(v), dtype=np.int64)
-        count, total, first = self.cnt.get() if self.cnt.exists() else (0, 0, None)
-        emitted = self.emitted.get()[0] if self.emitted.exists() else 0
+        count, total, first, emitted = self.cnt.get() if self.cnt.exists() else (0, 0, None, 0)
         g = (count + np.arange(len(v))) // self.size
         s = pd.DataFrame({"g": g, "v": v, "o": o})
         agg = s.groupby("g", sort=True).agg(rows=("v", "size"), total=("v", "sum"),
@@ -90,16 +90,16 @@ class CountWindowProcessor(StatefulProcessor):
                         vals = old_values + vals
                     texts.append("".join(f" {x}" for x in vals))
                 out["values"] = texts
-            self.emitted.update((int(emitted + len(done)),))
             yield out
+        emitted += len(done)
         if open_.empty:
-            self.cnt.clear()
+            self.cnt.update((0, 0, None, int(emitted)))
             if self.with_values:
                 self.buf.clear()
         else:
             gi = int(open_.index[0])
             row = open_.iloc[0]
-            self.cnt.update((int(row["rows"]), int(row["total"]), int(row["first"])))
+            self.cnt.update((int(row["rows"]), int(row["total"]), int(row["first"]), int(emitted)))
             if self.with_values:
                 vals = v[g == gi].tolist()   # the open group is the last one: one pass
                 if gi == 0:

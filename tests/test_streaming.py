@@ -66,10 +66,10 @@ def test_count_window_stream_equals_batch(spark, tmp_path, parts):
         per_key[r["key"]] += 1
     assert per_key == {1: 0, 2: 1, 3: 1, 4: 2}
     assert all(r["values"].startswith(" ") and len(r["values"].split()) == 10 for r in got.collect())
-    # leftovers read from the state store: 9, 0, 1, 0 (cleared keys have no state)
+    # leftovers read from the state store: 9, 0, 1, 0
     st = read_state(spark, run.checkpoint, "cnt")
     left = {r["key"]["key"]: r["value"]["count"] for r in st.collect()}
-    assert left == {1: 9, 3: 1}
+    assert left == {1: 9, 2: 0, 3: 1, 4: 0}
 
 
 @pytest.mark.parametrize("parts", [1, 4])
