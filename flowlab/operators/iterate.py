@@ -1,11 +1,15 @@
 """Bounded iteration with a feedback edge.
 
 Every round applies ``step`` to the rows still circulating; rows that
-satisfy ``done`` leave the loop, the others go round again.  One Spark job
-per round; each round's output is written to the shared checkpoint
-directory (``DataFrame.checkpoint``), which cuts the lineage, so neither
-the plan nor recovery cost grows with the number of rounds, and a lost
-executor only recomputes the current round.
+satisfy ``done`` leave the loop, the others go round again.
+
+One Spark job per round: the round's output is written once, as a parquet
+table partitioned by the exit flag, below the shared checkpoint directory.
+The next round reads the not-done part back, so the lineage (and the cost
+of recovering a lost executor) never grows with the number of rounds.
+Whether anything is still circulating is a directory check on the written
+table, not another job.  The result is one scan over the done parts of all
+rounds.
 
 ``max_iter`` is mandatory: a row that can never satisfy ``done`` would
 otherwise loop forever.
@@ -14,17 +18,25 @@ otherwise loop forever.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from flowlab.session import scratch_path
 
-from flowlab.session import ensure_checkpoint_dir
+_DONE = "_fl_done"
 
 
 class IterationLimitExceeded(RuntimeError):
     pass
 
 
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame], done: Callable[[], Column],
             max_iter: int, emit_done_inputs: bool = False) -> DataFrame:
     """Run the loop; return the union of all rows that left it.
@@ -34,16 +46,43 @@ def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame], done: Callabl
     ``emit_done_inputs`` rows already done on entry leave before the first
     round (otherwise they go through the body once, as in the reference).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    outputs: list[DataFrame] = []
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    # two partition values: concurrent writers instead of a sort per task
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+    try:
+        return _loop(spark, df, step, done, max_iter, emit_done_inputs)
+    finally:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", prev)
+
+
+def _loop(spark, df, step, done, max_iter, emit_done_inputs) -> DataFrame:
+    base = scratch_path(spark, "iterate")
+    schema = df.schema
+    done_parts: list[str] = []
     pending = df
+    start = 0
     if emit_done_inputs:
-        outputs.append(pending.filter(done()))
-        pending = pending.filter(~done())
-    for _ in range(max_iter):
-        stepped = step(pending).checkpoint(eager=True)
-        outputs.append(stepped.filter(done()))
-        pending = stepped.filter(~done())
-        if pending.isEmpty():
-            return reduce(DataFrame.unionByName, outputs)
+        pending.withColumn(_DONE, F.coalesce(done(), F.lit(False))) \
+            .write.partitionBy(_DONE).parquet(f"{base}/round=00000")
+        done_parts.append(f"{base}/round=00000/{_DONE}=true")
+        if not _exists(spark, f"{base}/round=00000/{_DONE}=false"):
+            return _union(spark, done_parts, schema)
+        pending = spark.read.schema(schema).parquet(f"{base}/round=00000/{_DONE}=false")
+        start = 1
+    for i in range(start, start + max_iter):
+        out = f"{base}/round={i:05d}"
+        step(pending).withColumn(_DONE, F.coalesce(done(), F.lit(False))) \
+            .write.partitionBy(_DONE).parquet(out)
+        done_parts.append(f"{out}/{_DONE}=true")
+        if not _exists(spark, f"{out}/{_DONE}=false"):
+            return _union(spark, done_parts, schema)
+        pending = spark.read.schema(schema).parquet(f"{out}/{_DONE}=false")
     raise IterationLimitExceeded(f"rows still circulating after {max_iter} rounds")
+
+
+def _union(spark, parts: list[str], schema) -> DataFrame:
+    present = [p for p in parts if _exists(spark, p)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*present)
