@@ -12,9 +12,11 @@ if one key holds a third of the data, one task scans a third of the data.
    ``chunks per key`` rows per key, independent of how many rows the key has;
 3. join the carry-in back on ``(key, chunk)`` and combine.
 
-When no key is hot the plain window is cheaper (one shuffle, no join), so
-by default ``plan_chunks`` measures the data first and picks the plain
-window unless the hottest key would overload its task.
+By default ``plan_chunks`` measures the data first (one small job).  When
+no key is hot the plain window is cheaper (one shuffle, no join) and is
+used.  Otherwise only the hot keys are cut into chunks and aggregated into
+chunk totals; every other key stays one chunk and just probes the small
+carry table.  Key-less scans always split.
 
 Valid for the associative, order-insensitive combiners ``sum``, ``count``,
 ``min``, ``max`` (also on structs, which gives arg-min/arg-max) and ``first``
@@ -27,11 +29,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 
 KINDS = ("sum", "count", "min", "max", "first")
+AUTO = "auto"
 _CHUNK = "_fl_chunk"
 _KEY = "_fl_key"
 _NO_CHUNK = -(2 ** 62)
@@ -43,9 +46,6 @@ def _as_list(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-AUTO = "auto"
-
-
 def _partitions(spark) -> int:
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -120,18 +120,6 @@ def _hot_condition(keys: list[str], hot: tuple) -> Column:
     return cond
 
 
-def auto_chunk_width(df: DataFrame, order: str, chunks_per_key: int | None = None) -> int:
-    """Chunk width that cuts the whole order range into ``chunks_per_key``
-    chunks (default: 2 x the shuffle partitions)."""
-    if chunks_per_key is None:
-        chunks_per_key = 2 * _partitions(df.sparkSession)
-    row = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return 1
-    span = int(row["hi"]) - int(row["lo"]) + 1
-    return max(1, -(-span // max(1, chunks_per_key)))
-
-
 def _window_agg(kind: str, e: Column, w) -> Column:
     if kind == "sum":
         return F.sum(e).over(w)
@@ -248,5 +236,4 @@ def row_number(df: DataFrame, keys, order: str, name: str = "rn", **kw) -> DataF
     return running(df, keys, order, {name: ("count", F.lit(1))}, **kw)
 
 
-__all__: Sequence[str] = ("running", "row_number", "plan_chunks", "ScanPlan", "auto_chunk_width", "KINDS",
-                          "AUTO")
+__all__: Sequence[str] = ("running", "row_number", "plan_chunks", "ScanPlan", "KINDS", "AUTO")

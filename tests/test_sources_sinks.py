@@ -16,7 +16,7 @@ from flowlab.sources.text import line_stream
 from flowlab.streaming.operators import (count_window_stream, exclude_per_batch, processing_time,
                                          window_agg_stream)
 from flowlab.streaming.runner import (STATEFUL_CONF, StreamRun, read_back, run_with_restarts, scoped_conf,
-                                      start_stream, versioned_writer)
+                                      versioned_writer)
 
 
 def write_lines(folder, name, lines, t):
