@@ -16,7 +16,7 @@ from flowlab.streaming.operators import (batched_sink_stream, count_trigger_stre
                                          exclude_stream, read_state, rolling_stream, session_agg_stream,
                                          window_agg_stream, with_event_time)
 from flowlab.streaming.runner import (LATE_PARITY_CONF, SESSION_CONF, STATEFUL_CONF, StreamRun,
-                                      run_to_completion, run_with_restarts, start_stream)
+                                      run_to_completion, run_with_restarts, scoped_conf, start_stream)
 
 
 def _ev_stream(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -93,47 +93,31 @@ def q_state_snapshot(spark, sf):
     return st.select(F.col("key.user_id").alias("user_id"), F.col("value.count").alias("leftover"))
 
 
-def stage_in_order(spark: SparkSession, df: DataFrame, landing: str, order: str, cuts: list) -> None:
-    """Write ``df`` to ``landing`` as one parquet folder per order range,
-    oldest first, so a file stream reads them in order."""
-    bounds = [None, *cuts, None]
-    for i in range(len(bounds) - 1):
-        part = df
-        if bounds[i] is not None:
-            part = part.filter(F.col(order) > bounds[i])
-        if bounds[i + 1] is not None:
-            part = part.filter(F.col(order) <= bounds[i + 1])
-        part.write.mode("errorifexists").parquet(f"{landing}/part={i:05d}")
-
-
 def q_recovered_stream(spark, sf):
-    """K6/K7: the count-window stream stopped after the first half of the
-    input and restarted on the same checkpoint once the rest has landed;
-    the result equals one uninterrupted run."""
-    ev = load_table(spark, sf, "events")
+    """K6/K7: the count-window stream is stopped after the first half of the
+    input has landed and restarted on the same checkpoint once the rest has
+    landed; the result equals one uninterrupted run."""
+    cols = ["event_id", "ts", "user_id", "event_type", "value"]
+    ev = load_table(spark, sf, "events").select(*cols)
     lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
     run = StreamRun(spark, "recovered_stream")
-    landing = run.out + "-landing"
-    cols = ["event_id", "ts", "user_id", "event_type", "value"]
     if lo is None:
         return spark.createDataFrame([], "user_id long, window_no long, total long")
-    mid = (lo + hi) // 2
-    stage_in_order(spark, ev.select(*cols).filter(F.col("event_id") <= mid), landing, "event_id", [])
-    schema = ev.select(*cols).schema
+    landing, mid = run.out + "-landing", (lo + hi) // 2
+
+    def source():
+        src = directory_stream(spark, landing, ev.schema, max_files_per_trigger=1)
+        return _count_window_10(src.select("event_id", "ts", "user_id", "event_type", cents("value").alias("c")))
 
     def start():
-        src = directory_stream(spark, landing, schema, max_files_per_trigger=1)
-        src = src.select("event_id", "ts", "user_id", "event_type", cents("value").alias("c"))
-        return start_stream(_count_window_10(src), run.out, run.checkpoint, "append")
+        return start_stream(source(), run.out, run.checkpoint, "append")
 
-    from flowlab.streaming.runner import scoped_conf
     with scoped_conf(spark, STATEFUL_CONF):
-        run_with_restarts(start, attempts=3, delay_s=0.1)          # first run, then "stop"
-        ev.select(*cols).filter(F.col("event_id") > mid).write.parquet(f"{landing}/part=00001")
-        run_with_restarts(start, attempts=3, delay_s=0.1)          # restart on the same checkpoint
-    out = run.result(_count_window_10(directory_stream(spark, landing, schema).select(
-        "event_id", "ts", "user_id", "event_type", cents("value").alias("c"))).schema)
-    return out.select("user_id", "window_no", "total")
+        ev.filter(F.col("event_id") <= mid).write.parquet(f"{landing}/part=00000")
+        run_with_restarts(start, attempts=3, delay_s=0.1)      # runs, then stops
+        ev.filter(F.col("event_id") > mid).write.parquet(f"{landing}/part=00001")
+        run_with_restarts(start, attempts=3, delay_s=0.1)      # restarts on the same checkpoint
+    return run.result(source().schema).select("user_id", "window_no", "total")
 
 
 def q_batched_sink_stream(spark, sf):
