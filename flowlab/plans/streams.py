@@ -11,7 +11,7 @@ from flowlab.functions.exprs import cents
 from flowlab.operators.transforms import prefix_filter
 from flowlab.plans.catalogue import (COUNT_TRIGGER, COUNT_WINDOW, EXCLUDE_ABOVE, LATE_DELAY_US,
                                      SESSION_GAP_GLOBAL_US, SESSION_GAP_USER_US, SINK_SHARDS, SINK_THRESHOLD)
-from flowlab.sources.tables import directory_stream, load_table, table_stream
+from flowlab.sources.tables import directory_stream, load_table, state_partitions, table_stream
 from flowlab.streaming.operators import (batched_sink_stream, count_trigger_stream, count_window_stream,
                                          exclude_stream, read_state, rolling_stream, session_agg_stream,
                                          window_agg_stream, with_event_time)
@@ -24,6 +24,11 @@ def _ev_stream(spark: SparkSession, sf: str, **kw) -> DataFrame:
     return e.select("event_id", "ts", "user_id", "event_type", cents("value").alias("c"))
 
 
+def _sized(spark: SparkSession, sf: str, conf: dict | None = None) -> dict:
+    """Stream confs plus state partitions sized from the replayed table."""
+    return {**(conf or {}), "spark.sql.shuffle.partitions": str(state_partitions(spark, sf, "events"))}
+
+
 def _ntz_bounds(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumn(start, F.col(start).cast("timestamp_ntz")).withColumn(end, F.col(end).cast("timestamp_ntz"))
 
@@ -31,35 +36,38 @@ def _ntz_bounds(df: DataFrame, start: str, end: str) -> DataFrame:
 def q_group_sum_stream(spark, sf):
     ev = table_stream(spark, sf, "events").select("event_type")
     agg = prefix_filter(ev, "event_type", ["c", "p"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return run_to_completion(spark, agg, "group_sum_stream", "complete", keys=["event_type"])
+    return run_to_completion(spark, agg, "group_sum_stream", "complete", keys=["event_type"],
+                             conf=_sized(spark, sf))
 
 
 def q_anti_broadcast_stream(spark, sf):
     excluded = load_table(spark, sf, "events").filter(F.col("value") > EXCLUDE_ABOVE).select("user_id")
     kept = exclude_stream(table_stream(spark, sf, "events").select("event_id", "user_id", "event_type"),
                           excluded, "user_id")
-    return run_to_completion(spark, kept, "anti_broadcast_stream", "append")
+    return run_to_completion(spark, kept, "anti_broadcast_stream", "append", conf=_sized(spark, sf))
 
 
 def q_tumbling_stream(spark, sf):
     ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
     agg = window_agg_stream(ev, "et", "1 hour", None, {"n": F.count(F.lit(1)), "sum_c": F.sum("c")},
                             keys=["event_type"])
-    out = run_to_completion(spark, agg, "tumbling_stream", "update", keys=["event_type", "window_start"])
+    out = run_to_completion(spark, agg, "tumbling_stream", "update", keys=["event_type", "window_start"],
+                            conf=_sized(spark, sf))
     return _ntz_bounds(out, "window_start", "window_end")
 
 
 def q_sliding_global_stream(spark, sf):
     ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
     agg = window_agg_stream(ev, "et", "4 hours", "2 hours", {"n": F.count(F.lit(1)), "sum_c": F.sum("c")})
-    out = run_to_completion(spark, agg, "sliding_global_stream", "update", keys=["window_start"])
+    out = run_to_completion(spark, agg, "sliding_global_stream", "update", keys=["window_start"],
+                            conf=_sized(spark, sf))
     return _ntz_bounds(out, "window_start", "window_end")
 
 
 def q_session_global_stream(spark, sf):
     ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
     agg = session_agg_stream(ev, "et", "5 minutes", {"n": F.count(F.lit(1)), "sum_c": F.sum("c")})
-    out = run_to_completion(spark, agg, "session_global_stream", "complete", conf=SESSION_CONF)
+    out = run_to_completion(spark, agg, "session_global_stream", "complete", conf=_sized(spark, sf, SESSION_CONF))
     return _ntz_bounds(out, "session_start", "session_end")
 
 
@@ -70,7 +78,7 @@ def q_session_watermark_stream(spark, sf):
     agg = session_agg_stream(ev, "et", f"{SESSION_GAP_GLOBAL_US // 1_000_000} seconds",
                              {"n": F.count(F.lit(1)), "sum_c": F.sum("c")})
     out = run_to_completion(spark, agg, "session_watermark_stream", "append",
-                            conf={**SESSION_CONF, **LATE_PARITY_CONF})
+                            conf=_sized(spark, sf, {**SESSION_CONF, **LATE_PARITY_CONF}))
     return _ntz_bounds(out, "session_start", "session_end")
 
 
@@ -80,7 +88,7 @@ def _count_window_10(ev: DataFrame) -> DataFrame:
 
 def q_count_window_10_stream(spark, sf):
     out = run_to_completion(spark, _count_window_10(_ev_stream(spark, sf)), "count_window_10_stream",
-                            "append", conf=STATEFUL_CONF)
+                            "append", conf=_sized(spark, sf))
     return out.select("user_id", "window_no", "total")
 
 
@@ -88,7 +96,7 @@ def q_state_snapshot(spark, sf):
     """K5: leftover count per user, read from the state of the count-window
     stream after it has consumed the table."""
     run = StreamRun(spark, "state_snapshot")
-    run.run(_count_window_10(_ev_stream(spark, sf)), "append", STATEFUL_CONF)
+    run.run(_count_window_10(_ev_stream(spark, sf)), "append", _sized(spark, sf))
     st = read_state(spark, run.checkpoint, "cnt").filter(F.col("value.count") > 0)
     return st.select(F.col("key.user_id").alias("user_id"), F.col("value.count").alias("leftover"))
 
@@ -112,7 +120,7 @@ def q_recovered_stream(spark, sf):
     def start():
         return start_stream(source(), run.out, run.checkpoint, "append")
 
-    with scoped_conf(spark, STATEFUL_CONF):
+    with scoped_conf(spark, _sized(spark, sf, STATEFUL_CONF)):
         ev.filter(F.col("event_id") <= mid).write.parquet(f"{landing}/part=00000")
         run_with_restarts(start, attempts=3, delay_s=0.1)      # runs, then stops
         ev.filter(F.col("event_id") > mid).write.parquet(f"{landing}/part=00001")
@@ -123,27 +131,27 @@ def q_recovered_stream(spark, sf):
 def q_batched_sink_stream(spark, sf):
     ev = _ev_stream(spark, sf).withColumn("shard", F.col("event_id") % SINK_SHARDS)
     out = batched_sink_stream(ev, "shard", "event_id", "c", SINK_THRESHOLD)
-    res = run_to_completion(spark, out, "batched_sink_stream", "append", conf=STATEFUL_CONF)
+    res = run_to_completion(spark, out, "batched_sink_stream", "append", conf=_sized(spark, sf))
     return res.select("shard", "batch_no", "rows", "first_event_id", "last_event_id", "total")
 
 
 def q_rolling_sum_stream(spark, sf):
     """R2 in emit-per-row form on a stream."""
     q = rolling_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", "event_type", emit="row")
-    out = run_to_completion(spark, q, "rolling_sum_stream", "append", conf=STATEFUL_CONF)
+    out = run_to_completion(spark, q, "rolling_sum_stream", "append", conf=_sized(spark, sf))
     return out.select("event_id", "user_id", "c", F.col("sum").alias("sum_c"), "first_event_type")
 
 
 def q_count_trigger_5_stream(spark, sf):
     """W8 on a stream: running totals at every 5th event of a user."""
     q = count_trigger_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", COUNT_TRIGGER, "event_type")
-    return run_to_completion(spark, q, "count_trigger_5_stream", "append", conf=STATEFUL_CONF)
+    return run_to_completion(spark, q, "count_trigger_5_stream", "append", conf=_sized(spark, sf))
 
 
 def q_count_window_10_list_stream(spark, sf):
     """K2 on a stream: list state of the open group, emitted as text."""
     q = count_window_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", COUNT_WINDOW, with_values=True)
-    out = run_to_completion(spark, q, "count_window_10_list_stream", "append", conf=STATEFUL_CONF)
+    out = run_to_completion(spark, q, "count_window_10_list_stream", "append", conf=_sized(spark, sf))
     return out.select("user_id", "window_no", "values", "total")
 
 
@@ -151,7 +159,8 @@ def q_sliding_keyed_stream(spark, sf):
     ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
     agg = window_agg_stream(ev, "et", "2 hours", "1 hour", {"n": F.count(F.lit(1)), "sum_c": F.sum("c")},
                             keys=["event_type"])
-    out = run_to_completion(spark, agg, "sliding_keyed_stream", "update", keys=["event_type", "window_start"])
+    out = run_to_completion(spark, agg, "sliding_keyed_stream", "update", keys=["event_type", "window_start"],
+                            conf=_sized(spark, sf))
     return _ntz_bounds(out, "window_start", "window_end")
 
 
@@ -160,7 +169,7 @@ def q_session_keyed_stream(spark, sf):
     ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
     agg = session_agg_stream(ev, "et", f"{SESSION_GAP_USER_US // 1_000_000} seconds",
                              {"n": F.count(F.lit(1)), "sum_c": F.sum("c")}, keys=["user_id"])
-    out = run_to_completion(spark, agg, "session_keyed_stream", "append", conf=SESSION_CONF)
+    out = run_to_completion(spark, agg, "session_keyed_stream", "append", conf=_sized(spark, sf, SESSION_CONF))
     return _ntz_bounds(out, "session_start", "session_end")
 
 

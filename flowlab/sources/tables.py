@@ -39,3 +39,16 @@ def directory_stream(spark: SparkSession, path: str, schema,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
+
+
+def state_partitions(spark: SparkSession, sf_dir: str, name: str, bytes_per_partition: int = 64 << 20) -> int:
+    """State-store partitions for a stream replaying a table: one per
+    ``bytes_per_partition`` of input, at least the cluster's parallelism and
+    at most the session's ``spark.sql.shuffle.partitions``.  (The count is
+    fixed when a stream's checkpoint is created.)"""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    floor = spark.sparkContext.defaultParallelism
+    return max(1, min(cap, max(floor, -(-int(size) // bytes_per_partition))))
