@@ -98,3 +98,28 @@ def test_keyed_sum_and_readings_stream(spark, tmp_path):
     got2 = sorted((x.session_start.timestamp(), x.session_end.timestamp(), x.total)
                   for x in run.result(q2.schema, "complete").collect())
     assert got2 == [(0.0, 2.0, 3), (2.001, 3.001, 4)]
+
+
+def test_rolling_stream_batch_emit_ends_at_final_values(spark, ref_input, tmp_path):
+    """R-note: ``emit="batch"`` is an update-mode aggregation (one row per key
+    per micro-batch); its last version per key equals the final values."""
+    from flowlab.streaming.operators import rolling_stream
+    q = rolling_stream(jobs.sales_stream(spark, _dir_with(tmp_path, f"{ref_input}/avg1.txt")), "month", None,
+                       "profit", [], emit="batch")
+    run = StreamRun(spark, "rsb")
+    run.run(q, "update")
+    got = {r.month: (r.n, r.sum, r.min, r.max) for r in run.result(q.schema, "update", keys=["month"]).collect()}
+    assert got == {"June": (9, 232, 10, 41), "July": (3, 89, 12, 50), "August": (6, 212, 16, 50)}
+
+
+def test_sales_processing_time_windows(spark, ref_input, tmp_path):
+    d = _dir_with(tmp_path, f"{ref_input}/avg.txt")
+    for kind, mode, keys in (("tumbling", "update", ["month", "window_start"]),
+                             ("session", "complete", ["month", "session_start"])):
+        q = jobs.sales_window_stream(spark, d, kind)
+        run = StreamRun(spark, f"spt-{kind}")
+        run.run(q, mode)
+        res = run.result(q.schema, mode, keys=keys)
+        # every sale lands in exactly one tumbling window / session
+        assert res.agg(F.sum("n")).first()[0] == 258
+        assert res.agg(F.sum("profit")).first()[0] == 2336 + 2577 + 3175
