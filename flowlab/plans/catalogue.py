@@ -230,6 +230,15 @@ def q_count_window_10_hot_key(spark, sf):
     return count_window(_hot(_events(spark, sf)), "hot_user", "event_id", "c", size=COUNT_WINDOW)
 
 
+def q_rolling_argmax_hot_key(spark, sf):
+    return rolling_max_by(_hot(_events(spark, sf).drop("ts")), "hot_user", "event_id", "c", cols=["event_type"],
+                          prefix="argmax").drop("event_type")
+
+
+def q_session_keyed_hot_key(spark, sf):
+    return sessions(_hot(_events(spark, sf)), "ts", SESSION_GAP_USER_US, _wagg(), keys=["hot_user"])
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_project": q_filter_project,
     "parse_lines": q_parse_lines,
@@ -261,5 +270,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iterate_until": q_iterate_until,
     "rolling_sum_hot_key": q_rolling_sum_hot_key,
     "count_window_10_hot_key": q_count_window_10_hot_key,
+    "rolling_argmax_hot_key": q_rolling_argmax_hot_key,
+    "session_keyed_hot_key": q_session_keyed_hot_key,
 }
 

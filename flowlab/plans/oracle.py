@@ -28,15 +28,16 @@ def _outer(how: str) -> str:
     return f"SELECT {sel} FROM ({cust}) c {j} ({supp}) s ON c.nationkey = s.nationkey"
 
 
-def _sessions(gap_us: int, keyed: bool) -> str:
-    part = "PARTITION BY user_id " if keyed else ""
-    key_sel = "user_id, " if keyed else ""
+def _sessions(gap_us: int, keyed: bool, key: str = "user_id", src: str | None = None) -> str:
+    part = f"PARTITION BY {key} " if keyed else ""
+    key_sel = f"{key}, " if keyed else ""
+    src = src or _EV
     return f"""
 WITH f AS (
   SELECT *, CASE WHEN lag(ts) OVER ({part}ORDER BY ts, event_id) IS NULL
                    OR epoch_us(ts) - epoch_us(lag(ts) OVER ({part}ORDER BY ts, event_id)) > {gap_us}
               THEN 1 ELSE 0 END AS new_session
-  FROM {_EV}),
+  FROM {src}),
 g AS (SELECT *, sum(new_session) OVER ({part}ORDER BY ts, event_id {_ROWS}) AS sid FROM f)
 SELECT {key_sel}min(ts) AS session_start, make_timestamp(epoch_us(max(ts)) + {gap_us}) AS session_end,
        count(*) AS n, CAST(sum(c) AS BIGINT) AS sum_c
@@ -194,3 +195,12 @@ SELECT hot_user, (rn - 1) // 10 AS window_no, CAST(sum(c) AS BIGINT) AS total
 FROM (SELECT hot_user, c, row_number() OVER (PARTITION BY hot_user ORDER BY event_id) AS rn FROM {_HOT})
 GROUP BY hot_user, (rn - 1) // 10 HAVING count(*) = 10""",
 })
+
+ORACLE_SQL.update({
+    "rolling_argmax_hot_key": f"""
+SELECT event_id, hot_user, c, m.v AS argmax_c, m.o AS argmax_event_id, m.et AS argmax_event_type
+FROM (SELECT *, max(struct_pack(v := c, t := -event_id, o := event_id, et := event_type))
+                OVER (PARTITION BY hot_user ORDER BY event_id {_ROWS}) AS m
+      FROM {_HOT})""",
+    "session_keyed_hot_key": _sessions(6 * 3_600_000_000, keyed=True, key="hot_user", src=_HOT),
+})
