@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,21 +83,18 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
             return ScanPlan(None)
         chunks = max(2, oversplit * parts)
         return ScanPlan(max(1, -(-(int(row["hi"]) - int(row["lo"]) + 1) // chunks)))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total"),
-                          F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
-        if row is None or not row["total"]:
-            return ScanPlan(None)
-        per_part = max(1.0, row["total"] / parts)
-        threshold = skew_factor * per_part
-        if row["hot"] <= threshold:
-            return ScanPlan(None)
-        # bounded: each hot key has more than total * skew_factor / parts rows
-        hot = tuple(tuple(r) for r in per_key.filter(F.col("_n") > threshold).select(*keys).collect())
-    finally:
-        per_key.unpersist()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi"))
+    row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total"),
+                      F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
+    if row is None or not row["total"]:
+        return ScanPlan(None)
+    per_part = max(1.0, row["total"] / parts)
+    threshold = skew_factor * per_part
+    if row["hot"] <= threshold:
+        return ScanPlan(None)
+    # skewed: a second pass fetches the hot keys; bounded, since each one
+    # holds more than total * skew_factor / parts rows
+    hot = tuple(tuple(r) for r in per_key.filter(F.col("_n") > threshold).select(*keys).collect())
     chunks = max(2, oversplit * -(-int(row["hot"]) // int(per_part)))
     span = int(row["hi"]) - int(row["lo"]) + 1
     return ScanPlan(max(1, -(-span // chunks)), hot)
