@@ -61,48 +61,49 @@ class CountWindowProcessor(StatefulProcessor):
         v = pdf[self.value].to_numpy(dtype=np.int64)
         o = pdf[self.order].to_numpy(dtype=np.int64) if self.order else np.zeros(len(v), dtype=np.int64)
         count, total, first, emitted = self.cnt.get() if self.cnt.exists() else (0, 0, None, 0)
-        g = (count + np.arange(len(v))) // self.size
-        s = pd.DataFrame({"g": g, "v": v, "o": o})
-        agg = s.groupby("g", sort=True).agg(rows=("v", "size"), total=("v", "sum"),
-                                            first=("o", "min"), last=("o", "max"))
-        agg.loc[0, "rows"] += count
-        agg.loc[0, "total"] += total
+        old_values = [r[0] for r in self.buf.get()] if self.with_values and count else []
+        n = len(v)
+        # groups of consecutive positions are contiguous runs of the batch;
+        # every group but the last is complete, so done groups are 0..k-1
+        starts = np.arange(0, n, dtype=np.int64)
+        starts = starts[((count + starts) % self.size == 0) | (starts == 0)]
+        ends = np.append(starts[1:], n)
+        sizes = ends - starts
+        sums = np.add.reduceat(v, starts)
+        firsts, lasts = o[starts], o[ends - 1]
+        sizes[0] += count
+        sums[0] += total
         if count and first is not None:
-            agg.loc[0, "first"] = first
-        done = agg[agg["rows"] == self.size]
-        open_ = agg[agg["rows"] < self.size]
-        old_values = [r[0] for r in self.buf.get()] if self.with_values and self.buf.exists() else []
-        if not done.empty:
-            out = pd.DataFrame({k: [key[i]] * len(done) for i, k in enumerate(self.key_names)})
-            out["window_no"] = (emitted + done.index.to_numpy()).astype(np.int64)
-            out["rows"] = done["rows"].to_numpy(dtype=np.int64)
-            out["total"] = done["total"].to_numpy(dtype=np.int64)
+            firsts[0] = first
+        done = sizes == self.size
+        k = int(done.sum())
+        if k:
+            out = pd.DataFrame({kn: [key[i]] * k for i, kn in enumerate(self.key_names)})
+            out["window_no"] = emitted + np.arange(k, dtype=np.int64)
+            out["rows"] = sizes[done]
+            out["total"] = sums[done]
             if self.order:
-                out[f"first_{self.order}"] = done["first"].to_numpy(dtype=np.int64)
-                out[f"last_{self.order}"] = done["last"].to_numpy(dtype=np.int64)
+                out[f"first_{self.order}"] = firsts[done]
+                out[f"last_{self.order}"] = lasts[done]
             if self.with_values:
-                # g is non-decreasing: one split at the group boundaries, O(rows)
-                pieces = np.split(v, np.flatnonzero(np.diff(g)) + 1)
                 texts = []
-                for gi in done.index:
-                    vals = pieces[gi].tolist()
-                    if gi == 0:
+                for j in np.flatnonzero(done):
+                    vals = v[starts[j]:ends[j]].tolist()
+                    if j == 0:
                         vals = old_values + vals
                     texts.append("".join(f" {x}" for x in vals))
                 out["values"] = texts
             yield out
-        emitted += len(done)
-        if open_.empty:
+        emitted += k
+        if done[-1]:
             self.cnt.update((0, 0, None, int(emitted)))
             if self.with_values:
                 self.buf.clear()
         else:
-            gi = int(open_.index[0])
-            row = open_.iloc[0]
-            self.cnt.update((int(row["rows"]), int(row["total"]), int(row["first"]), int(emitted)))
+            self.cnt.update((int(sizes[-1]), int(sums[-1]), int(firsts[-1]), int(emitted)))
             if self.with_values:
-                vals = v[g == gi].tolist()   # the open group is the last one: one pass
-                if gi == 0:
+                vals = v[starts[-1]:].tolist()
+                if len(starts) == 1:
                     vals = old_values + vals
                 self.buf.put([(int(x),) for x in vals])
 
