@@ -121,6 +121,10 @@ def run_to_completion(spark: SparkSession, df: DataFrame, name: str, output_mode
     """Process everything available (``availableNow``) and return the sink's
     content as a batch DataFrame."""
     run = StreamRun(spark, name)
+    if output_mode != "append":
+        # update / complete: the sink holds the final values after the last
+        # data batch; a trailing no-data batch would only evict state
+        conf = {"spark.sql.streaming.noDataMicroBatches.enabled": "false", **(conf or {})}
     run.run(df, output_mode, conf)
     return run.result(df.schema, output_mode, keys)
 
