@@ -23,13 +23,34 @@ from flowlab.streaming.operators import (count_trigger_stream, count_window_stre
                                          window_agg_stream, with_event_time)
 from flowlab.streaming.runner import STATEFUL_CONF, scoped_conf, versioned_writer
 
-
-def word_count(spark: SparkSession, input: str, output: str | None = None, prefix: str = "N") -> DataFrame:
+# Fixed values of the reference's programs; results equal the reference's only with these.
+WORD_PREFIX = "N"                       # word count keeps lines starting with this
+OUTPUT_SEP = " "                        # field separator of the delimited sink
+MISSING_FILL = "NULL"                   # text written for the missing side of an outer join
+COUNT_TRIGGER_EVERY = 5                 # global window fires on every 5th row of a key
+COUNT_WINDOW_SIZE = 10                  # keyed state sums every 10 values
+TUMBLING = "2 seconds"                  # sales windows on processing time
+SLIDING, SLIDE = "2 seconds", "1 second"
+SALES_SESSION_GAP = "1 second"
+READING_SLIDING, READING_SLIDE = "4 seconds", "2 seconds"   # readings windows on event time
+READING_SESSION_GAP = "1 second"
+LATE_SESSION_GAP, LATE_DELAY = "10 seconds", "3500 milliseconds"   # bounded-lateness watermark job
+ITERATE_FROM, ITERATE_TO, ITERATE_TARGET = 0, 5, 10
+
+
+def _micros(interval: str) -> int:
+    """``"<n> seconds" / "<n> second" / "<n> milliseconds"`` in microseconds."""
+    n, unit = interval.split()
+    scale = {"second": 1_000_000, "seconds": 1_000_000, "millisecond": 1_000, "milliseconds": 1_000}[unit]
+    return int(n) * scale
+
+
+def word_count(spark: SparkSession, input: str, output: str | None = None, prefix: str = WORD_PREFIX) -> DataFrame:
     """Lines starting with ``prefix`` (one line = one word), counted."""
     words = prefix_filter(read_lines(spark, input, with_seq=False), "value", prefix)
     counts = group_sum(pair_one(words, "value"), "value", "one", name="n").withColumnRenamed("value", "word")
     if output:
-        write_delimited(counts, output, sep=" ")
+        write_delimited(counts, output, sep=OUTPUT_SEP)
     return counts
 
 
@@ -39,9 +60,9 @@ def join_people(spark: SparkSession, input1: str, input2: str, how: str = "inner
     fill the missing side with the string ``NULL``."""
     person = parse_fields(read_lines(spark, input1, with_seq=False), "person")
     location = parse_fields(read_lines(spark, input2, with_seq=False), "location")
-    out = equi_join(person, location, "id", how, fill="NULL")
+    out = equi_join(person, location, "id", how, fill=MISSING_FILL)
     if output:
-        write_delimited(out, output, sep=" ")
+        write_delimited(out, output, sep=OUTPUT_SEP)
     return out
 
 
@@ -92,7 +113,7 @@ def final_sales(spark: SparkSession, input: str) -> DataFrame:
     return final_aggregates(sales(spark, input), "month", "seq", "profit", cols=["category", "product"])
 
 
-def count_trigger_sales(spark: SparkSession, input: str, every: int = 5) -> DataFrame:
+def count_trigger_sales(spark: SparkSession, input: str, every: int = COUNT_TRIGGER_EVERY) -> DataFrame:
     """Global window per month firing every ``every`` rows with running totals
     (profit, row count) and the month's first category/product."""
     s = sales(spark, input)
@@ -108,16 +129,17 @@ def split_numbers(spark: SparkSession, input: str, output: str | None = None) ->
     return parts
 
 
-def iterate_to_ten(spark: SparkSession, start: int = 0, end: int = 5, max_iter: int = 100) -> DataFrame:
+def iterate_to_ten(spark: SparkSession, start: int = ITERATE_FROM, end: int = ITERATE_TO,
+                   max_iter: int = 100) -> DataFrame:
     """``(n, 0)`` for ``n`` in ``start..end``; add 1 to both until ``n = 10``."""
     seed = sequence(spark, start, end).select(F.col("n").cast("bigint"), F.lit(0).cast("bigint").alias("m"))
 
     def step(df):
-        done = F.col("n") == 10
+        done = F.col("n") == ITERATE_TARGET
         return df.select(F.when(done, F.col("n")).otherwise(F.col("n") + 1).alias("n"),
                          F.when(done, F.col("m")).otherwise(F.col("m") + 1).alias("m"))
 
-    return iterate(seed, step, lambda: F.col("n") == 10, max_iter=max_iter)
+    return iterate(seed, step, lambda: F.col("n") == ITERATE_TARGET, max_iter=max_iter)
 
 
 def department_counts(spark: SparkSession, input: str, excluded: str) -> DataFrame:
@@ -141,14 +163,15 @@ def reading_windows(spark: SparkSession, input: str, kind: str = "sliding") -> D
     r = readings(spark, input)
     aggs = {"total": ("sum", F.col("value"))}
     if kind == "sliding":
-        return sliding(r, "ts", "4 seconds", "2 seconds", aggs)
+        return sliding(r, "ts", READING_SLIDING, READING_SLIDE, aggs)
     if kind == "tumbling":
-        return tumbling(r, "ts", "2 seconds", aggs)
-    gap = 1_000_000 if kind == "session" else 10_000_000
-    return sessions(r, "ts", gap, aggs)
+        return tumbling(r, "ts", TUMBLING, aggs)
+    gap = READING_SESSION_GAP if kind == "session" else LATE_SESSION_GAP
+    return sessions(r, "ts", _micros(gap), aggs)
 
 
-def keyed_count_windows(spark: SparkSession, input: str, size: int = 10, with_values: bool = False) -> DataFrame:
+def keyed_count_windows(spark: SparkSession, input: str, size: int = COUNT_WINDOW_SIZE,
+                        with_values: bool = False) -> DataFrame:
     """``key,value`` lines: sum of every ``size`` values per key."""
     kn = parse_fields(read_lines(spark, input), "keyed_number", keep=["seq"])
     if with_values:
@@ -178,7 +201,7 @@ def run_stream_job(df: DataFrame, output: str, checkpoint: str, output_mode: str
         return w.start()
 
 
-def word_count_stream(spark: SparkSession, input_dir: str, prefix: str = "N") -> DataFrame:
+def word_count_stream(spark: SparkSession, input_dir: str, prefix: str = WORD_PREFIX) -> DataFrame:
     """Running count per word (update mode: one row per word per batch)."""
     words = prefix_filter(line_stream(spark, input_dir), "value", prefix)
     return words.groupBy(F.col("value").alias("word")).agg(F.count(F.lit(1)).alias("n"))
@@ -209,15 +232,16 @@ def sales_window_stream(spark: SparkSession, input_dir: str, kind: str = "tumbli
     s = processing_time(sales_stream(spark, input_dir, **kw), "t")
     aggs = {"profit": F.sum("profit"), "n": F.count(F.lit(1))}
     if kind == "tumbling":
-        return window_agg_stream(s, "t", "2 seconds", None, aggs, keys=["month"])
+        return window_agg_stream(s, "t", TUMBLING, None, aggs, keys=["month"])
     if kind == "sliding":
-        return window_agg_stream(s, "t", "2 seconds", "1 second", aggs, keys=["month"])
+        return window_agg_stream(s, "t", SLIDING, SLIDE, aggs, keys=["month"])
     if kind == "session":
-        return session_agg_stream(s.withWatermark("t", "0 seconds"), "t", "1 second", aggs, keys=["month"])
+        return session_agg_stream(s.withWatermark("t", "0 seconds"), "t", SALES_SESSION_GAP, aggs, keys=["month"])
     raise ValueError(kind)
 
 
-def sales_count_trigger_stream(spark: SparkSession, input_dir: str, every: int = 5, **kw) -> DataFrame:
+def sales_count_trigger_stream(spark: SparkSession, input_dir: str, every: int = COUNT_TRIGGER_EVERY,
+                               **kw) -> DataFrame:
     """Cumulative profit at every ``every``-th row of a month."""
     s = sales_stream(spark, input_dir, **kw)
     return count_trigger_stream(s, "month", None, "profit", every, "category")
@@ -228,19 +252,19 @@ def readings_window_stream(spark: SparkSession, input_dir: str, kind: str = "sli
     ``sliding`` 4 s / 2 s with a monotone watermark (W4), ``session`` gap 1 s
     (W6), ``watermark`` session gap 10 s with 3.5 s allowed lateness (W7)."""
     r = parse_fields(line_stream(spark, input_dir, **kw), "reading")
-    delay = "3500 milliseconds" if kind == "watermark" else "0 seconds"
+    delay = LATE_DELAY if kind == "watermark" else "0 seconds"
     r = with_event_time(r, "ts_ms", "et", delay, millis=True)
     aggs = {"total": F.sum("value")}
     if kind == "sliding":
-        return window_agg_stream(r, "et", "4 seconds", "2 seconds", aggs)
+        return window_agg_stream(r, "et", READING_SLIDING, READING_SLIDE, aggs)
     if kind == "session":
-        return session_agg_stream(r, "et", "1 second", aggs)
+        return session_agg_stream(r, "et", READING_SESSION_GAP, aggs)
     if kind == "watermark":
-        return session_agg_stream(r, "et", "10 seconds", aggs)
+        return session_agg_stream(r, "et", LATE_SESSION_GAP, aggs)
     raise ValueError(kind)
 
 
-def keyed_sum_stream(spark: SparkSession, input_dir: str, size: int = 10, with_values: bool = False,
+def keyed_sum_stream(spark: SparkSession, input_dir: str, size: int = COUNT_WINDOW_SIZE, with_values: bool = False,
                      **kw) -> DataFrame:
     """K1-K4: ``key,value`` lines; the sum of every ``size`` values of a key
     (with the values as text for K2)."""
