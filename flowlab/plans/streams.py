@@ -97,7 +97,7 @@ def q_state_snapshot(spark, sf):
     stream after it has consumed the table."""
     run = StreamRun(spark, "state_snapshot")
     run.run(_count_window_10(_ev_stream(spark, sf)), "append", _sized(spark, sf))
-    st = read_state(spark, run.checkpoint, "cnt").filter(F.col("value.count") > 0)
+    st = read_state(spark, run.checkpoint).filter(F.col("value.count") > 0)
     return st.select(F.col("key.user_id").alias("user_id"), F.col("value.count").alias("leftover"))
 
 

@@ -9,7 +9,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from flowlab.streaming.stateful import CountTriggerProcessor, CountWindowProcessor, RollingProcessor
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from flowlab.streaming.stateful import (CountTriggerProcessor, CountWindowProcessor, RollingProcessor,
+                                        count_trigger_fn, count_trigger_state_schema, count_window_fn,
+                                        count_window_state_schema, rolling_fn, rolling_state_schema)
+
+PANDAS_STATE = "applyInPandasWithState"
+TRANSFORM_WITH_STATE = "transformWithStateInPandas"
+
+
+def _stateful(grouped, engine: str, fn, processor, out_schema: StructType, state_schema: str) -> DataFrame:
+    if engine == PANDAS_STATE:
+        return grouped.applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    if engine == TRANSFORM_WITH_STATE:
+        return grouped.transformWithStateInPandas(processor, out_schema, "Append", "None")
+    raise ValueError(f"unknown state engine {engine!r}")
 
 
 def _keys(keys) -> list[str]:
@@ -80,7 +95,7 @@ def exclude_per_batch(load_excluded, key: str, write, max_broadcast_rows: int |
 
 
 def count_window_stream(df: DataFrame, keys, order: str | None, value: str, size: int = 10,
-                        with_values: bool = False) -> DataFrame:
+                        with_values: bool = False, engine: str = PANDAS_STATE) -> DataFrame:
     """K1-K4 on a stream (``order=None``: the order rows are delivered in)."""
     keys = _keys(keys)
     fields = _key_fields(df, keys) + [StructField("window_no", LongType()), StructField("rows", LongType()),
@@ -89,32 +104,35 @@ def count_window_stream(df: DataFrame, keys, order: str | None, value: str, size
         fields += [StructField(f"first_{order}", LongType()), StructField(f"last_{order}", LongType())]
     if with_values:
         fields.append(StructField("values", StringType()))
-    proc = CountWindowProcessor(keys, order, value, size, with_values)
     cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value)]
-    return df.select(*cols).groupBy(*keys).transformWithStateInPandas(
-        proc, StructType(fields), "Append", "None")
+    return _stateful(df.select(*cols).groupBy(*keys), engine,
+                     count_window_fn(keys, order, value, size, with_values),
+                     CountWindowProcessor(keys, order, value, size, with_values) if engine == TRANSFORM_WITH_STATE
+                     else None, StructType(fields), count_window_state_schema(with_values))
 
 
-def batched_sink_stream(df: DataFrame, shard, order: str, value: str, threshold: int) -> DataFrame:
+def batched_sink_stream(df: DataFrame, shard, order: str, value: str, threshold: int,
+                        engine: str = PANDAS_STATE) -> DataFrame:
     """S10/K9 on a stream: per-shard buffer flushed at ``threshold`` rows;
     write the result with ``foreachBatch`` (idempotent on the batch id)."""
-    out = count_window_stream(df, shard, order, value, threshold)
+    out = count_window_stream(df, shard, order, value, threshold, engine=engine)
     return out.withColumnRenamed("window_no", "batch_no")
 
 
 def count_trigger_stream(df: DataFrame, keys, order: str | None, value: str, every: int,
-                         carry: str) -> DataFrame:
+                         carry: str, engine: str = PANDAS_STATE) -> DataFrame:
     """W8 on a stream (``order=None``: the order rows are delivered in)."""
     keys = _keys(keys)
     fields = _key_fields(df, keys) + ([df.schema[order]] if order else []) + [
         StructField("n", LongType()), StructField("total", LongType()), StructField(f"first_{carry}", StringType())]
-    proc = CountTriggerProcessor(keys, order, value, every, carry)
     cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value), carry]
-    return df.select(*cols).groupBy(*keys).transformWithStateInPandas(
-        proc, StructType(fields), "Append", "None")
+    return _stateful(df.select(*cols).groupBy(*keys), engine, count_trigger_fn(keys, order, value, every, carry),
+                     CountTriggerProcessor(keys, order, value, every, carry) if engine == TRANSFORM_WITH_STATE
+                     else None, StructType(fields), count_trigger_state_schema(carry))
 
 
-def rolling_stream(df: DataFrame, keys, order: str | None, value: str, carry, emit: str = "row") -> DataFrame:
+def rolling_stream(df: DataFrame, keys, order: str | None, value: str, carry, emit: str = "row",
+                   engine: str = PANDAS_STATE) -> DataFrame:
     """R1-R8 on a stream.
 
     ``emit="row"``: one row per input row (exact rolling semantics, state
@@ -133,16 +151,23 @@ def rolling_stream(df: DataFrame, keys, order: str | None, value: str, carry, em
         StructField("min", LongType()), StructField("max", LongType())]
     for p in ("first", "argmin", "argmax"):
         fields += [StructField(f"{p}_{c}", StringType()) for c in carry]
-    proc = RollingProcessor(keys, order, value, carry)
     cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value), *carry]
-    return df.select(*cols).groupBy(*keys).transformWithStateInPandas(
-        proc, StructType(fields), "Append", "None")
+    return _stateful(df.select(*cols).groupBy(*keys), engine, rolling_fn(keys, order, value, carry),
+                     RollingProcessor(keys, order, value, carry) if engine == TRANSFORM_WITH_STATE else None,
+                     StructType(fields), rolling_state_schema(carry))
 
 
-def read_state(spark, checkpoint: str, state_var: str, operator_id: int | None = None) -> DataFrame:
+def read_state(spark, checkpoint: str, state_var: str | None = None, operator_id: int | None = None) -> DataFrame:
     """K5: read keyed state of a stream from its checkpoint (consistent as of
-    the last committed micro-batch): ``key`` and ``value`` structs."""
-    r = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", state_var)
+    the last committed micro-batch) as ``key`` and ``value`` structs.
+    ``state_var`` names a ``transformWithState`` variable; without it the
+    ``applyInPandasWithState`` state is read."""
+    r = spark.read.format("statestore").option("path", checkpoint)
+    if state_var:
+        r = r.option("stateVarName", state_var)
     if operator_id is not None:
         r = r.option("operatorId", operator_id)
-    return r.load()
+    df = r.load()
+    if state_var:
+        return df.select("key", "value")
+    return df.select("key", F.col("value.groupState").alias("value"))

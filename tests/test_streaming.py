@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from flowlab.operators import count_trigger, count_window, count_window_list, rolling_sum
 from flowlab.sources.tables import directory_stream
-from flowlab.streaming.operators import (count_trigger_stream, count_window_stream, read_state,
-                                         rolling_stream, session_agg_stream, with_event_time)
+from flowlab.streaming.operators import (PANDAS_STATE, TRANSFORM_WITH_STATE, count_trigger_stream,
+                                         count_window_stream, read_state, rolling_stream, session_agg_stream,
+                                         with_event_time)
 from flowlab.streaming.runner import (LATE_PARITY_CONF, SESSION_CONF, STATEFUL_CONF, StreamRun, path_exists)
 
 
@@ -47,16 +48,18 @@ def _schema(spark, columns, rows):
     return spark.createDataFrame(pd.DataFrame(rows, columns=columns)).schema
 
 
-@pytest.mark.parametrize("parts", [1, 3, 11])
-def test_count_window_stream_equals_batch(spark, tmp_path, parts):
+@pytest.mark.parametrize("parts,engine", [(1, PANDAS_STATE), (3, PANDAS_STATE), (11, PANDAS_STATE),
+                                          (3, TRANSFORM_WITH_STATE), (11, TRANSFORM_WITH_STATE)])
+def test_count_window_stream_equals_batch(spark, tmp_path, parts, engine):
     rows = keyed_numbers()
     cols = ["seq", "key", "value"]
     land(str(tmp_path / "in"), cut(rows, parts), cols)
     schema = _schema(spark, cols, rows)
     src = directory_stream(spark, str(tmp_path / "in"), schema, max_files_per_trigger=1)
+    q = count_window_stream(src, "key", "seq", "value", 10, with_values=True, engine=engine)
     run = StreamRun(spark, "cw")
-    run.run(count_window_stream(src, "key", "seq", "value", 10, with_values=True), "append", STATEFUL_CONF)
-    got = run.result(count_window_stream(src, "key", "seq", "value", 10, with_values=True).schema)
+    run.run(q, "append", STATEFUL_CONF)
+    got = run.result(q.schema)
     batch = count_window_list(spark.createDataFrame(pd.DataFrame(rows, columns=cols)), "key", "seq", "value", 10)
     norm = lambda df: sorted((r["key"], r["window_no"], r["values"], r["total"]) for r in df.collect())  # noqa
     assert norm(got) == norm(batch)
@@ -67,13 +70,13 @@ def test_count_window_stream_equals_batch(spark, tmp_path, parts):
     assert per_key == {1: 0, 2: 1, 3: 1, 4: 2}
     assert all(r["values"].startswith(" ") and len(r["values"].split()) == 10 for r in got.collect())
     # leftovers read from the state store: 9, 0, 1, 0
-    st = read_state(spark, run.checkpoint, "cnt")
+    st = read_state(spark, run.checkpoint, "cnt" if engine == TRANSFORM_WITH_STATE else None)
     left = {r["key"]["key"]: r["value"]["count"] for r in st.collect()}
     assert left == {1: 9, 2: 0, 3: 1, 4: 0}
 
 
-@pytest.mark.parametrize("parts", [1, 4])
-def test_count_trigger_and_rolling_stream_equal_batch(spark, tmp_path, parts):
+@pytest.mark.parametrize("parts,engine", [(1, PANDAS_STATE), (4, PANDAS_STATE), (4, TRANSFORM_WITH_STATE)])
+def test_count_trigger_and_rolling_stream_equal_batch(spark, tmp_path, parts, engine):
     rows = [(seq, key, v, f"t{key}-{seq}") for seq, key, v in keyed_numbers()]
     cols = ["seq", "key", "value", "tag"]
     land(str(tmp_path / "in"), cut(rows, parts), cols)
@@ -82,7 +85,7 @@ def test_count_trigger_and_rolling_stream_equal_batch(spark, tmp_path, parts):
 
     src = directory_stream(spark, str(tmp_path / "in"), schema, max_files_per_trigger=1)
     run = StreamRun(spark, "ct")
-    q = count_trigger_stream(src, "key", "seq", "value", 5, "tag")
+    q = count_trigger_stream(src, "key", "seq", "value", 5, "tag", engine=engine)
     run.run(q, "append", STATEFUL_CONF)
     got = sorted((r["key"], r["seq"], r["n"], r["total"], r["first_tag"]) for r in run.result(q.schema).collect())
     exp = sorted((r["key"], r["seq"], r["n"], r["total"], r["first_tag"])
@@ -90,7 +93,7 @@ def test_count_trigger_and_rolling_stream_equal_batch(spark, tmp_path, parts):
     assert got == exp
 
     run2 = StreamRun(spark, "roll")
-    q2 = rolling_stream(src, "key", "seq", "value", "tag", emit="row")
+    q2 = rolling_stream(src, "key", "seq", "value", "tag", emit="row", engine=engine)
     run2.run(q2, "append", STATEFUL_CONF)
     got2 = sorted((r["key"], r["seq"], r["sum"], r["first_tag"]) for r in run2.result(q2.schema).collect())
     exp2 = sorted((r["key"], r["seq"], r["s"], r["first_tag"])
