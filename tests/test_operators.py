@@ -140,3 +140,18 @@ def test_running_matches_brute_force(spark, data, width, include_current, hot):
            running(df, "k", "o", aggs, include_current=include_current,
                    chunk_width=width if hot is None else ScanPlan(width, hot)).collect()}
     assert got == _brute(pdf, include_current)
+
+
+@pytest.mark.parametrize("keys,gap_s,width", [(None, 300, 7), (["user_id"], 6 * 3600, 3), (["user_id"], 300, 50)])
+def test_sessions_split_path_equals_native(spark, keys, gap_s, width):
+    """The forced two-level path (used when the time span holds many buckets)
+    against Spark's own session_window on the sf0.01 events."""
+    from conftest import SF_ORACLE
+    ev = spark.read.parquet(f"{SF_ORACLE}/events.parquet").select(
+        "ts", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("c"))
+    aggs = {"n": ("count", F.lit(1)), "s": ("sum", F.col("c"))}
+    ours = sessions(ev, "ts", gap_s * 1_000_000, aggs, keys=keys, chunk_width=width)
+    native = sessions_native(ev if keys else ev.withColumn("k", F.lit(0)), "ts", f"{gap_s} seconds", aggs,
+                             keys or ["k"])
+    cols = [*(keys or []), "session_start", "session_end", "n", "s"]
+    assert sorted(map(tuple, ours.select(*cols).collect())) == sorted(map(tuple, native.select(*cols).collect()))
