@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from flowlab.functions.exprs import cents
 from flowlab.functions.parse import parse_fields
 from flowlab.operators import (count_trigger, count_window, count_window_list, delayed_arrival, equi_join,
-                               exclude, final_aggregates, group_sum, iterate, late_report, parity_split,
+                               exclude, final_aggregates, group_sum, iterate, late_report,
                                prefix_filter, ratio, rolling_avg, rolling_count, rolling_max,
                                rolling_max_by, rolling_min, rolling_min_by, rolling_reduce, rolling_sum,
-                               sessions, sliding, tag_field, tumbling, batched)
+                               sessions, sliding, tag_branches, tag_field, tumbling, batched)
+from flowlab.operators.prefix import plan_chunks
 from flowlab.sources.tables import load_table
 
 HOUR_US = 3_600_000_000
@@ -66,10 +67,11 @@ def q_group_sum(spark, sf):
 
 
 def q_split_even_odd(spark, sf):
-    parts = parity_split(load_table(spark, sf, "events").select("event_id"), "event_id")
-    tagged = [parts[b].select(F.lit(b).alias("branch"), F.col("event_id").cast("bigint").alias("event_id"))
-              for b in ("main", "even", "odd")]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    # all side outputs as one tagged result, one scan (``split_by`` gives
+    # the same branches as separate, separately typed DataFrames)
+    ev = load_table(spark, sf, "events").select("event_id")
+    n = F.col("event_id")
+    return tag_branches(ev, {"even": n % 2 == 0, "odd": n % 2 != 0}).select("branch", "event_id")
 
 
 # ---------------------------------------------------------------- joins
@@ -101,8 +103,11 @@ def _outer(how):
 
 def q_anti_broadcast_count(spark, sf):
     ev = load_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    # skew measured before the exclusion: an upper bound per key, without
+    # evaluating the anti-join twice
+    plan = plan_chunks(ev, "event_type", "event_id")
     kept = exclude(ev, ev.filter(F.col("value") > EXCLUDE_ABOVE).select("user_id"), "user_id")
-    return rolling_count(kept.drop("value"), "event_type", "event_id", name="n")
+    return rolling_count(kept.drop("value"), "event_type", "event_id", name="n", chunk_width=plan)
 
 
 # ---------------------------------------------------------------- rolling

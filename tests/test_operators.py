@@ -61,6 +61,15 @@ def test_parity_split_negative_odd(spark):
     assert sorted(r.n for r in parts["odd"].collect()) == [-3, 7]
 
 
+def test_tag_branches_one_pass(spark):
+    from flowlab.operators import tag_branches
+    df = spark.createDataFrame([(-3,), (-4,), (0,), (7,)], "n int")
+    got = sorted((r.branch, r.n) for r in tag_branches(df, {"even": F.col("n") % 2 == 0,
+                                                            "odd": F.col("n") % 2 != 0}).collect())
+    assert got == sorted([("main", -3), ("main", -4), ("main", 0), ("main", 7),
+                          ("even", -4), ("even", 0), ("odd", -3), ("odd", 7)])
+
+
 def test_session_gap_edge(spark):
     df = spark.createDataFrame([(0,), (1000,), (2001,)], "ms long").withColumn("ts", F.timestamp_millis("ms"))
     aggs = {"n": ("count", F.lit(1))}
