@@ -73,7 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
-        # Local / test runs only: the cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            # a machine-local folder would split checkpoints across hosts
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local / test runs only
         configured = tempfile.mkdtemp(prefix="flowlab-ckpt-", dir=os.environ.get("FLOWLAB_SCRATCH", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
