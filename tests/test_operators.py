@@ -96,6 +96,19 @@ def test_batched_keeps_remainder(spark):
     assert got == [(0, 0, 5), (0, 1, 5), (1, 0, 5), (1, 1, 5)]  # 13 and 12 rows: remainders stay buffered
 
 
+def test_iterate_fused_rounds_equal_single_rounds(spark):
+    df = spark.range(0, 40).select((F.col("id") % 11).alias("n"), F.lit(0).alias("m"))
+
+    def step(d):
+        done = F.col("n") == 10
+        return d.select(F.when(done, F.col("n")).otherwise(F.col("n") + 1).alias("n"),
+                        F.when(done, F.col("m")).otherwise(F.col("m") + 1).alias("m"))
+
+    one = sorted(map(tuple, iterate(df, step, lambda: F.col("n") == 10, max_iter=20).collect()))
+    fused = sorted(map(tuple, iterate(df, step, lambda: F.col("n") == 10, max_iter=20, fuse=3).collect()))
+    assert one == fused and len(one) == 40
+
+
 def test_iterate_limit(spark):
     df = spark.createDataFrame([(11,)], "n long")
     with pytest.raises(IterationLimitExceeded):
