@@ -14,12 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.functions.exprs import event_time, millis_to_time
+
 from flowlab.operators.prefix import AUTO, running
 
 
 def with_event_time(df: DataFrame, col: str, name: str = "event_time", millis: bool = False) -> DataFrame:
     """Event-time column; ``millis=True`` reads epoch milliseconds."""
-    c = F.timestamp_millis(F.col(col)) if millis else F.col(col).cast("timestamp")
+    c = millis_to_time(col) if millis else event_time(col)
     return df.withColumn(name, c)
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.functions.exprs import fill_missing
+
 _HOW = {"inner": "inner", "left": "left", "right": "right", "full": "full", "full_outer": "full"}
 
 
@@ -43,11 +45,9 @@ def equi_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     j = lm.join(rm, on=key, how=how)
     cols = [F.col(key)]
     for c in lp:
-        cols.append(F.when(F.col("_fl_l").isNull(), F.lit(fill)).otherwise(F.col(c).cast("string")).alias(c)
-                    if how in ("right", "full") else F.col(c))
+        cols.append(fill_missing(c, "_fl_l", fill).alias(c) if how in ("right", "full") else F.col(c))
     for c in rp:
-        cols.append(F.when(F.col("_fl_r").isNull(), F.lit(fill)).otherwise(F.col(c).cast("string")).alias(c)
-                    if how in ("left", "full") else F.col(c))
+        cols.append(fill_missing(c, "_fl_r", fill).alias(c) if how in ("left", "full") else F.col(c))
     return j.select(*cols)
 
 

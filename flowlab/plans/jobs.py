@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlab.functions.exprs import millis_to_time
 from flowlab.functions.parse import parse_fields
 from flowlab.operators import (count_trigger, count_window, count_window_list, equi_join, exclude,
                                final_aggregates, group_sum, iterate, pair_one, parity_split, prefix_filter,
@@ -154,7 +155,7 @@ def department_counts(spark: SparkSession, input: str, excluded: str) -> DataFra
 def readings(spark: SparkSession, input: str) -> DataFrame:
     """``seq, ts_ms, value, ts`` from ``<epoch ms>,<value>`` lines."""
     r = parse_fields(read_lines(spark, input), "reading", keep=["seq"])
-    return r.withColumn("ts", F.timestamp_millis("ts_ms"))
+    return r.withColumn("ts", millis_to_time("ts_ms"))
 
 
 def reading_windows(spark: SparkSession, input: str, kind: str = "sliding") -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from flowlab.functions.exprs import event_time, millis_to_time
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -42,7 +44,7 @@ def with_event_time(df: DataFrame, col: str, name: str = "event_time", delay: st
     """Event time from a column plus a bounded-lateness watermark
     (``delay`` = allowed out-of-orderness; ``"0 seconds"`` is the monotone
     case).  ``timestamp_ntz`` is reinterpreted in the session zone (UTC)."""
-    c = F.timestamp_millis(F.col(col)) if millis else F.col(col).cast("timestamp")
+    c = millis_to_time(col) if millis else event_time(col)
     return df.withColumn(name, c).withWatermark(name, delay)
 
 
