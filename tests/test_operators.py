@@ -28,6 +28,15 @@ def test_parse_failfast_and_quarantine(spark):
     assert sorted(r.value for r in bad.collect()) == ["3", "x,Bad"]
 
 
+def test_parse_pins_split_and_cast_details(spark):
+    # Spark keeps trailing empty fields (extra ones are ignored by the
+    # declared layout) and its casts accept surrounding blanks
+    lines = spark.createDataFrame([("1,John,",), (" 2 ,Ann",), ("3,,",)], "value string")
+    assert [tuple(r) for r in parse_fields(lines, "person").collect()] == [(1, "John"), (2, "Ann"), (3, "")]
+    good, bad = parse_fields(spark.createDataFrame([("4",)], "value string"), "person", mode="quarantine")
+    assert good.count() == 0 and bad.count() == 1        # a missing field is a bad line
+
+
 def test_outer_join_fills_only_missing_side(spark):
     left = spark.createDataFrame([(1, None), (2, "b")], "id int, name string")
     right = spark.createDataFrame([(1, "X"), (3, "Z")], "id int, state string")
