@@ -20,8 +20,8 @@ carry table.  Key-less scans always split.
 
 Valid for the associative, order-insensitive combiners ``sum``, ``count``,
 ``min``, ``max`` (also on structs, which gives arg-min/arg-max) and ``first``
-(the value at the lowest order).  ``order`` must be an integral column that
-is a total order within each key.
+(the value at the lowest order).  ``order`` is an integral, timestamp or
+date column that is a total order within each key.
 """
 
 from __future__ import annotations
@@ -45,6 +45,17 @@ def _as_list(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _order_number(df: DataFrame, order: str) -> Column:
+    """A monotone integral view of the order column for chunking:
+    timestamps as microseconds, dates as days since the epoch."""
+    kind = dict(df.dtypes)[order]
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(order).cast("timestamp"))
+    if kind == "date":
+        return F.unix_date(F.col(order))
+    return F.col(order)
+
+
 def _partitions(spark) -> int:
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -75,7 +86,7 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
     chunk totals.  Without keys the whole table is one hot group.
     """
     keys = _as_list(keys)
-    o = F.col(order)
+    o = _order_number(df, order)
     parts = _partitions(df.sparkSession)
     if not keys:
         row = df.agg(F.count(F.lit(1)).alias("total"), F.min(o).alias("lo"), F.max(o).alias("hi")).first()
@@ -200,7 +211,7 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
     key = F.struct(*keys) if keys else F.lit(0)
     # non-nullable chunk (rows with a null order sort first anyway), so no
     # inferred not-null filter is added
-    chunk = F.coalesce(F.floor(F.col(order) / F.lit(plan.width)).cast("bigint"), F.lit(_NO_CHUNK))
+    chunk = F.coalesce(F.floor(_order_number(df, order) / F.lit(plan.width)).cast("bigint"), F.lit(_NO_CHUNK))
     hot = _hot_condition(keys, plan.hot) if (keys and plan.hot is not None) else None
     if hot is not None:
         chunk = F.when(hot, chunk).otherwise(F.lit(_NO_CHUNK))   # a cold key is one chunk

@@ -186,3 +186,10 @@ def test_sessions_split_path_equals_native(spark, keys, gap_s, width):
                              keys or ["k"])
     cols = [*(keys or []), "session_start", "session_end", "n", "s"]
     assert sorted(map(tuple, ours.select(*cols).collect())) == sorted(map(tuple, native.select(*cols).collect()))
+
+
+def test_running_orders_by_timestamp(spark):
+    df = spark.createDataFrame([(k, s, v) for k, s, v in [(1, 5, 1), (1, 1, 2), (1, 9, 4), (2, 3, 8), (1, 7, 16)]],
+                               "k long, sec long, v long").withColumn("t", F.timestamp_seconds("sec"))
+    got = {r.sec: r.s for r in running(df, "k", "t", {"s": ("sum", F.col("v"))}, chunk_width=2_000_000).collect()}
+    assert got == {1: 2, 5: 3, 7: 19, 9: 23, 3: 8}
