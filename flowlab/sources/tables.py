@@ -33,8 +33,9 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
 
 
 def directory_stream(spark: SparkSession, path: str, schema,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Replay a directory of parquet files (e.g. a landing folder) as a stream."""
+                     max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Replay a directory of parquet files (e.g. a landing folder) as a
+    stream; ``max_files_per_trigger`` bounds each micro-batch."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

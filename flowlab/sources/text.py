@@ -17,17 +17,21 @@ def read_lines(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
     return df.withColumn("seq", F.monotonically_increasing_id()) if with_seq else df
 
 
+DEFAULT_FILES_PER_TRIGGER = 1000
+
+
 def line_stream(spark: SparkSession, path: str | None = None, format: str = "text",
-                max_files_per_trigger: int | None = None, **options) -> DataFrame:
+                max_files_per_trigger: int | None = DEFAULT_FILES_PER_TRIGGER, **options) -> DataFrame:
     """Unbounded line source.
 
     ``format="text"`` (default) replays a directory of files, which is
     replayable and therefore recoverable; ``format="socket"`` takes
     ``host``/``port`` options and is not replayable (kept for parity, never
-    used in tests).
+    used in tests).  ``max_files_per_trigger`` bounds each micro-batch, and
+    with it the rows a keyed state step holds at once.
     """
     reader = spark.readStream.format(format)
-    if max_files_per_trigger:
+    if max_files_per_trigger and format != "socket":
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in options.items():
         reader = reader.option(k, v)
