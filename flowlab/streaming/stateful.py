@@ -24,6 +24,9 @@ key's history, which lives in the (RocksDB) state store.
   open group's values (list variant).
 * count trigger - W8: running totals at every ``every``-th row, never purged.
 * rolling - R1-R8 in ``emit="row"`` form: one output row per input row.
+
+Aggregated values must be non-null integers (as ``parse_fields`` in failfast
+mode produces them); the batch forms also accept nulls, with SQL semantics.
 """
 
 from __future__ import annotations
