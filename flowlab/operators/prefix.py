@@ -90,15 +90,15 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
     parts = _partitions(df.sparkSession)
     if not keys:
         row = df.agg(F.count(F.lit(1)).alias("total"), F.min(o).alias("lo"), F.max(o).alias("hi")).first()
-        if row is None or not row["total"]:
+        if row is None or not row["total"] or row["lo"] is None:
             return ScanPlan(None)
         chunks = max(2, oversplit * parts)
         return ScanPlan(max(1, -(-(int(row["hi"]) - int(row["lo"]) + 1) // chunks)))
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi"))
     row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total"),
                       F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
-    if row is None or not row["total"]:
-        return ScanPlan(None)
+    if row is None or not row["total"] or row["lo"] is None:
+        return ScanPlan(None)            # empty, or no order value at all
     per_part = max(1.0, row["total"] / parts)
     threshold = skew_factor * per_part
     if row["hot"] <= threshold:

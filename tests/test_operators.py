@@ -198,3 +198,9 @@ def test_running_orders_by_timestamp(spark):
                                "k long, sec long, v long").withColumn("t", F.timestamp_seconds("sec"))
     got = {r.sec: r.s for r in running(df, "k", "t", {"s": ("sum", F.col("v"))}, chunk_width=2_000_000).collect()}
     assert got == {1: 2, 5: 3, 7: 19, 9: 23, 3: 8}
+
+
+def test_running_with_only_null_orders(spark):
+    df = spark.createDataFrame([(1, None, 3), (1, None, 4)], "k long, o long, v long")
+    assert running(df, "k", "o", {"n": ("count", F.lit(1))}).count() == 2
+    assert running(df, [], "o", {"n": ("count", F.lit(1))}).count() == 2
