@@ -109,3 +109,19 @@ def test_department_counts(spark, ref_input):
     last = {r["dept"]: r["n"] for r in d.withColumn("mx", F.max("seq").over(w)).filter("seq = mx").collect()}
     assert last == {"Development": 59, "Finance": 60, "Marketing": 59, "Production": 52, "Purchase": 64,
                     "Safety": 58, "Stores": 47}
+
+
+def test_reading_windows_and_keyed_count_windows(spark, tmp_path):
+    readings = tmp_path / "readings.txt"
+    readings.write_text("0,1\n1000,2\n2001,4\n5000,8\n")
+    sess = sorted((r.session_start.timestamp(), r.session_end.timestamp(), r.total)
+                  for r in jobs.reading_windows(spark, str(readings), "session").collect())
+    assert sess == [(0.0, 2.0, 3), (2.001, 3.001, 4), (5.0, 6.0, 8)]
+    slid = {(r.window_start.timestamp(), r.total) for r in jobs.reading_windows(spark, str(readings)).collect()}
+    assert slid == {(-2.0, 3), (0.0, 7), (2.0, 4 + 8), (4.0, 8)}   # 4 s windows every 2 s, epoch-aligned
+    kn = tmp_path / "kn.txt"
+    kn.write_text("".join(f"{k},{i}\n" for i in range(12) for k in (5, 6)))
+    got = sorted((r.key, r.window_no, r.total) for r in jobs.keyed_count_windows(spark, str(kn)).collect())
+    assert got == [(5, 0, 45), (6, 0, 45)]
+    lst = jobs.keyed_count_windows(spark, str(kn), with_values=True).collect()
+    assert sorted(r["values"] for r in lst) == [" 0 1 2 3 4 5 6 7 8 9"] * 2
