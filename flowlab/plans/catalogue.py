@@ -245,6 +245,12 @@ def q_session_keyed_hot_key(spark, sf):
     return sessions(_hot(_events(spark, sf)), "ts", SESSION_GAP_USER_US, _wagg(), keys=["hot_user"])
 
 
+def q_rolling_max_hot_key_by_time(spark, sf):
+    """R5 for a hot key, ordered by event time (a timestamp order column)."""
+    return rolling_max(_hot(_events(spark, sf)), "hot_user", "ts", "c", carry=["event_type"],
+                       name="max_c").drop("event_type")
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_project": q_filter_project,
     "parse_lines": q_parse_lines,
@@ -278,5 +284,6 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_window_10_hot_key": q_count_window_10_hot_key,
     "rolling_argmax_hot_key": q_rolling_argmax_hot_key,
     "session_keyed_hot_key": q_session_keyed_hot_key,
+    "rolling_max_hot_key_by_time": q_rolling_max_hot_key_by_time,
 }
 

@@ -204,3 +204,11 @@ FROM (SELECT *, max(struct_pack(v := c, t := -event_id, o := event_id, et := eve
       FROM {_HOT})""",
     "session_keyed_hot_key": _sessions(6 * 3_600_000_000, keyed=True, key="hot_user", src=_HOT),
 })
+
+ORACLE_SQL.update({
+    "rolling_max_hot_key_by_time": f"""
+SELECT event_id, ts, hot_user, c,
+       max(c) OVER (PARTITION BY hot_user ORDER BY ts {_ROWS}) AS max_c,
+       first_value(event_type) OVER (PARTITION BY hot_user ORDER BY ts {_ROWS}) AS first_event_type
+FROM {_HOT}""",
+})
