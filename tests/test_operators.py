@@ -55,6 +55,20 @@ def test_exclude_checked_broadcast_and_fallback(spark):
     assert a == b == [k for k in range(100) if k % 3]
 
 
+def test_checked_broadcast_hints_only_within_bound(spark):
+    from flowlab.operators import checked_broadcast
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # only the explicit hint may broadcast
+    try:
+        hinted = big.join(checked_broadcast(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
+        plain = big.join(checked_broadcast(small, 5), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "BroadcastHashJoin" in hinted and "BroadcastHashJoin" not in plain
+
+
 def test_arg_extremes_first_row_wins_ties(spark):
     df = spark.createDataFrame([(1, "k", 5, "a"), (2, "k", 3, "b"), (3, "k", 3, "c"), (4, "k", 9, "d"),
                                 (5, "k", 9, "e")], "o long, k string, v long, tag string")
