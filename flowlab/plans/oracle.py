@@ -212,3 +212,5 @@ SELECT event_id, ts, hot_user, c,
        first_value(event_type) OVER (PARTITION BY hot_user ORDER BY ts {_ROWS}) AS first_event_type
 FROM {_HOT}""",
 })
+
+ORACLE_SQL["rolling_argmin_stream"] = ORACLE_SQL["rolling_argmin"]

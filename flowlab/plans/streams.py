@@ -173,6 +173,16 @@ def q_session_keyed_stream(spark, sf):
     return _ntz_bounds(out, "session_start", "session_end")
 
 
+def q_rolling_argmin_stream(spark, sf):
+    """R4 in emit-per-row form on a stream: the whole row of the running
+    minimum, the first row winning ties."""
+    ev = _ev_stream(spark, sf).withColumn("eid", F.col("event_id"))
+    q = rolling_stream(ev, "user_id", "event_id", "c", ["event_type", "eid"], emit="row")
+    out = run_to_completion(spark, q, "rolling_argmin_stream", "append", conf=_sized(spark, sf))
+    return out.select("event_id", "user_id", "c", F.col("min").alias("argmin_c"),
+                      F.col("argmin_eid").cast("bigint").alias("argmin_event_id"), "argmin_event_type")
+
+
 STREAM_QUERIES = {
     "group_sum_stream": q_group_sum_stream,
     "anti_broadcast_stream": q_anti_broadcast_stream,
@@ -189,4 +199,5 @@ STREAM_QUERIES = {
     "count_window_10_list_stream": q_count_window_10_list_stream,
     "sliding_keyed_stream": q_sliding_keyed_stream,
     "session_keyed_stream": q_session_keyed_stream,
+    "rolling_argmin_stream": q_rolling_argmin_stream,
 }
