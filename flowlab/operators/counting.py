@@ -7,8 +7,10 @@
   ``" v1 v2 ... vN"`` (leading blank).
 * ``count_trigger`` (W8): global window per key firing on every
   ``every``-th row *without* purging: running totals at rows every, 2*every...
-* ``batched`` (S10 batch form): rows buffered per shard and emitted in
-  batches of ``threshold``; the remainder stays buffered (no final flush).
+* ``batched`` / ``batched_rows`` (S10 batch forms): rows buffered per shard
+  and flushed in batches of ``threshold`` - one summary row per flushed
+  batch, or the flushed rows themselves; the remainder stays buffered (no
+  final flush).
 
 Positions come from the skew-split prefix count (``prefix.running``), so
 no key is scanned by one task; groups are then ordinary hash aggregates
@@ -74,3 +76,20 @@ def batched(df: DataFrame, shard, order: str, threshold: int, value: str | None
         aggs.append(F.sum(value).alias("total"))
     out = g.groupBy(*keys, F.col("_fl_g").alias("batch_no")).agg(*aggs)
     return out.filter(F.col("rows") == threshold)
+
+
+def batched_rows(df: DataFrame, shard, order: str, threshold: int, **kw) -> DataFrame:
+    """S10 sink content: every row that a threshold-buffered sink has flushed,
+    tagged with ``batch_no``; rows of a shard's trailing partial batch are
+    still buffered and are not returned.
+
+    A batch is full when the shard holds at least ``(batch_no + 1) *
+    threshold`` rows.  Shard sizes come from a small per-shard count joined
+    on a struct key (null-safe, and AQE broadcasts it), not from a window
+    over a whole shard, so a hot shard is not serialised."""
+    keys = _keys(shard)
+    g = _grouped(df, keys, order, threshold, **kw)
+    sizes = df.groupBy(F.struct(*keys).alias("_fl_sk")).agg(F.count(F.lit(1)).alias("_fl_nk"))
+    g = g.withColumn("_fl_sk", F.struct(*keys)).join(sizes, "_fl_sk")
+    full = (F.col("_fl_g") + 1) * F.lit(threshold) <= F.col("_fl_nk")
+    return g.filter(full).select(*[F.col(c) for c in df.columns], F.col("_fl_g").alias("batch_no"))

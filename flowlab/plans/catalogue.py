@@ -22,7 +22,7 @@ from flowlab.operators import (count_trigger, count_window, count_window_list, d
                                exclude, final_aggregates, group_sum, iterate, late_report,
                                prefix_filter, ratio, rolling_avg, rolling_count, rolling_max,
                                rolling_max_by, rolling_min, rolling_min_by, rolling_reduce, rolling_sum,
-                               sessions, sliding, tag_branches, tag_field, tumbling, batched)
+                               sessions, sliding, tag_branches, tag_field, tumbling, batched, batched_rows)
 from flowlab.operators.prefix import plan_chunks
 from flowlab.sources.tables import load_table
 
@@ -203,6 +203,12 @@ def q_batched_sink(spark, sf):
     return batched(ev, "shard", "event_id", SINK_THRESHOLD, value="c")
 
 
+def q_batched_sink_rows(spark, sf):
+    """The rows the threshold sink has flushed, with their batch number."""
+    ev = _events(spark, sf).select("event_id", "c", (F.col("event_id") % SINK_SHARDS).alias("shard"))
+    return batched_rows(ev, "shard", "event_id", SINK_THRESHOLD)
+
+
 def q_iterate_until(spark, sf):
     li = load_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_linenumber").alias("n"), F.lit(0).alias("steps"))
@@ -279,6 +285,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_window_10": q_count_window_10,
     "count_window_10_list": q_count_window_10_list,
     "batched_sink": q_batched_sink,
+    "batched_sink_rows": q_batched_sink_rows,
     "iterate_until": q_iterate_until,
     "rolling_sum_hot_key": q_rolling_sum_hot_key,
     "count_window_10_hot_key": q_count_window_10_hot_key,

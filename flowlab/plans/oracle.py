@@ -214,3 +214,11 @@ FROM {_HOT}""",
 })
 
 ORACLE_SQL["rolling_argmin_stream"] = ORACLE_SQL["rolling_argmin"]
+
+ORACLE_SQL["batched_sink_rows"] = f"""
+SELECT event_id, c, shard, batch_no FROM (
+  SELECT event_id, c, event_id % 4 AS shard,
+         (row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) - 1) // 100 AS batch_no,
+         count(*) OVER (PARTITION BY event_id % 4) AS shard_rows
+  FROM {_EV})
+WHERE (batch_no + 1) * 100 <= shard_rows"""

@@ -119,6 +119,15 @@ def test_batched_keeps_remainder(spark):
     assert got == [(0, 0, 5), (0, 1, 5), (1, 0, 5), (1, 1, 5)]  # 13 and 12 rows: remainders stay buffered
 
 
+def test_batched_rows_hold_back_the_partial_batch(spark):
+    from flowlab.operators import batched_rows
+    df = spark.range(25).select(F.col("id").alias("o"), (F.col("id") % 2).alias("shard"))
+    got = sorted((r.shard, r.batch_no, r.o) for r in batched_rows(df, "shard", "o", 5).collect())
+    # shard 0 has 13 rows, shard 1 has 12: 10 rows each are flushed in two batches
+    assert [g[2] for g in got if g[0] == 0] == [0, 2, 4, 6, 8, 10, 12, 14, 16, 18]
+    assert [g[1] for g in got if g[0] == 1] == [0] * 5 + [1] * 5
+
+
 def test_iterate_fused_rounds_equal_single_rounds(spark):
     df = spark.range(0, 40).select((F.col("id") % 11).alias("n"), F.lit(0).alias("m"))
 
