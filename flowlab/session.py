@@ -23,9 +23,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # coalesce shuffle partitions to the advisory size (Spark's advice for
-    # shared clusters: right-sized tasks rather than many small ones)
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
