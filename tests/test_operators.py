@@ -227,3 +227,20 @@ def test_running_with_only_null_orders(spark):
     df = spark.createDataFrame([(1, None, 3), (1, None, 4)], "k long, o long, v long")
     assert running(df, "k", "o", {"n": ("count", F.lit(1))}).count() == 2
     assert running(df, [], "o", {"n": ("count", F.lit(1))}).count() == 2
+
+
+@settings(max_examples=10, deadline=None)
+@given(data=st.lists(st.tuples(st.sampled_from([1, 2, 3]), st.integers(0, 100_000)), min_size=1, max_size=60,
+                     unique_by=lambda t: t[1]),
+       gap_ms=st.integers(1, 20_000), width=st.one_of(st.none(), st.integers(1, 7)), keyed=st.booleans())
+def test_sessions_match_session_window(spark, data, gap_ms, width, keyed):
+    """Random timestamps, keys and gaps: the collapsed sessions (plain or
+    forced split) equal Spark's own session_window."""
+    pdf = pd.DataFrame({"k": [d[0] for d in data], "ms": [d[1] for d in data]})
+    df = spark.createDataFrame(pdf, "k long, ms long").withColumn("ts", F.timestamp_millis("ms"))
+    aggs = {"n": ("count", F.lit(1))}
+    keys = ["k"] if keyed else None
+    ours = sessions(df, "ts", gap_ms * 1000, aggs, keys=keys, chunk_width=width if width else "auto")
+    nat = sessions_native(df if keyed else df.withColumn("k", F.lit(0)), "ts", f"{gap_ms} milliseconds", aggs, ["k"])
+    cols = (["k"] if keyed else []) + ["session_start", "session_end", "n"]
+    assert sorted(map(tuple, ours.select(*cols).collect())) == sorted(map(tuple, nat.select(*cols).collect()))
