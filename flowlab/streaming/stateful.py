@@ -48,7 +48,9 @@ def _batch(rows: Iterator[pd.DataFrame], order: str | None) -> pd.DataFrame:
     if not frames:
         return pd.DataFrame()
     pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    return pdf.sort_values(order, kind="stable", ignore_index=True) if order else pdf
+    if not order or pdf[order].is_monotonic_increasing:      # in-order arrival: no sort
+        return pdf.reset_index(drop=True)
+    return pdf.sort_values(order, kind="stable", ignore_index=True)
 
 
 def _key_frame(key, key_names, n: int) -> pd.DataFrame:
