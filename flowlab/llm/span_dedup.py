@@ -2,20 +2,32 @@
 
 Every run of consecutive sentences is hashed, equal runs meet in one global
 join, and sentences covered by any occurrence but the first are removed.
-DataFrame functions only.
+
+A sentence ends at a full stop, comma, colon or line break, so that a passage
+put into the middle of other text still holds whole sentences.  A run is as
+many consecutive sentences, two at least, as it takes to reach ``MIN_WORDS``
+words: equal passages give equal runs, and short common phrases give none.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from bisect import bisect_left
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import saved
+from flowlab.llm.common import map_batches, saved, strings
 
-RUN = 3                # sentences of a run
-MIN_CHARS = 60         # shorter runs ("Yes. No. Yes.") are no passage
-#: A sentence with its end marks and line break; the pieces of a text concatenate to it.
-SENTENCE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+$"
+MIN_WORDS = 20
+MIN_RUN = 2
+#: A sentence with its end marks; the pieces of a text concatenate to it.  Java and Python read it alike.
+SENTENCE = r"[^.!?,;:\n]*[.!?,;:\n]+|[^.!?,;:\n]+$"
+_SENTENCE = re.compile(SENTENCE)
 
 
 def sentences(text: Column) -> Column:
@@ -23,38 +35,51 @@ def sentences(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE), F.lit(0))
 
 
-def _trimmed(sentence: Column) -> Column:
-    return F.regexp_replace(sentence, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-
-
-def span_rows(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id, text_key, start, h1, h2``: a 128-bit hash of every run of
-    ``run`` consecutive sentences (white space around each left out) of at
-    least ``min_chars`` characters.  Blank sentences (bare line breaks) do not
-    count as members of a run; ``start`` and ``last`` are positions in
-    ``sentences(text)``."""
-    cut = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
-                      F.transform(sentences(F.col("text")), lambda s, i: F.struct(i.alias("at"), _trimmed(s).alias("s")))
-                      .alias("all"))
-    cut = cut.select("doc_id", "text_key", F.filter("all", lambda x: x["s"] != "").alias("x")).filter(F.size("x") >= run)
-    starts = F.sequence(F.lit(1), F.size("x") - F.lit(run - 1))
-    joined = F.transform(starts, lambda i: F.struct(
-        F.element_at("x", i)["at"].alias("start"), F.element_at("x", i + F.lit(run - 1))["at"].alias("last"),
-        F.concat_ws("\n", F.transform(F.slice("x", i, run), lambda x: x["s"])).alias("s")))
-    spans = cut.select("doc_id", "text_key", F.explode(joined).alias("r")).select("doc_id", "text_key", "r.*")
-    return (spans.filter(F.length("s") >= min_chars)
-            .select("doc_id", "text_key", "start", "last", F.xxhash64("s").alias("h1"),
-                    F.xxhash64(F.lit("second"), F.col("s")).alias("h2")))
-
-
-def covered_sentences(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS) -> DataFrame:
+def runs(text: str, min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> list[tuple[int, int, bytes]]:
+    """``(first, last, 128-bit hash)`` of the run from every sentence, as
+    positions in the cut text.  White space around sentences is left out, and
+    sentences that are nothing else."""
+    kept = [(i, w) for i, s in enumerate(_SENTENCE.findall(text)) if (w := s.strip())]
+    reach = [0, *accumulate(len(w.split()) for _, w in kept)]
+    out = []
+    for a in range(len(kept)):
+        b = max(bisect_left(reach, reach[a] + min_words), a + min_run)
+        if b > len(kept):
+            break
+        joined = "\n".join(w for _, w in kept[a:b])
+        out.append((kept[a][0], kept[b - 1][0], hashlib.blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
+    return out
+
+
+def span_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, text_key, start, last, h1, h2``, one row per run."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        of, start, last, digests = [], [], [], []
+        for i, text in enumerate(strings(batch, "text")):
+            for a, b, h in runs(text, min_words):
+                of.append(i)
+                start.append(a)
+                last.append(b)
+                digests.append(h)
+        both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        of = pa.array(of, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(of), batch.column("text_key").take(of), pa.array(start, pa.int32()),
+             pa.array(last, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])],
+            names=["doc_id", "text_key", "start", "last", "h1", "h2"])
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), run,
+                       f"doc_id {id_type}, text_key bigint, start int, last int, h1 bigint, h2 bigint")
+
+
+def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_key, ranges``: the ranges ``[start, last]`` of runs whose
     first occurrence (smallest document id, then position) is elsewhere.
 
     A passage in very many documents is pre-aggregated before the shuffle; the
     join back reads two plain shuffles, which AQE splits where one run is hot.
     """
-    spans = saved(span_rows(docs, run, min_chars), "spans")
+    spans = saved(span_rows(docs, min_words), "spans")
     first = (spans.groupBy("h1", "h2")
              .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last_one"))
              .filter("first <> last_one").select("h1", "h2", "first"))
@@ -65,7 +90,7 @@ def covered_sentences(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHAR
             .agg(F.sort_array(F.collect_set(F.struct(F.col("start"), F.col("last")))).alias("ranges")))
 
 
-def remove_repeats(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` cleaned and ``n_sentences``, ``n_removed`` added
     (columns of these names are replaced).
 
@@ -77,7 +102,7 @@ def remove_repeats(docs: DataFrame, run: int = RUN, min_chars: int = MIN_CHARS)
     ranges (a document's own sentences at most) meet the texts again, by id
     and text hash.
     """
-    ranges = covered_sentences(docs, run, min_chars).withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
+    ranges = covered_sentences(docs, min_words).withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
     base = docs.withColumn("__text_key", F.xxhash64("text"))
     on = base["doc_id"].eqNullSafe(ranges["__id"]) & (base["__text_key"] == ranges["__key"])
     pieces = sentences(F.col("text"))
