@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat_format, quality_rank, quality_rules, span_dedup, topk, url_filter
+from flowlab.llm import chat_format, html_extract, packing, quality_rank, quality_rules, span_dedup, topk, url_filter
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
 
@@ -27,6 +27,15 @@ def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.remove_repeats(docs).select("doc_id", "n_sentences", "n_removed", "text")
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(load_table(spark, sf_dir, "pages"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.piece_digests(packing.pack(load_table(spark, sf_dir, "documents")))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = load_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     echo = spark.createDataFrame([(-1, 0, "user", ECHO), (-1, 1, "assistant", ECHO)], turns.schema)
@@ -65,7 +74,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-_QUERIES = (op1_span_dedup, op4_chat_format, op5_topk, op7_quality_rules, op8_quality_rank, op9_url_filter)
+_QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op7_quality_rules, op8_quality_rank, op9_url_filter)
 
 
 def _with_package(fn):
