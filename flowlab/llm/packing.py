@@ -53,15 +53,14 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.cache.keys()
         missing: set[str] = set()
         for words in cut:
-            missing |= set(words) - known
+            missing |= set(words).difference(self.cache)
         if missing:
             self._learn(sorted(missing))
             if any(w not in self.cache for w in missing) or len(self.cache) == len(missing):
                 # the cache was emptied on the way: words known before are needed again
-                rest = set().union(*cut) - self.cache.keys()
+                rest = set().union(*cut).difference(self.cache)
                 ids = dict(self.cache)
                 for at in range(0, len(rest := sorted(rest)), CACHED_WORDS):
                     self.cache.clear()
