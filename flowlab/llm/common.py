@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -37,6 +38,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that are read no more, and let the driver drop
+    the shuffle files of finished jobs: Spark frees them only when the driver
+    collects its garbage, which a long job with a small driver seldom does."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for df in tables:
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat_format, html_extract, packing, quality_rank, quality_rules, span_dedup, topk, url_filter
+from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, span_dedup, topk, url_filter
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
 
@@ -47,6 +47,10 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter("vec_id % 50 = 0"), vectors, k=5)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(load_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(load_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept", "lost_chars")
@@ -74,7 +78,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-_QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op7_quality_rules, op8_quality_rank, op9_url_filter)
+_QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op6_jaccard_join, op7_quality_rules, op8_quality_rank, op9_url_filter)
 
 
 def _with_package(fn):
