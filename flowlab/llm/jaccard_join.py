@@ -23,7 +23,7 @@ from flowlab.llm.components import components
 WORDS = 4
 PERCENT = 85
 SIG_BITS = 48          # a chance collision of signatures only adds a candidate
-SPLIT_ABOVE = 32       # open members from which a bucket is cut by a second signature family
+SKETCH = 16            # 64-bit words of a set's parity sketch
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -110,22 +110,20 @@ class Bands:
                 if b >= 0 and self.schemes[b][0] and size <= self.schemes[b][2]]
 
 
-def signatures(h: np.ndarray, bands: Bands, family: int = 0) -> np.ndarray:
+def signatures(h: np.ndarray, bands: Bands) -> np.ndarray:
     """The signatures of a sorted set of 64-bit hashes.  Parts are equal ranges
-    of the hash (of another hash for another ``family``).  A part that the set
-    does not touch gives none, unless the set misses more parts than the
-    scheme has to spare: then two sets might agree on untouched parts alone."""
+    of the hash.  A part that the set does not touch gives none, unless the set
+    misses more parts than the scheme has to spare: then two sets might agree
+    on untouched parts alone."""
     out = []
     with np.errstate(over="ignore"):
-        if family:
-            h = np.sort(_mix(h + _U(family * 0x632BE59BD9B4E019 % 2 ** 64)))
         total = np.concatenate([np.zeros(1, _U), np.cumsum(_mix(h + _U(77)), dtype=_U)])
         for band, k, spare in bands.of(len(h)):
             parts = k + 1 + spare
             edges = (np.arange(parts + 1, dtype=object) * 2 ** 64 // parts)[1:-1]
             cut = np.concatenate([[0], np.searchsorted(h, np.array(edges.tolist(), _U)), [len(h)]]).astype(np.int64)
             held = np.diff(cut) > 0
-            tag = np.arange(parts).astype(_U) + _U((band * 2 + 1) << 32) + _U(family << 58)
+            tag = np.arange(parts).astype(_U) + _U((band * 2 + 1) << 32)
             sig = _mix((total[cut[1:]] - total[cut[:-1]]) ^ _mix(tag))
             out.append(sig if (~held).sum() > spare else sig[held])
     return (np.concatenate(out) >> _U(64 - SIG_BITS)).astype(np.int64) if out else np.zeros(0, np.int64)
@@ -152,33 +150,57 @@ def _features(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return map_batches(rows, run, f"doc_id {id_type}, row bigint, text_key bigint, n bigint, f1 bigint, f2 bigint, sigs array<bigint>")
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """One bit per hash bucket: the parity of the elements in it.  Two sets
+    differ in at least as many elements as their sketches differ in bits."""
+    with np.errstate(over="ignore"):
+        place = (_mix(h + _U(99)) % _U(64 * SKETCH)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+_WORDS = [f"w{i}" for i in range(SKETCH)]
+
+
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``node, h`` (hashes as bytes) for ``nodes`` (node, doc_id, text_key)."""
+    """``node, n, h`` (hashes as bytes) and the sketch's words for ``nodes``
+    (node, n, doc_id, text_key)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t, words).tobytes() for t in strings(batch, "text")]
-        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "h"])
+        sets = [shingles(t, words) for t in strings(batch, "text")]
+        bits = np.array([sketch(h) for h in sets], np.int64).reshape(-1, SKETCH)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("node"), batch.column("n"), pa.array([h.tobytes() for h in sets], pa.binary()),
+             *[pa.array(bits[:, i]) for i in range(SKETCH)]], names=["node", "n", "h", *_WORDS])
     keyed = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key"), "text")
     on = F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key"))
     # rows that repeat id and text give the same set
-    return map_batches(keyed.join(nodes, on).select("node", "text"), run, "node bigint, h binary").dropDuplicates(["node"])
+    return map_batches(keyed.join(nodes, on).select("node", "n", "text"), run,
+                       "node bigint, n bigint, h binary, " + ", ".join(f"{w} bigint" for w in _WORDS)).dropDuplicates(["node"])
+
+
+def _side(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in columns])
+
+
+def _may_link(percent: int):
+    """No sketch and no size rules the pair ``a, b`` out."""
+    differ = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WORDS[1:]),
+                 F.bit_count(F.col("a_w0").bitwiseXOR(F.col("b_w0"))))
+    return ((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+            & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold, by exact counts."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
-        for x, y in zip(batch.column("ha").to_pylist(), batch.column("hb").to_pylist()):
+        for x, y in zip(batch.column("a_h").to_pylist(), batch.column("b_h").to_pylist()):
             x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
             common = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * common >= percent * (len(x) + len(y) - common))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a")
-                 .join(sets.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b"))
-    return map_batches(with_sets.select("a", "b", "ha", "hb"), run, "a bigint, b bigint")
-
-
-def _near_in_size(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    whole = pairs.join(_side(sets, "a", ["node", "h"]), "a").join(_side(sets, "b", ["node", "h"]), "b")
+    return map_batches(whole.select("a", "b", "a_h", "b_h"), run, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -193,62 +215,55 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     1. Signatures that at least two different sets share form buckets.
     2. Each bucket's members are compared with its smallest member only; most
        of a group of near copies is one component after that.
-    3. Members not in that component are compared with the members of other
-       components; a bucket with many such members is first cut by a second,
-       independent signature family, which linked sets share as well.
-    No group is collected and no bucket gives all its pairs; no link between
-    sets of different components is left out.
+    3. In every bucket, members outside its largest component are compared
+       with the members of other components.
+    Pairs whose sizes or parity sketches prove too many differences are left
+    out before their sets are read.  No group is collected and no bucket gives
+    all its pairs; no link between sets of different components is left out.
     """
     spark = docs.sparkSession
     rows = saved(_features(docs, words, percent), "jac-rows")
     nodes = saved(rows.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("row").alias("node")), "jac-nodes")
-    sigs = saved(rows.select("row", "n", "sigs").join(nodes.select(F.col("node").alias("row")), "row")
-                 .select(F.explode("sigs").alias("sig"), F.col("row").alias("node"), "n"), "jac-sigs")
+    sigs = saved(rows.select("row", "sigs").join(nodes.select(F.col("node").alias("row")), "row")
+                 .select(F.explode("sigs").alias("sig"), F.col("row").alias("node")), "jac-sigs")
     release(spark)
-    shared = saved(sigs.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("lead"), F.max("node").alias("last"))
-                   .filter("lead.node <> last")
-                   .select("sig", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "jac-shared")
+    shared = saved(sigs.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
+                   .filter("lead <> last").select("sig", "lead"), "jac-shared")
     release(spark)
     buckets = saved(sigs.join(shared, "sig"), "jac-buckets")
     release(spark, sigs, shared)
 
-    first = saved(buckets.filter((F.col("node") != F.col("lead")) & _near_in_size("n", "lead_n", percent))
-                  .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "jac-pairs")
-    known = rows.select(F.col("row").alias("node"), "doc_id", "text_key")
-    wanted = buckets.select("node").distinct()
-    sets = saved(_shingle_sets(docs, known.join(wanted, "node"), words), "jac-sets")
+    known = rows.select(F.col("row").alias("node"), "n", "doc_id", "text_key")
+    sets = saved(_shingle_sets(docs, known.join(buckets.select("node").distinct(), "node"), words), "jac-sets")
+    release(spark)
+    bits = ["node", "n", *_WORDS]
+    first = buckets.filter(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    first = saved(first.join(_side(sets, "a", bits), "a").join(_side(sets, "b", bits), "b")
+                  .filter(_may_link(percent)).select("a", "b"), "jac-pairs")
     release(spark)
     links = saved(_verified(first, sets, percent), "jac-links")
     release(spark, first)
 
     labels = components(links)
-    member = buckets.join(labels, "node", "left").select(
-        "sig", "lead", "node", "n", F.coalesce("component", "node").alias("own"))
-    member = member.join(labels.select(F.col("node").alias("lead"), F.col("component").alias("lead_own")), "lead", "left") \
-        .withColumn("lead_own", F.coalesce("lead_own", "lead"))
-    member = saved(member.withColumn("open", F.col("own") != F.col("lead_own")), "jac-members")
-    mixed = saved(member.filter("open").groupBy("sig").agg(F.count("*").alias("n_open")), "jac-mixed")
-    held = saved(member.select("sig", "lead", "node", "n", "own", "open").join(mixed, "sig"), "jac-held")
-    small = held.filter(F.col("n_open") <= SPLIT_ABOVE).withColumn("sig2", F.lit(0).cast("bigint"))
-
-    def second(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bands = Bands(percent)
-        sigs = [signatures(np.frombuffer(h, _U), bands, family=1) for h in batch.column("h").to_pylist()]
-        values, at = np.concatenate([*sigs, np.zeros(0, np.int64)]), np.cumsum([0, *map(len, sigs)])
-        return pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))],
-            names=["node", "sigs2"])
-    large = held.filter(F.col("n_open") > SPLIT_ABOVE)
-    finer = map_batches(sets.join(large.select("node").distinct(), "node"), second, "node bigint, sigs2 array<bigint>")
-    large = large.join(finer, "node").withColumn("sig2", F.explode("sigs2")).drop("sigs2")
-    held = saved(small.unionByName(large), "jac-cells")
-    left = held.filter("open").select("sig", "sig2", F.col("node").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"))
-    right = held.select("sig", "sig2", "lead", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"), "open")
-    cross = (left.join(right, ["sig", "sig2"])
-             .filter((F.col("oa") != F.col("ob")) & (F.col("b") != F.col("lead")) & _near_in_size("na", "nb", percent))
-             .filter(~F.col("open") | (F.col("a") < F.col("b"))).select("a", "b").distinct())
-    more = saved(_verified(saved(cross, "jac-pairs"), sets, percent), "jac-links")
-    release(spark, sets, buckets, member)
+    member = saved(buckets.join(labels, "node", "left")
+                   .select("sig", "lead", "node", F.coalesce("component", "node").alias("own")), "jac-members")
+    sizes = member.groupBy("sig", "own").agg(F.count("*").alias("size"))
+    mixed = saved(sizes.groupBy("sig").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count("*").alias("parts"))
+                  .filter("parts > 1").select("sig", "main"), "jac-mixed")
+    held = saved(member.join(mixed, "sig").withColumn("open", F.col("own") != F.col("main")).drop("main")
+                 .join(sets.select(*bits), "node"), "jac-held")
+    release(spark, buckets, member)
+    bits += ["own", "open"]
+    left = _side(held.filter("open"), "a", ["sig", "lead", *bits]).withColumnRenamed("a_sig", "sig")
+    right = _side(held, "b", ["sig", *bits]).withColumnRenamed("b_sig", "sig")
+    untested = (F.col("a") != F.col("a_lead")) & (F.col("b") != F.col("a_lead"))
+    cross = (left.join(right, "sig")
+             .filter((F.col("a_own") != F.col("b_own")) & untested & (~F.col("b_open") | (F.col("a") < F.col("b"))))
+             .filter(_may_link(percent)).select("a", "b").distinct())
+    pairs = saved(cross, "jac-pairs")
+    release(spark, held)
+    more = saved(_verified(pairs, sets, percent), "jac-links")
+    release(spark, sets, pairs)
     labels = saved(components(links.unionByName(more)), "jac-labels")
 
     of_node = nodes.join(labels, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("part"))
