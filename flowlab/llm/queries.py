@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, span_dedup, topk, url_filter
+from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, sentencepiece_codec, span_dedup, topk, url_filter
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
 
@@ -78,7 +78,17 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-_QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op6_jaccard_join, op7_quality_rules, op8_quality_rank, op9_url_filter)
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it again."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentencepiece_codec.encode(docs, carry=("doc_id", "text"))
+    decoded = sentencepiece_codec.decode(encoded.withColumnRenamed("text", "was"), carry=("doc_id", "was", "n_pieces", "ids"))
+    return decoded.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"),
+                          F.coalesce("was", F.lit("")).eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+_QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op6_jaccard_join, op7_quality_rules, op8_quality_rank, op9_url_filter,
+            op10_sentencepiece)
 
 
 def _with_package(fn):
