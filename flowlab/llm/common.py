@@ -16,10 +16,14 @@ from flowlab.session import scratch_path
 
 PACKAGE_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
+BATCH_ROWS, MAX_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that the
     Arrow functions import it wherever the driver was started."""
+    if int(spark.conf.get(BATCH_ROWS)) > MAX_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MAX_BATCH_ROWS))  # rows are whole documents
     sc = spark.sparkContext
     if getattr(sc, "_flowlab_shipped", False):
         return

@@ -22,7 +22,7 @@ from flowlab.llm.ordering import range_slices, running_start
 SEQUENCE = 2048
 DIMENSIONS, BITS = 3, 10
 BUCKETS = 256
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 
 
 class WordTokenizer:

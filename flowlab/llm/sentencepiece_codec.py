@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import map_batches, saved, strings
+from flowlab.llm.common import map_batches, saved, ship_package, strings
 
 SPACE = "▁"
-MAX_TABLE = 300_000    # words of the broadcast table
+MAX_TABLE = 100_000    # words of the broadcast table
+MAX_CACHED = 100_000   # words a task remembers beside it
 MAX_LETTERS = 40       # code points of a word that may enter it
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -83,13 +85,24 @@ def merge_word(word: str, pieces: dict, byte_ids: tuple) -> list[int]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n`` over all texts; counted inside each batch before the shuffle."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        c: Counter = Counter()
-        for t in strings(batch, "text"):
-            c.update(split_words(t))
+    """``word, n`` over all texts; counted inside each task, with at most
+    ``2 * MAX_TABLE`` words and a batch's at a time, before the shuffle."""
+    ship_package(docs.sparkSession)
+
+    def rows(c: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
-    return map_batches(docs.select("text"), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c: Counter = Counter()
+        for batch in batches:
+            for t in strings(batch, "text"):
+                c.update(split_words(t))
+            if len(c) > 2 * MAX_TABLE:
+                yield rows(c)
+                c.clear()
+        if c:
+            yield rows(c)
+    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(counts: DataFrame, limit: int = MAX_TABLE) -> DataFrame:
@@ -161,15 +174,16 @@ def encode(docs: DataFrame, model: str | None = None, limit: int = MAX_TABLE, ca
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces, byte_ids, _ = piece_table(model)
-        table, rare, out = known.value, {}, []
+        table, rare, out = known.value, _cache(model), []
         for t in strings(batch, "text"):
             parts = []
             for w in split_words(t):
                 ids = table.get(w) or rare.get(w)
                 if ids is None:
                     ids = np.array(_merge_cached(w, pieces, byte_ids), "<u4").tobytes()
-                    if len(rare) < MAX_TABLE:
-                        rare[w] = ids
+                    if len(rare) >= MAX_CACHED:
+                        rare.clear()
+                    rare[w] = ids
                 parts.append(ids)
             out.append(b"".join(parts))
         return pa.RecordBatch.from_arrays(
@@ -178,6 +192,11 @@ def encode(docs: DataFrame, model: str | None = None, limit: int = MAX_TABLE, ca
     return map_batches(docs.select(*dict.fromkeys([*carry, "text"])), run, ", ".join(fields) + ", n_pieces bigint, ids binary")
 
 
+@lru_cache(maxsize=2)
+def _cache(model: str) -> dict[str, bytes]:
+    return {}
+
+
 def _merge_cached(word: str, pieces: dict, byte_ids: tuple) -> list[int]:
     if len(word) <= 200:
         return merge_word(word, pieces, byte_ids)
