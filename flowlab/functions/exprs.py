@@ -15,9 +15,14 @@ def cents(c) -> Column:
     return F.round(_col(c) * 100).cast("bigint")
 
 
+def joined_text(sep: str, *cols) -> Column:
+    """All fields as text joined by ``sep``; a null keeps its place as ``null``."""
+    return F.concat_ws(sep, *[F.coalesce(_col(c).cast("string"), F.lit("null")) for c in cols])
+
+
 def tuple_text(*cols) -> Column:
-    """Render a row the way a tuple prints: ``(a,b,c)``."""
-    return F.concat(F.lit("("), F.concat_ws(",", *[_col(c).cast("string") for c in cols]), F.lit(")"))
+    """Render a row the way a tuple prints: ``(a,b,c)``, a null as ``null``."""
+    return F.concat(F.lit("("), joined_text(",", *cols), F.lit(")"))
 
 
 def fill_missing(value, present, fill: str = "NULL") -> Column:

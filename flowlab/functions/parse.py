@@ -58,7 +58,7 @@ def parse_fields(df: DataFrame, fields, sep: str = ",", col: str = "value",
         if typ != "string":
             ok = ok & (val.isNotNull() | field.isNull())
         fields_out.append(val.alias(name))
-    tagged = df.select(*[F.col(k) for k in keep], F.col(col).alias("_line"), ok.alias("_ok"), *fields_out)
+    tagged = df.select(*[F.col(k) for k in keep], F.col(col).alias("_line"), F.coalesce(ok, F.lit(False)).alias("_ok"), *fields_out)
     good = tagged.filter("_ok").drop("_ok", "_line")
     bad = tagged.filter(~F.col("_ok")).select(*[F.col(k) for k in keep], F.col("_line").alias(col))
     return good, bad

@@ -64,12 +64,13 @@ def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame], done: Callabl
     # two partition values: concurrent writers instead of a sort per task
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
     try:
-        return _loop(spark, df, body, done, -(-max_iter // fuse), emit_done_inputs)
+        bodies = [body] * (max_iter // fuse) + [step] * (max_iter % fuse)
+        return _loop(spark, df, bodies, done, max_iter, emit_done_inputs)
     finally:
         spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", prev)
 
 
-def _loop(spark, df, step, done, max_iter, emit_done_inputs) -> DataFrame:
+def _loop(spark, df, bodies, done, max_iter, emit_done_inputs) -> DataFrame:
     base = scratch_path(spark, "iterate")
     schema = df.schema
     done_parts: list[str] = []
@@ -83,7 +84,7 @@ def _loop(spark, df, step, done, max_iter, emit_done_inputs) -> DataFrame:
             return _union(spark, done_parts, schema)
         pending = spark.read.schema(schema).parquet(f"{base}/round=00000/{_DONE}=false")
         start = 1
-    for i in range(start, start + max_iter):
+    for i, step in enumerate(bodies, start):
         out = f"{base}/round={i:05d}"
         step(pending).withColumn(_DONE, F.coalesce(done(), F.lit(False))) \
             .write.partitionBy(_DONE).parquet(out)

@@ -51,19 +51,13 @@ def equi_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     return j.select(*cols)
 
 
-def exclude(df: DataFrame, excluded: DataFrame, key: str,
-            max_broadcast_rows: int | None = 1_000_000) -> DataFrame:
+def exclude(df: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``excluded``.
 
     The exclusion list is a map keyed by id (last write wins), so only its
-    ids matter.  When the list has at most ``max_broadcast_rows`` rows -
-    checked by reading at most that many plus one, no aggregation - it is
-    broadcast as is (an anti-join needs no de-duplicated build side).
-    Otherwise its distinct ids (partially aggregated) are anti-joined by
-    shuffle, and AQE may still broadcast them if they turn out small.  The
-    list is read as complete at the start of the job, the deterministic
-    form of "ids that arrived before the row"."""
+    distinct ids matter (partially aggregated).  AQE decides from their
+    measured bytes whether they are broadcast or the anti-join shuffles.  The
+    list is read as complete at the start of the job, the deterministic form
+    of "ids that arrived before the row"."""
     ids = excluded.select(key)
-    if max_broadcast_rows and ids.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return df.join(F.broadcast(ids), on=key, how="left_anti")
     return df.join(ids.distinct(), on=key, how="left_anti")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.prefix import running
+from flowlab.operators.prefix import _order_number, running
 
 
 def group_sum(df: DataFrame, key, value=None, name: str = "n") -> DataFrame:
@@ -50,9 +50,10 @@ def rolling_max(df, key, order, value, carry=(), name=None, **kw) -> DataFrame:
 
 def _arg_extreme(df, key, order, value, cols, prefix, largest, **kw) -> DataFrame:
     # Structs compare field by field: (value, tie-breaker, payload...).
-    tie = (-F.col(order)) if largest else F.col(order)
-    packed = F.struct(F.col(value).alias("v"), tie.alias("t"), F.col(order).alias("o"),
-                      *[F.col(c).alias(c) for c in cols])
+    # A row without a value never holds the extreme.
+    tie = (-_order_number(df, order)) if largest else F.col(order)
+    packed = F.when(F.col(value).isNotNull(), F.struct(
+        F.col(value).alias("v"), tie.alias("t"), F.col(order).alias("o"), *[F.col(c).alias(c) for c in cols]))
     out = running(df, key, order, {"_fl_arg": ("max" if largest else "min", packed)}, **kw)
     fields = [F.col("_fl_arg.v").alias(f"{prefix}_{value}"), F.col("_fl_arg.o").alias(f"{prefix}_{order}")]
     fields += [F.col(f"_fl_arg.{c}").alias(f"{prefix}_{c}") for c in cols]
@@ -93,8 +94,10 @@ def final_aggregates(df: DataFrame, key, order: str, value: str, cols=()) -> Dat
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(cols)
     v, o = F.col(value), F.col(order)
-    lo = F.min(F.struct(v.alias("v"), o.alias("t"), *[F.col(c) for c in cols]))
-    hi = F.max(F.struct(v.alias("v"), (-o).alias("t"), o.alias("o"), *[F.col(c) for c in cols]))
+    valued = v.isNotNull()
+    lo = F.min(F.when(valued, F.struct(v.alias("v"), o.alias("t"), *[F.col(c) for c in cols])))
+    hi = F.max(F.when(valued, F.struct(v.alias("v"), (-_order_number(df, order)).alias("t"), o.alias("o"),
+                                       *[F.col(c) for c in cols])))
     first = F.min(F.struct(o.alias("t"), *[F.col(c) for c in cols]))
     agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(v).alias(f"sum_{value}"),

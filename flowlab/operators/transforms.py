@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.functions.parse import _regex_literal
+
 
 def prefix_filter(df: DataFrame, col: str, prefix) -> DataFrame:
     """Keep rows whose ``col`` starts with ``prefix`` (case-sensitive).
@@ -26,7 +28,7 @@ def pair_one(df: DataFrame, col: str, name: str = "one") -> DataFrame:
 
 def tag_field(df: DataFrame, line_col: str, index: int, name: str, sep: str = ",") -> DataFrame:
     """P5: tag a line with one of its fields, keeping the whole line."""
-    return df.withColumn(name, F.split(F.col(line_col), sep, -1).getItem(index))
+    return df.withColumn(name, F.split(F.col(line_col), _regex_literal(sep), -1).getItem(index))
 
 
 def conditional_step(done: Column, step: dict[str, Column]):

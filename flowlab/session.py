@@ -31,7 +31,6 @@ BUILDER_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-    "spark.driver.memory": "16g",
 }
 
 
@@ -45,6 +44,8 @@ def get_session(master: str | None = None, app_name: str = "flowlab",
     conf = {**BUILDER_DEFAULTS, **SESSION_DEFAULTS}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):
+        conf["spark.driver.memory"] = "16g"  # one JVM does all the work
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -7,13 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.functions.exprs import tuple_text
+from flowlab.functions.exprs import joined_text, tuple_text
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = " ", mode: str = "errorifexists") -> None:
     """One line per row, fields joined by ``sep`` with no quoting (byte parity
     with a plain delimited writer; Spark's csv writer would quote)."""
-    df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")) \
+    df.select(joined_text(sep, *df.columns).alias("value")) \
         .write.mode(mode).text(path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.functions.exprs import event_time, millis_to_time
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -35,6 +35,15 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _whole(df: DataFrame, value: str):
+    """The value as bigint.  The state steps count in whole numbers: a
+    fractional column is refused, never cut (pass cents or micros)."""
+    kind = df.schema[value].dataType
+    if not isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+        raise TypeError(f"{value} is {kind.simpleString()}; the streaming state steps take whole numbers")
+    return F.col(value).cast("bigint").alias(value)
+
+
 def _key_fields(df: DataFrame, keys: list[str]) -> list[StructField]:
     return [df.schema[k] for k in keys]
 
@@ -84,7 +93,7 @@ def exclude_stream(df: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
     return df.join(excluded.select(key).distinct(), on=key, how="left_anti")
 
 
-def exclude_per_batch(load_excluded, key: str, write, max_broadcast_rows: int | None = 1_000_000):
+def exclude_per_batch(load_excluded, key: str, write):
     """J5 with an exclusion list that changes while the stream runs: a
     ``foreachBatch`` function that re-reads the list (``load_excluded()``)
     at the start of every micro-batch, anti-joins, and hands the kept rows
@@ -92,7 +101,7 @@ def exclude_per_batch(load_excluded, key: str, write, max_broadcast_rows: int |
     from flowlab.operators.joins import exclude
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(exclude(batch, load_excluded(), key, max_broadcast_rows), batch_id)
+        write(exclude(batch, load_excluded(), key), batch_id)
     return run
 
 
@@ -106,7 +115,7 @@ def count_window_stream(df: DataFrame, keys, order: str | None, value: str, size
         fields += [StructField(f"first_{order}", LongType()), StructField(f"last_{order}", LongType())]
     if with_values:
         fields.append(StructField("values", StringType()))
-    cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value)]
+    cols = [*keys, *([order] if order else []), _whole(df, value)]
     return _stateful(df.select(*cols).groupBy(*keys), engine,
                      count_window_fn(keys, order, value, size, with_values),
                      CountWindowProcessor(keys, order, value, size, with_values) if engine == TRANSFORM_WITH_STATE
@@ -127,7 +136,7 @@ def count_trigger_stream(df: DataFrame, keys, order: str | None, value: str, eve
     keys = _keys(keys)
     fields = _key_fields(df, keys) + ([df.schema[order]] if order else []) + [
         StructField("n", LongType()), StructField("total", LongType()), StructField(f"first_{carry}", StringType())]
-    cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value), carry]
+    cols = [*keys, *([order] if order else []), _whole(df, value), carry]
     return _stateful(df.select(*cols).groupBy(*keys), engine, count_trigger_fn(keys, order, value, every, carry),
                      CountTriggerProcessor(keys, order, value, every, carry) if engine == TRANSFORM_WITH_STATE
                      else None, StructType(fields), count_trigger_state_schema(carry))
@@ -153,7 +162,7 @@ def rolling_stream(df: DataFrame, keys, order: str | None, value: str, carry, em
         StructField("min", LongType()), StructField("max", LongType())]
     for p in ("first", "argmin", "argmax"):
         fields += [StructField(f"{p}_{c}", StringType()) for c in carry]
-    cols = [*keys, *([order] if order else []), F.col(value).cast("bigint").alias(value), *carry]
+    cols = [*keys, *([order] if order else []), _whole(df, value), *carry]
     return _stateful(df.select(*cols).groupBy(*keys), engine, rolling_fn(keys, order, value, carry),
                      RollingProcessor(keys, order, value, carry) if engine == TRANSFORM_WITH_STATE else None,
                      StructType(fields), rolling_state_schema(carry))

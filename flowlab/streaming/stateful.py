@@ -106,11 +106,16 @@ def count_window_step(pdf, key, key_names, order, value, size, with_values, stat
     return out, (int(sizes[-1]), int(sums[-1]), int(firsts[-1]), int(emitted), [int(x) for x in vals])
 
 
+def _texts(column) -> np.ndarray:
+    """A carried column as text; nulls stay null."""
+    return np.array([None if pd.isna(x) else str(x) for x in column], dtype=object)
+
+
 def count_trigger_step(pdf, key, key_names, order, value, every, carry, state):
     """``state = (n, total, first carry)``."""
     n0, t0, first = state
-    if first is None:
-        first = str(pdf[carry].iloc[0])
+    if n0 == 0:
+        first = _texts(pdf[carry])[0]
     n = n0 + np.arange(1, len(pdf) + 1, dtype=np.int64)
     total = t0 + np.cumsum(pdf[value].to_numpy(dtype=np.int64))
     hit = n % every == 0
@@ -130,7 +135,7 @@ def rolling_step(pdf, key, key_names, order, value, carry, state):
     entry per carried column in each of the last three groups."""
     k = len(carry)
     v = pdf[value].to_numpy(dtype=np.int64)
-    payload = [pdf[c].astype(str).to_numpy(dtype=object) for c in carry]
+    payload = [_texts(pdf[c]) for c in carry]
     if state is None:
         n0, s0, lo, hi = 0, 0, None, None
         first = [p[0] for p in payload]

@@ -47,11 +47,11 @@ def test_outer_join_fills_only_missing_side(spark):
     assert equi_join(left, right.unionByName(dup), "id", "inner").count() == 2  # duplicates multiply
 
 
-def test_exclude_checked_broadcast_and_fallback(spark):
+def test_exclude_repeated_ids(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     ex = spark.range(0, 100, 3).withColumnRenamed("id", "k")
-    a = sorted(r.k for r in exclude(df, ex, "k", max_broadcast_rows=1000).collect())
-    b = sorted(r.k for r in exclude(df, ex, "k", max_broadcast_rows=5).collect())  # too big: shuffle join
+    a = sorted(r.k for r in exclude(df, ex, "k").collect())
+    b = sorted(r.k for r in exclude(df, ex.union(ex), "k").collect())
     assert a == b == [k for k in range(100) if k % 3]
 
 
@@ -244,3 +244,60 @@ def test_sessions_match_session_window(spark, data, gap_ms, width, keyed):
     nat = sessions_native(df if keyed else df.withColumn("k", F.lit(0)), "ts", f"{gap_ms} milliseconds", aggs, ["k"])
     cols = (["k"] if keyed else []) + ["session_start", "session_end", "n"]
     assert sorted(map(tuple, ours.select(*cols).collect())) == sorted(map(tuple, nat.select(*cols).collect()))
+
+
+def test_null_values_never_hold_an_extreme(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 3, 4)], "k string, o int, v int")
+    from flowlab.operators.rolling import final_aggregates, rolling_min_by
+    rows = sorted(rolling_min_by(df, "k", "o", "v").collect(), key=lambda r: r.o)
+    assert [r.argmin_v for r in rows] == [5, 5, 4]
+    r = final_aggregates(df, "k", "o", "v").first()
+    assert (r.min_v, r.argmin_o, r.argmax_o) == (4, 3, 1)
+
+
+def test_arg_max_with_a_time_order(spark):
+    from flowlab.operators.rolling import final_aggregates, rolling_max_by
+    df = spark.sql("SELECT 'a' k, timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) t, id % 3 v FROM range(6)")
+    rows = sorted(rolling_max_by(df, "k", "t", "v").collect(), key=lambda r: r.t)
+    assert [r.argmax_t.second for r in rows] == [0, 1, 2, 2, 2, 2]
+    assert final_aggregates(df, "k", "t", "v").first().argmax_t.second == 2
+
+
+def test_null_lines_are_quarantined(spark):
+    from flowlab.functions import parse_fields
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "value string")
+    good, bad = parse_fields(df, [("n", "int")], mode="quarantine")
+    assert (good.count(), bad.count()) == (1, 2)
+
+
+def test_null_fields_keep_their_place_in_text(spark):
+    from flowlab.functions.exprs import tuple_text
+    df = spark.createDataFrame([(1, None, "c")], "a int, b string, c string")
+    assert df.select(tuple_text("a", "b", "c").alias("t")).first().t == "(1,null,c)"
+
+
+def test_tag_field_takes_the_separator_literally(spark):
+    from flowlab.operators.transforms import tag_field
+    df = spark.createDataFrame([("a|b|c",)], "line string")
+    assert tag_field(df, "line", 1, "f", sep="|").first().f == "b"
+
+
+def test_iterate_limit_is_exact_with_fused_rounds(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from flowlab.operators.iterate import IterationLimitExceeded, iterate
+    df = spark.createDataFrame([(0,)], "n int")
+
+    def step(d):
+        return d.withColumn("n", F.when(F.col("n") < 4, F.col("n") + 1).otherwise(F.col("n")))
+    with pytest.raises(IterationLimitExceeded):
+        iterate(df, step, lambda: F.col("n") >= 4, max_iter=3, fuse=4)
+    assert iterate(df, step, lambda: F.col("n") >= 4, max_iter=5, fuse=4).first().n == 4
+
+
+def test_streaming_steps_refuse_fractions(spark):
+    import pytest
+    from flowlab.streaming.operators import rolling_stream
+    df = spark.createDataFrame([("a", 1, 1.75)], "k string, o int, v double")
+    with pytest.raises(TypeError):
+        rolling_stream(df, "k", "o", "v", [])
