@@ -2,7 +2,7 @@
 
 ``Window.partitionBy(key).orderBy(o)`` puts every row of a key into one task;
 if one key holds a third of the data, one task scans a third of the data.
-``running`` cuts each key's order range into chunks and works in two levels:
+``running`` cuts each hot key's rows into chunks by order and works in two levels:
 
 1. inside each ``(key, chunk)``: the ordinary window scan, partitioned by
    ``(key, chunk)``, so a hot key is spread over many tasks;
@@ -26,6 +26,7 @@ date column that is a total order within each key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -65,10 +66,23 @@ def _partitions(spark) -> int:
 
 @dataclass(frozen=True)
 class ScanPlan:
-    """How ``running`` scans: ``width=None`` is the plain window; otherwise
-    the chunk width, and ``hot`` the keys to split (``None``: every key)."""
+    """How ``running`` scans.  All fields ``None``: the plain window.
+
+    ``width``: chunks of that width of the order column, for every key.
+    ``points``: chunks between measured points of the order column; one tuple
+    of points per key of ``hot``, or a single one without keys."""
     width: int | None
     hot: tuple | None = None
+    points: tuple | None = None
+
+    @property
+    def split(self) -> bool:
+        return self.width is not None or self.points is not None
+
+
+def _quantiles(o: Column, chunks: int) -> Column:
+    """The ``chunks - 1`` inner quantiles of ``o``; an error in rank of a tenth of a chunk."""
+    return F.percentile_approx(o, [i / chunks for i in range(1, chunks)], max(10000, 10 * chunks))
 
 
 def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
@@ -76,39 +90,70 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
     """Measure the data and decide how to scan.
 
     One job computes per-key row counts (partial aggregation) and reduces
-    them to one row: rows of the hottest key, total rows, span of ``order``.
-    A key is hot when it holds more than ``skew_factor`` times the rows of
-    an average shuffle partition.  No hot key: plain window.  Otherwise the
-    hot keys are fetched; there are fewer than ``partitions / skew_factor``
-    of them by construction, so the list has a proven bound.  The order range
-    is cut so that the hottest key falls into chunks of about half an
-    average partition each.  Cold keys stay in one chunk and skip the
-    chunk totals.  Without keys the whole table is one hot group.
+    them to one row: rows of the hottest key and total rows.  A key is hot
+    when it holds more than ``skew_factor`` times the rows of an average
+    shuffle partition.  No hot key: plain window.  Otherwise each hot key is
+    cut at quantiles of its own order values, so that its chunks hold about
+    half an average partition each however its rows lie in the order range.
+    There are fewer than ``partitions / skew_factor`` hot keys with fewer than
+    ``oversplit * partitions`` points together (and one more each), which
+    bounds what is fetched.  Cold keys stay in one chunk and skip the chunk
+    totals.  Without keys the whole table is one hot group.  Rows that repeat
+    one order value are not cut apart.
     """
     keys = _as_list(keys)
     o = _order_number(df, order)
     parts = _partitions(df.sparkSession)
     if not keys:
-        row = df.agg(F.count(F.lit(1)).alias("total"), F.min(o).alias("lo"), F.max(o).alias("hi")).first()
-        if row is None or not row["total"] or row["lo"] is None:
-            return ScanPlan(None)
-        chunks = max(2, oversplit * parts)
-        return ScanPlan(max(1, -(-(int(row["hi"]) - int(row["lo"]) + 1) // chunks)))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(o).alias("_lo"), F.max(o).alias("_hi"))
-    row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total"),
-                      F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
-    if row is None or not row["total"] or row["lo"] is None:
-        return ScanPlan(None)            # empty, or no order value at all
+        row = df.agg(_quantiles(o, max(2, oversplit * parts)).alias("points")).first()
+        if row is None or row["points"] is None:
+            return ScanPlan(None)            # empty, or no order value at all
+        return ScanPlan(None, None, (tuple(sorted(set(row["points"]))),))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total")).first()
+    if row is None or not row["total"]:
+        return ScanPlan(None)
     per_part = max(1.0, row["total"] / parts)
     threshold = skew_factor * per_part
     if row["hot"] <= threshold:
         return ScanPlan(None)
-    # skewed: a second pass fetches the hot keys; bounded, since each one
-    # holds more than total * skew_factor / parts rows
-    hot = tuple(tuple(r) for r in per_key.filter(F.col("_n") > threshold).select(*keys).collect())
-    chunks = max(2, oversplit * -(-int(row["hot"]) // int(per_part)))
-    span = int(row["hi"]) - int(row["lo"]) + 1
-    return ScanPlan(max(1, -(-span // chunks)), hot)
+    # skewed: a second pass cuts the hot keys.  Quantiles for the hottest one,
+    # thinned for the others before they are fetched.
+    finest = max(2, oversplit * math.ceil(row["hot"] / per_part))
+    own = F.greatest(F.lit(2), F.lit(oversplit) * F.ceil(F.col("_n") / F.lit(per_part))).cast("int")
+    cut = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), _quantiles(o, finest).alias("_q"))
+           .filter((F.col("_n") > threshold) & F.col("_q").isNotNull())
+           .select(*keys, F.transform(F.sequence(F.lit(1), own - 1), lambda j: F.element_at(
+               "_q", F.greatest(F.lit(1), F.floor(j * F.lit(finest) / own).cast("int")))).alias("_q")).collect())
+    if not cut:
+        return ScanPlan(None)
+    return ScanPlan(None, tuple(tuple(r[k] for k in keys) for r in cut), tuple(tuple(sorted(set(r["_q"]))) for r in cut))
+
+
+def _points_passed(o: Column, points: tuple) -> Column:
+    """How many of the sorted ``points`` are at most ``o``: a binary search
+    over a literal array, so wide plans cost a row only its logarithm."""
+    steps = [1 << i for i in reversed(range(len(points).bit_length()))]
+    table = F.array(*[F.lit(p).cast("bigint") for p in points])
+
+    def step(at: Column, by: Column) -> Column:
+        past = at + by
+        return F.when((past <= len(points)) & (F.get(table, past - 1) <= o), past).otherwise(at)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step).cast("bigint")
+
+
+def _chunk_of(o: Column, plan: ScanPlan, keys: list[str]) -> Column:
+    """The chunk of a row; cold keys and null orders (which sort first anyway)
+    have ``_NO_CHUNK``, so the column is never null."""
+    if plan.points is None:
+        chunk = F.floor(o / F.lit(plan.width)).cast("bigint")
+    elif plan.hot is None:
+        chunk = _points_passed(o, plan.points[0])
+    else:
+        chunk = F.lit(None).cast("bigint")
+        for key, points in zip(plan.hot, plan.points):
+            chunk = F.when(_hot_condition(keys, (key,)), _points_passed(o, points)).otherwise(chunk)
+    return F.coalesce(F.when(o.isNotNull(), chunk), F.lit(_NO_CHUNK))
 
 
 def _hot_condition(keys: list[str], hot: tuple) -> Column:
@@ -201,7 +246,7 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
         plan = chunk_width
     else:
         plan = ScanPlan(chunk_width)
-    if plan.width is None:
+    if not plan.split:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, frame_end)
         return df.select("*", *[_window_agg(k, e, w).alias(n) for n, (k, e) in aggs.items()])
 
@@ -209,12 +254,8 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
     # with a null key are kept by the join below, and the join reuses the
     # window's partitioning on (key, chunk) instead of shuffling again.
     key = F.struct(*keys) if keys else F.lit(0)
-    # non-nullable chunk (rows with a null order sort first anyway), so no
-    # inferred not-null filter is added
-    chunk = F.coalesce(F.floor(_order_number(df, order) / F.lit(plan.width)).cast("bigint"), F.lit(_NO_CHUNK))
     hot = _hot_condition(keys, plan.hot) if (keys and plan.hot is not None) else None
-    if hot is not None:
-        chunk = F.when(hot, chunk).otherwise(F.lit(_NO_CHUNK))   # a cold key is one chunk
+    chunk = _chunk_of(_order_number(df, order), plan, keys)
     d = df.withColumn(_KEY, key).withColumn(_CHUNK, chunk)
 
     w_in = Window.partitionBy(_KEY, _CHUNK).orderBy(order) \

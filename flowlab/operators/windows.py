@@ -11,8 +11,7 @@ so neither a global (un-keyed) window nor a hot key lands in one task.
 Sessions use a lossless pre-collapse: two events in the same gap-wide
 bucket ``floor(t / gap)`` are less than a gap apart, so they are always in
 one session.  Buckets are reduced in parallel; the gaps-and-islands step
-then runs on bucket rows only, at most ``time span / gap`` per key.  When
-that bound is small the step is a plain window; otherwise it is the
+then runs on bucket rows only, at most ``time span / gap`` per key, as the
 two-level prefix scan, so neither a global session window nor a hot key is
 serialised.
 """
@@ -22,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.operators.prefix import AUTO, ScanPlan, plan_chunks, running
+from flowlab.operators.prefix import AUTO, plan_chunks, running
 
 _COMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
@@ -67,7 +66,7 @@ def sessions_native(df: DataFrame, time_col: str, gap: str, aggs: dict[str, tupl
 
 
 def sessions(df: DataFrame, time_col: str, gap_us: int, aggs: dict[str, tuple[str, Column]],
-             keys=None, chunk_width=AUTO, max_buckets_per_task: int = 4_000_000) -> DataFrame:
+             keys=None, chunk_width=AUTO) -> DataFrame:
     """Session windows with gap ``gap_us`` microseconds.
 
     A row joins the current session when it is at most ``gap`` after the
@@ -79,15 +78,8 @@ def sessions(df: DataFrame, time_col: str, gap_us: int, aggs: dict[str, tuple[st
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
     d = df.withColumn("_fl_t", t).withColumn("_fl_b", F.floor(F.col("_fl_t") / F.lit(gap_us)).cast("bigint"))
     if chunk_width == AUTO:
-        # After the collapse a key has at most one row per bucket of the time
-        # span: when the span holds few buckets, a plain window is bounded
-        # per task whatever the skew.  Otherwise measure (on the raw rows: a
-        # key's bucket count is at most its row count).
-        lo, hi = d.agg(F.min("_fl_b"), F.max("_fl_b")).first()
-        if lo is None or hi - lo + 1 <= max_buckets_per_task:
-            chunk_width = ScanPlan(None)
-        else:
-            chunk_width = plan_chunks(d, keys, "_fl_b")
+        # measured on the raw rows: a key's bucket count is at most its row count
+        chunk_width = plan_chunks(d, keys, "_fl_b")
     # 1. lossless collapse into gap-wide buckets (parallel, partial agg)
     b = d.groupBy(*keys, "_fl_b").agg(
         F.min("_fl_t").alias("_fl_s"), F.max("_fl_t").alias("_fl_e"), *_agg_exprs(aggs))

@@ -35,6 +35,7 @@ SESSION_GAP_GLOBAL_US = 5 * MINUTE_US
 LATE_DELAY_US = 3_500_000
 LATE_EVERY, LATE_PLACES = 7, 2
 EXCLUDE_ABOVE = 250
+RAW_ORDER_ABOVE, RAW_QUANTITY_ABOVE = 100_000, 25
 COUNT_WINDOW, COUNT_TRIGGER, SINK_THRESHOLD, SINK_SHARDS = 10, 5, 100, 4
 
 
@@ -101,6 +102,17 @@ def _outer(how):
     return q
 
 
+def _raw_outer(how):
+    """J2-J4 on two raw tables, both filtered so that both sides miss keys."""
+    def q(spark, sf):
+        o = load_table(spark, sf, "orders").filter(F.col("o_totalprice") > RAW_ORDER_ABOVE) \
+            .select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+        li = load_table(spark, sf, "lineitem").filter(F.col("l_quantity") > RAW_QUANTITY_ABOVE) \
+            .select(F.col("l_orderkey").alias("orderkey"), "l_linenumber")
+        return equi_join(o, li, "orderkey", how, fill="NULL")
+    return q
+
+
 def q_anti_broadcast_count(spark, sf):
     ev = load_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     # skew measured before the exclusion: an upper bound per key, without
@@ -266,6 +278,9 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_left_fill": _outer("left"),
     "join_right_fill": _outer("right"),
     "join_full_fill": _outer("full"),
+    "join_left_raw": _raw_outer("left"),
+    "join_right_raw": _raw_outer("right"),
+    "join_full_raw": _raw_outer("full"),
     "anti_broadcast_count": q_anti_broadcast_count,
     "rolling_sum": q_rolling_sum,
     "rolling_min": q_rolling_min,

@@ -28,6 +28,19 @@ def _outer(how: str) -> str:
     return f"SELECT {sel} FROM ({cust}) c {j} ({supp}) s ON c.nationkey = s.nationkey"
 
 
+def _raw_outer(how: str) -> str:
+    cust, line = "o.o_custkey", "l.l_linenumber"
+    if how != "LEFT":
+        cust = f"CASE WHEN o.orderkey IS NULL THEN 'NULL' ELSE CAST({cust} AS VARCHAR) END"
+    if how != "RIGHT":
+        line = f"CASE WHEN l.orderkey IS NULL THEN 'NULL' ELSE CAST({line} AS VARCHAR) END"
+    return f"""
+SELECT coalesce(o.orderkey, l.orderkey) AS orderkey, {cust} AS o_custkey, {line} AS l_linenumber
+FROM (SELECT o_orderkey AS orderkey, o_custkey FROM orders WHERE o_totalprice > 100000) o
+{how} JOIN (SELECT l_orderkey AS orderkey, l_linenumber FROM lineitem WHERE l_quantity > 25) l
+ON o.orderkey = l.orderkey"""
+
+
 def _sessions(gap_us: int, keyed: bool, key: str = "user_id", src: str | None = None) -> str:
     part = f"PARTITION BY {key} " if keyed else ""
     key_sel = f"{key}, " if keyed else ""
@@ -75,6 +88,9 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_nationk
     "join_left_fill": _outer("left"),
     "join_right_fill": _outer("right"),
     "join_full_fill": _outer("full"),
+    "join_left_raw": _raw_outer("LEFT"),
+    "join_right_raw": _raw_outer("RIGHT"),
+    "join_full_raw": _raw_outer("FULL"),
     "anti_broadcast_count": f"""
 SELECT event_id, user_id, event_type,
        count(*) OVER (PARTITION BY event_type ORDER BY event_id {_ROWS}) AS n

@@ -45,7 +45,7 @@ def main(sf_dir: str, copies: int, scratch: str) -> None:
     for name, key in keys.items():
         df = base.select("event_id", key.alias("k"), F.round(F.col("value") * 100).cast("bigint").alias("c"))
         plan = plan_chunks(df, "k", "event_id")
-        out[f"{name}_chunk_width"], out[f"{name}_hot_keys"] = plan.width, len(plan.hot or ())
+        out[f"{name}_points"], out[f"{name}_hot_keys"] = sum(map(len, plan.points or ())), len(plan.hot or ())
         best = {"plain_window": [], "skew_split": []}
         for _ in range(3):
             for label, width in (("plain_window", None), ("skew_split", AUTO)):
