@@ -147,6 +147,8 @@ def _chunk_of(o: Column, plan: ScanPlan, keys: list[str]) -> Column:
     have ``_NO_CHUNK``, so the column is never null."""
     if plan.points is None:
         chunk = F.floor(o / F.lit(plan.width)).cast("bigint")
+        if keys and plan.hot is not None:
+            chunk = F.when(_hot_condition(keys, plan.hot), chunk)
     elif plan.hot is None:
         chunk = _points_passed(o, plan.points[0])
     else:
