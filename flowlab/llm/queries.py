@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, sentencepiece_codec, span_dedup, topk, url_filter
+from flowlab.llm import oracle
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
 
@@ -101,4 +102,10 @@ def _with_package(fn):
 
 LLM_QUERIES = {fn.__name__: _with_package(fn) for fn in _QUERIES}
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op4_chat_format": oracle.chat_sql(ECHO),
+    "op5_topk": oracle.TOPK_SQL,
+    "op6_jaccard_join": oracle.JACCARD_SQL,
+    "op7_quality_rules": oracle.rules_sql(),
+    "op9_url_filter": oracle.url_sql(URL_RULES, LISTED_HOSTS),
+}
