@@ -40,12 +40,12 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id stays, once.  Rows
-    without an id stay."""
+    """Of each component its leading row stays (the smallest id); rows that
+    repeat id and text are one document.  Texts without words all stay."""
     parts = jaccard_join.jaccard_components(docs.select("doc_id", "text"))
-    first = parts.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    first = parts.filter("leader").select(F.xxhash64("doc_id", "text_key").alias("__key"))
+    kept = docs.withColumn("__key", F.xxhash64("doc_id", F.xxhash64("text"))).join(first, "__key", "left_semi")
+    return kept.dropDuplicates(["__key", "doc_id"]).select(*docs.columns)
 
 
 def spans_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -204,13 +204,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row: the set size and the
-    smallest id reachable over links (similarity at least ``percent`` / 100).
+    """``doc_id, n_shingles, component_id, text_key, leader`` per row: the set
+    size, the smallest id reachable over links (similarity at least
+    ``percent`` / 100), a hash of the text, and whether the row is the one of
+    its component with the smallest id (of rows that repeat it, the first).
 
     A null or empty text has the empty set and no links: its component is its
-    own id.  Rows of equal sets are one node from the start, so a large group
-    of copies is never compared.  Null ids are carried; a component of null
-    ids only has a null id.
+    own id and it leads.  Rows of equal sets are one node from the start, so a
+    large group of copies is never compared.  Null ids are carried and come
+    last; a component of null ids only has a null id.
 
     1. Signatures that at least two different sets share form buckets.
     2. Each bucket's members are compared with its smallest member only; most
@@ -267,9 +269,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     labels = saved(components(links.unionByName(more)), "jac-labels")
 
     of_node = nodes.join(labels, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("part"))
-    placed = saved(rows.select("doc_id", "row", "n", "f1", "f2").join(of_node, ["f1", "f2", "n"], "left")
-                   .select("doc_id", "n", "part"), "jac-placed")
-    least = saved(placed.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id")), "jac-least")
+    placed = saved(rows.select("doc_id", "row", "text_key", "n", "f1", "f2").join(of_node, ["f1", "f2", "n"], "left")
+                   .select("doc_id", "row", "text_key", "n", "part"), "jac-placed")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    least = saved(placed.filter("part is not null").groupBy("part").agg(F.min(rank).alias("first")), "jac-least")
     return placed.join(least, "part", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        "text_key", F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("leader"))

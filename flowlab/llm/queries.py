@@ -49,7 +49,8 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(load_table(spark, sf_dir, "documents"))
+    parts = jaccard_join.jaccard_components(load_table(spark, sf_dir, "documents"))
+    return parts.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,14 +102,14 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ranges (a document's own sentences at most) meet the texts again, by id
     and text hash.
     """
-    ranges = covered_sentences(docs, min_words).withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
+    ranges = covered_sentences(docs, min_words).withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "ranges": "__ranges"})
     base = docs.withColumn("__text_key", F.xxhash64("text"))
     on = base["doc_id"].eqNullSafe(ranges["__id"]) & (base["__text_key"] == ranges["__key"])
     pieces = sentences(F.col("text"))
     joined = base.join(ranges, on, "left").withColumn("__s", pieces)
     # one fold over the sorted ranges: kept pieces lie between the furthest end so far and the next start
     done = F.aggregate(
-        F.coalesce("ranges", F.array().cast("array<struct<start:int,last:int>>")),
+        F.coalesce("__ranges", F.array().cast("array<struct<start:int,last:int>>")),
         F.struct(F.lit(-1).alias("end"), F.array().cast("array<string>").alias("kept"), F.lit(0).alias("cut")),
         lambda a, r: F.struct(
             F.greatest(a["end"], r["last"]).alias("end"),
@@ -121,8 +121,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             F.concat(F.array_join(a["kept"], ""),
                      F.array_join(F.slice("__s", a["end"] + 2, F.greatest(F.lit(0), F.size("__s") - a["end"] - 1)), "")).alias("text"),
             a["cut"].alias("cut")))
-    out = joined.withColumn("__done", F.when(F.col("ranges").isNotNull(), done))
-    cleaned = F.when(F.col("ranges").isNull(), F.col("text")).otherwise(F.col("__done.text"))
+    out = joined.withColumn("__done", F.when(F.col("__ranges").isNotNull(), done))
+    cleaned = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(F.col("__done.text"))
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
     return out.select(*[cleaned.alias("text") if c == "text" else base[c] for c in names],
                       F.size("__s").cast("bigint").alias("n_sentences"),
