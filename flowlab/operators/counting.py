@@ -20,6 +20,7 @@ with at most ``size`` rows each.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowlab.operators.prefix import running
@@ -83,13 +84,11 @@ def batched_rows(df: DataFrame, shard, order: str, threshold: int, **kw) -> Data
     tagged with ``batch_no``; rows of a shard's trailing partial batch are
     still buffered and are not returned.
 
-    A batch is full when the shard holds at least ``(batch_no + 1) *
-    threshold`` rows.  Shard sizes come from a small per-shard count joined
-    on a struct key (null-safe, and AQE broadcasts it), not from a window
-    over a whole shard, so a hot shard is not serialised."""
+    A batch is full when it holds ``threshold`` rows.  They are counted over
+    ``(shard, batch_no)``, at most ``threshold`` rows at a time, so the input
+    is read once and a hot shard is not serialised."""
     keys = _keys(shard)
     g = _grouped(df, keys, order, threshold, **kw)
-    sizes = df.groupBy(F.struct(*keys).alias("_fl_sk")).agg(F.count(F.lit(1)).alias("_fl_nk"))
-    g = g.withColumn("_fl_sk", F.struct(*keys)).join(sizes, "_fl_sk")
-    full = (F.col("_fl_g") + 1) * F.lit(threshold) <= F.col("_fl_nk")
-    return g.filter(full).select(*[F.col(c) for c in df.columns], F.col("_fl_g").alias("batch_no"))
+    full = F.count(F.lit(1)).over(W.partitionBy(*keys, "_fl_g")) == threshold
+    g = g.withColumn("_fl_full", full)
+    return g.filter("_fl_full").select(*[F.col(c) for c in df.columns], F.col("_fl_g").alias("batch_no"))

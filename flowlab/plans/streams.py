@@ -36,7 +36,7 @@ def _ntz_bounds(df: DataFrame, start: str, end: str) -> DataFrame:
 def q_group_sum_stream(spark, sf):
     ev = table_stream(spark, sf, "events").select("event_type")
     agg = prefix_filter(ev, "event_type", ["c", "p"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return run_to_completion(spark, agg, "group_sum_stream", "complete", keys=["event_type"],
+    return run_to_completion(spark, agg, "group_sum_stream", "update", keys=["event_type"],
                              conf=_sized(spark, sf))
 
 
