@@ -4,16 +4,19 @@ Every run of consecutive sentences is hashed, equal runs meet in one global
 join, and sentences covered by any occurrence but the first are removed.
 
 A sentence ends at a full stop, comma, colon or line break, so that a passage
-put into the middle of other text still holds whole sentences.  A run is as
-many consecutive sentences, two at least, as it takes to reach ``MIN_WORDS``
-words: equal passages give equal runs, and short common phrases give none.
+put into the middle of other text still holds whole sentences.  A run is two
+consecutive sentences at least with ``MIN_WORDS`` words or more.  Hashed are
+the shortest run from every sentence and the shortest run up to every sentence:
+whether one is the shortest hangs on its own sentences alone, and together
+those inside a longer run cover all of it, so that a longer repeated run loses
+nothing.  Short common phrases give none.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 import numpy as np
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import map_batches, saved, strings
+from flowlab.llm.common import map_batches, release, saved, strings
 
 MIN_WORDS = 20
 MIN_RUN = 2
@@ -36,16 +39,23 @@ def sentences(text: Column) -> Column:
 
 
 def runs(text: str, min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> list[tuple[int, int, bytes]]:
-    """``(first, last, 128-bit hash)`` of the run from every sentence, as
-    positions in the cut text.  White space around sentences is left out, and
-    sentences that are nothing else."""
+    """``(first, last, 128-bit hash)`` of the shortest runs from and up to every
+    sentence, each run once, as positions in the cut text.  White space around
+    sentences is left out, and sentences that are nothing else."""
     kept = [(i, w) for i, s in enumerate(_SENTENCE.findall(text)) if (w := s.strip())]
     reach = [0, *accumulate(len(w.split()) for _, w in kept)]
-    out = []
+    found = {}
     for a in range(len(kept)):
         b = max(bisect_left(reach, reach[a] + min_words), a + min_run)
         if b > len(kept):
             break
+        found[a, b] = None
+    for b in range(min_run, len(kept) + 1):
+        a = min(bisect_right(reach, reach[b] - min_words) - 1, b - min_run)
+        if a >= 0:
+            found[a, b] = None
+    out = []
+    for a, b in found:
         joined = "\n".join(w for _, w in kept[a:b])
         out.append((kept[a][0], kept[b - 1][0], hashlib.blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
     return out
@@ -72,6 +82,21 @@ def span_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                        f"doc_id {id_type}, text_key bigint, start int, last int, h1 bigint, h2 bigint")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    """``saved``, with the shuffle files of the write dropped at its end and
+    not when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return saved(df, name)
+    finally:
+        conf.set(CLEANUP, was)
+
+
 def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_key, ranges``: the ranges ``[start, last]`` of runs whose
     first occurrence (smallest document id, then position) is elsewhere.
@@ -80,14 +105,15 @@ def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     join back reads two plain shuffles, which AQE splits where one run is hot.
     """
     spans = saved(span_rows(docs, min_words), "spans")
-    first = (spans.groupBy("h1", "h2")
-             .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last_one"))
-             .filter("first <> last_one").select("h1", "h2", "first"))
-    repeated = saved(first, "span-firsts")
-    later = (spans.join(repeated, ["h1", "h2"])
-             .filter(~F.col("first").eqNullSafe(F.struct("doc_id", "start"))))
-    return (later.groupBy("doc_id", "text_key")
-            .agg(F.sort_array(F.collect_set(F.struct(F.col("start"), F.col("last")))).alias("ranges")))
+    repeated = _saved(spans.groupBy("h1", "h2")
+                      .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last_one"))
+                      .filter("first <> last_one").select("h1", "h2", "first"), "span-firsts")
+    ranges = _saved(spans.join(repeated, ["h1", "h2"])
+                    .filter(~F.col("first").eqNullSafe(F.struct("doc_id", "start")))
+                    .groupBy("doc_id", "text_key")
+                    .agg(F.sort_array(F.collect_set(F.struct(F.col("start"), F.col("last")))).alias("ranges")), "span-ranges")
+    release(docs.sparkSession, spans, repeated)
+    return ranges
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
