@@ -11,6 +11,9 @@ from flowlab.llm.common import saved, ship_package
 from flowlab.llm.queries import fitted_quality
 from flowlab.sources import load_table
 
+#: Near copies share 80 % of their five-word shingles; op6_jaccard_join has a contract of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def _retexted(kept: DataFrame, text: str, columns: list[str]) -> DataFrame:
     """``columns`` of ``kept`` with the text and its length replaced."""
@@ -42,7 +45,7 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component its leading row stays (the smallest id); rows that
     repeat id and text are one document.  Texts without words all stay."""
-    parts = jaccard_join.jaccard_components(docs.select("doc_id", "text"))
+    parts = jaccard_join.jaccard_components(docs.select("doc_id", "text"), words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = parts.filter("leader").select(F.xxhash64("doc_id", "text_key").alias("__key"))
     kept = docs.withColumn("__key", F.xxhash64("doc_id", F.xxhash64("text"))).join(first, "__key", "left_semi")
     return kept.dropDuplicates(["__key", "doc_id"]).select(*docs.columns)
