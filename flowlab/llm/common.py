@@ -33,12 +33,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._flowlab_shipped = True
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and
     read it back.  Survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, sentencepiece_codec, span_dedup, topk, url_filter
+from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, sentencepiece_codec, span_dedup, token_files, topk, url_filter
 from flowlab.llm import oracle
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
@@ -89,8 +89,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.coalesce("was", F.lit("")).eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, written to token files and read back from them."""
+    read = token_files.token_round_trip(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 _QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op6_jaccard_join, op7_quality_rules, op8_quality_rank, op9_url_filter,
-            op10_sentencepiece)
+            op10_sentencepiece, op13_token_files)
 
 
 def _with_package(fn):
