@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, sentencepiece_codec, span_dedup, token_files, topk, url_filter
+from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, runs, sentencepiece_codec, span_dedup, token_files, topk, url_filter
 from flowlab.llm import oracle
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
@@ -89,6 +89,41 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.coalesce("was", F.lit("")).eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def repeating_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` where each tenth document by hash repeats a stretch of
+    its words from some place on: the texts that op12 is asked about."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    g, n = F.floor(F.col("__h") / 10), F.size("__w")
+    a = (g % n).cast("int")
+    p = 1 + F.floor((n - F.col("__a")) / (3 + g % 8)).cast("int")
+    rows = docs.select("doc_id", "text", h.alias("__h"))
+    plain = rows.filter("__h is null or __h % 10 <> 0").select("doc_id", "text")
+    made = (rows.filter("__h % 10 = 0").withColumn("__w", words).withColumn("__a", F.when(n > 0, a))
+            .withColumn("__p", p)
+            .select("doc_id", F.when(n == 0, F.lit("")).otherwise(F.array_join(F.transform(
+                F.sequence(F.lit(0), n - 1),
+                lambda i: F.get("__w", F.when(i < F.col("__a"), i).otherwise(F.col("__a") + (i - F.col("__a")) % F.col("__p")))),
+                " ")).alias("text")))
+    return plain.unionByName(made)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, their digest and that of the collapsed text."""
+    found = runs.periodic_runs(repeating_texts(load_table(spark, sf_dir, "documents")))
+    longest = F.get(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("__top", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("__top.start").alias("start"),
+        (-F.col("__top.shorter")).alias("length"), F.col("__top.period").alias("period"),
+        F.floor(-1000 * F.col("__top.shorter") / F.col("__top.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, written to token files and read back from them."""
     read = token_files.token_round_trip(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -96,7 +131,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op6_jaccard_join, op7_quality_rules, op8_quality_rank, op9_url_filter,
-            op10_sentencepiece, op13_token_files)
+            op10_sentencepiece, op12_periodic_runs, op13_token_files)
 
 
 def _with_package(fn):
