@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, runs, sentencepiece_codec, span_dedup, token_files, topk, url_filter
+from flowlab.llm import chat_format, html_extract, jaccard_join, packing, quality_rank, quality_rules, runs, sentencepiece_codec, span_dedup, token_files, topk, url_filter, whitening
 from flowlab.llm import oracle
 from flowlab.llm.common import ship_package
 from flowlab.sources import load_table
@@ -89,6 +89,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.coalesce("was", F.lit("")).eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load_table(spark, sf_dir, "embeddings"))
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -131,7 +135,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (op1_span_dedup, op2_html_extract, op3_packing, op4_chat_format, op5_topk, op6_jaccard_join, op7_quality_rules, op8_quality_rank, op9_url_filter,
-            op10_sentencepiece, op12_periodic_runs, op13_token_files)
+            op10_sentencepiece, op11_whitening, op12_periodic_runs, op13_token_files)
 
 
 def _with_package(fn):
