@@ -1,13 +1,14 @@
 """Token ids in binary files: range asymmetric numeral coding with one shared
 frequency table, independent interleaved blocks, checkpoints and checksums.
 
-A folder holds ``table.freq`` (the shared table) and ``<number>.rans`` files.
-File number and position follow the documents' order by id.  A file is
+A folder holds ``table.freq`` (the shared table) and ``<number>.rans`` files,
+numbered in the order of the documents' ids.  A file is
 
-* a header: magic, the table's checksum, the ids before the file;
+* a header: magic, the table's checksum;
 * blocks of whole documents: header, document ids and lengths, lane states,
   the word stream; the header holds checksums of the block and of its ids;
-* a footer of checkpoints: place, size, first position and ids of every block.
+* a footer of checkpoints: place, size, ids before it in the file and ids of
+  every block.
 
 A reader takes the footers first and then decodes any block alone.
 """
@@ -17,29 +18,28 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowlab.llm import range_coder
 from flowlab.llm.common import partitions, release, saved, ship_package, strings
-from flowlab.llm.ordering import range_slices, running_start
 from flowlab.llm.range_coder import FrequencyTable
-from flowlab.llm.word_ids import byte_tokenizer
+from flowlab.llm.word_ids import piece_tokenizer
 from flowlab.session import scratch_path
 
 BLOCK_TOKENS = 1 << 18
-FILE_TOKENS = 1 << 22
 END_ID = 2
 TABLE, SUFFIX = "table.freq", ".rans"
-_FILE = struct.Struct("<8sIQ")          # magic, table checksum, first position
+_FILE = struct.Struct("<8sI")           # magic, table checksum
 _BLOCK = struct.Struct("<4sQQQQII")     # magic, ids, documents, lanes, words, checksum of ids, of the body
-_POINT = struct.Struct("<QQQQ")         # place, size, first position, ids
+_POINT = struct.Struct("<QQQQ")         # place, size, ids before it, ids
 _TAIL = struct.Struct("<QI8s")          # checkpoints, their checksum, magic
 _MAGIC = b"RANSIDS1"
 
@@ -102,13 +102,13 @@ class _Writer:
     """One file under a name of its own until it is whole: a repeated or
     second attempt of a task replaces it by the same bytes."""
 
-    def __init__(self, folder: str, number: int, first: int, table: FrequencyTable):
+    def __init__(self, folder: str, number: int, table: FrequencyTable):
         self.files, base = place(folder)
         self.final, self.temporary = f"{base}/{number:08d}{SUFFIX}", f"{base}/_{number:08d}-{uuid.uuid4().hex}"
         self.out, self.table = self.files.open_output_stream(self.temporary), table
-        self.at = self.first = first
-        self.size, self.points, self.docs, self.ids, self.held = 0, [], [], [], 0
-        self._write(_FILE.pack(_MAGIC, table.checksum, first))
+        self.at = self.size = 0
+        self.points, self.docs, self.ids, self.held = [], [], [], 0
+        self._write(_FILE.pack(_MAGIC, table.checksum))
 
     def _write(self, data: bytes) -> None:
         self.out.write(data)
@@ -129,21 +129,21 @@ class _Writer:
             self.at += self.held
             self.docs, self.ids, self.held = [], [], 0
 
-    def close(self) -> tuple[str, int, int, int]:
+    def close(self) -> tuple[str, int, int]:
         self._flush()
         body = b"".join(_POINT.pack(*p) for p in self.points)
         self._write(body + _TAIL.pack(len(self.points), zlib.crc32(body), _MAGIC))
         self.out.close()
         self.files.move(self.temporary, self.final)
-        return self.final, self.first, self.at - self.first, self.size
+        return self.final, self.at, self.size
 
 
 def checkpoints(uri: str, folder: str) -> list[tuple[int, int, int, int]]:
-    """``place, size, first position, ids`` of each block of a file."""
+    """``place, size, ids before it, ids`` of each block of a file."""
     files, path = place(uri)
     with files.open_input_file(path) as src:
         size = src.size()
-        magic, of_table, _ = _FILE.unpack(src.read(_FILE.size))
+        magic, of_table = _FILE.unpack(src.read(_FILE.size))
         src.seek(size - _TAIL.size)
         n, crc, end = _TAIL.unpack(src.read(_TAIL.size))
         src.seek(max(0, size - _TAIL.size - n * _POINT.size))
@@ -154,25 +154,32 @@ def checkpoints(uri: str, folder: str) -> list[tuple[int, int, int, int]]:
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, row, n, wide, ids``: ids with ``end_id`` behind, 16 bits each
-    unless ``wide``."""
+    """``doc_id, row, wide, ids``: ids with ``end_id`` behind, 16 bits each
+    unless ``wide``; and one row per task whose ``counts`` (ids, then counts,
+    64 bits each) are those of its texts."""
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = byte_tokenizer(path)
-        wide, end = tokenizer.dtype != "<u2", np.array([end_id], tokenizer.dtype).tobytes()
+        tokenizer = piece_tokenizer(path, True)
+        wide, end, total = tokenizer.dtype != "<u2", np.array([end_id], tokenizer.dtype).tobytes(), np.zeros(0, np.int64)
+
+        def rows(doc_id: pa.Array, row: pa.Array, ids: list[bytes], counts: bytes | None) -> pa.RecordBatch:
+            n = len(ids)
+            return pa.RecordBatch.from_arrays(
+                [doc_id, row, pa.array([wide] * n, pa.bool_()), pa.array(ids, pa.binary()), pa.array([counts] * n, pa.binary())],
+                names=["doc_id", "row", "wide", "ids", "counts"])
         for batch in batches:
-            texts, ids = strings(batch, "text"), []
-            for at in range(0, len(texts), 256):
-                ids += [b + end for b in tokenizer.encode(texts[at:at + 256])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"),
-                 pa.array([len(b) // (4 if wide else 2) for b in ids], pa.int64()),
-                 pa.array([wide] * len(ids), pa.bool_()), pa.array(ids, pa.binary())],
-                names=["doc_id", "row", "n", "wide", "ids"])
+            ids = [b + end for b in tokenizer.encode(strings(batch, "text"))]
+            part = np.bincount(np.frombuffer(b"".join(ids), tokenizer.dtype))
+            if len(part) > len(total):
+                total = np.concatenate([total, np.zeros(len(part) - len(total), np.int64)])
+            total[:len(part)] += part
+            yield rows(batch.column("doc_id"), batch.column("row"), ids, None)
+        used = np.flatnonzero(total)
+        yield rows(pa.array([None], pa.int64()), pa.array([None], pa.int64()), [b""], np.concatenate([used, total[used]]).astype("<i8").tobytes())
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, row bigint, n bigint, wide boolean, ids binary")
+    return rows.mapInArrow(run, "doc_id bigint, row bigint, wide boolean, ids binary, counts binary")
 
 
 def _ids(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -181,25 +188,21 @@ def _ids(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def frequency_table(tokens: DataFrame, bits: int = range_coder.BITS) -> FrequencyTable:
-    """The shared table, from counts over all ids.  At most one row per entry
-    of the vocabulary reaches the driver."""
+    """The shared table, from the counts over all ids.  At most one row per
+    entry of the vocabulary reaches the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in _ids(batch):
-                part = np.bincount(ids)
-                if len(part) > len(total):
-                    total = np.concatenate([total, np.zeros(len(part) - len(total), np.int64)])
-                total[:len(part)] += part
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
-    counts = tokens.select("wide", "ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+            for raw in batch.column("counts").to_pylist():
+                ids, n = np.frombuffer(raw, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+    counts = (tokens.filter("counts is not null").select("counts").mapInArrow(run, "id bigint, n bigint")
+              .groupBy("id").agg(F.sum("n").alias("n")).collect())
     return FrequencyTable.from_counts(np.array([r.id for r in counts], np.int64), np.array([r.n for r in counts], np.int64), bits)
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Encode all texts and write them below ``folder`` (shared by driver and
-    executors); returns ``file, first, n_tokens, n_bytes`` of each file.
+    executors); returns ``file, n_tokens, n_bytes`` of each file.
 
     ``doc_id`` is a whole number; documents are written in its order, null
     ids first, rows that repeat an id one after the other.  A null or empty
@@ -207,51 +210,30 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
     frequency table and no files.  An added token's string inside a text is
     that token, as in a plain call of the library.
 
-    Texts are tokenized once.  Positions come from a range sort of
-    ``(doc_id, row, n)`` alone; the ids are shuffled once, to the file their
-    position falls into.  There are at most as many files as shuffle
-    partitions, and their bounds are all that the driver holds.
+    Texts are tokenized once, with their counts on the side, and written; the
+    ids are range-sorted by ``(doc_id, row)``, and each range is one file.  A
+    task holds one block at a time.
     """
     spark = docs.sparkSession
     tokens = saved(tokenized(docs, vocabulary, end_id), "ids-tokens", compression="zstd")
     table = frequency_table(tokens)
     _put(f"{folder}/{TABLE}", table.to_bytes())
 
-    p = partitions(spark)
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    per_file = max(FILE_TOKENS, -(-total // p))
-    order = ["named", "doc_id", "row"]
-    keys = tokens.select(F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "row", "n")
-    sliced = range_slices(keys, order, "ids-order")
-    bounds = sorted(running_start(sliced, order, "n").withColumn("file", F.floor(F.col("__start") / per_file))
-                    .groupBy("file").agg(F.min(F.struct(*order)).alias("low"), F.min("__start").alias("first"))
-                    .select("file", "low.*", "first").collect())
-    lows, firsts = [tuple(b[1:4]) for b in bounds], [b.first for b in bounds]
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = [bisect_right(lows, (d is not None, d or 0, r)) - 1
-                  for d, r in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), *batch.columns], names=["file", *batch.schema.names])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, writer, number, done = _table(folder), None, None, []
+        writer = None
         for batch in batches:
-            for file, doc_id, ids in zip(batch.column("file").to_pylist(), batch.column("doc_id").to_pylist(), _ids(batch)):
-                if file != number:
-                    if writer:
-                        done.append(writer.close())
-                    writer, number = _Writer(folder, file, firsts[file], shared), file
+            writer = writer or _Writer(folder, TaskContext.get().partitionId(), _table(folder))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), _ids(batch)):
                 writer.add(doc_id, ids)
         if writer:
-            done.append(writer.close())
-        cols = list(zip(*done)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
-                                         names=["file", "first", "n_tokens", "n_bytes"])
-    placed = (tokens.mapInArrow(assign, "file int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tokens.schema))
-              .repartitionById(p, F.col("file")).sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), "row"))
-    files = saved(placed.mapInArrow(write, "file string, first bigint, n_tokens bigint, n_bytes bigint"), "ids-files")
-    release(spark, tokens, sliced)
+            name, n, size = writer.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()), pa.array([size], pa.int64())],
+                                             names=["file", "n_tokens", "n_bytes"])
+    order = [F.col("doc_id").asc_nulls_first(), F.col("row")]
+    ranges = (tokens.filter("counts is null").select("doc_id", "row", "wide", "ids")
+              .repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order))
+    files = saved(ranges.mapInArrow(write, "file string, n_tokens bigint, n_bytes bigint"), "ids-files")
+    release(spark, tokens)
     return files
 
 
@@ -270,7 +252,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 points = checkpoints(uri, folder)
                 cols = list(zip(*points)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array([uri] * len(points), pa.string()), *[pa.array(c, pa.int64()) for c in cols]],
-                                                 names=["file", "place", "size", "first", "n"])
+                                                 names=["file", "place", "size", "before", "n"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(folder)
@@ -286,8 +268,13 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array(names, pa.int64()), pa.array(first + cut[:-1], pa.int64()), pa.array(lengths, pa.int64()),
                      pa.array([raw[4 * a:4 * b] for a, b in zip(cut, cut[1:])], pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
-    points = listed.mapInArrow(footers, "file string, place bigint, size bigint, first bigint, n bigint")
-    return points.repartition(partitions(spark), "file", "place").mapInArrow(blocks, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    points = saved(listed.mapInArrow(footers, "file string, place bigint, size bigint, before bigint, n bigint"), "ids-points")
+    number = F.substring_index("file", "/", -1)
+    so_far = W.orderBy("name").rowsBetween(W.unboundedPreceding, -1)     # one row per file
+    firsts = (points.groupBy(number.alias("name")).agg(F.sum("n").alias("n"))
+              .select("name", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("first")))
+    placed = points.withColumn("name", number).join(firsts, "name").select("file", "place", "size", (F.col("first") + F.col("before")).alias("first"))
+    return placed.repartition(partitions(spark), "file", "place").mapInArrow(blocks, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def token_round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

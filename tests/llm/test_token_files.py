@@ -37,22 +37,28 @@ def _expected(rows):
 @given(st.lists(st.text(alphabet=" \n\t\r\xa0 \x1c\x85ab'!1\xe9\U0001f600", max_size=30), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_pieces_give_the_librarys_ids(texts):
-    tokenizer = word_ids.byte_tokenizer(token_files.default_vocabulary())
+    tokenizer = word_ids.piece_tokenizer(token_files.default_vocabulary(), True)
     texts = texts + ODD
     assert [np.frombuffer(b, tokenizer.dtype).tolist() for b in tokenizer.encode(texts)] == _library(texts)
 
 
-def test_a_small_cache_keeps_frequent_pieces():
-    asked = []
+def test_a_small_table_loses_nothing():
+    tokenizer = word_ids.PieceTokenizer(token_files.default_vocabulary(), True, slot_bits=2)
+    texts = [f"the w{i} of v{i % 7}, {'long' * 9 * (i % 3)}{'0x' * 30}{i}; the end." for i in range(60)] * 2
+    assert [np.frombuffer(b, tokenizer.dtype).tolist() for b in tokenizer.encode(texts)] == _library(texts)
+
 
-    def learn(words):
-        asked.extend(words)
-        return [w.encode() for w in words]
-    cache = word_ids.PieceCache(learn, size=10)
-    for i in range(40):
-        assert cache.encode([["the", f"w{i}", f"v{i}"]]) == [f"thew{i}v{i}".encode()]
-        assert len(cache.young) <= 13 and len(cache.old) <= 13
-    assert asked.count("the") == 1 and len(asked) == 81
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_whole_table_against_the_library(spark, name, spaced):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()] + ODD + ["\u00cf\u0301, \u0130x. \ufb01! \u00e9. \u00d7, \u00f7."]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer = word_ids.PieceTokenizer(public_tokenizers.path(name), spaced)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for size in (len(texts), 5):
+        got = [b for a in range(0, len(texts), size) for b in tokenizer.encode(texts[a:a + size])]
+        assert [np.frombuffer(b, tokenizer.dtype).tolist() for b in got] == want
 
 
 @given(st.lists(st.integers(0, 40), min_size=1, max_size=400), st.integers(1, 9), st.integers(6, 20))
@@ -104,13 +110,12 @@ def _read(df):
     return sorted((tuple(r) for r in rows), key=lambda r: r[1])
 
 
-def test_edge_rows_and_blocks_of_many_files(spark, monkeypatch):
+def test_edge_rows_and_many_files(spark):
     long = " ".join(f"term{i % 997}" for i in range(40_000))
     rows = [(9, "tail"), (None, "unnamed"), (3, None), (4, ""), (-5, "minus"), (7, "same"), (7, "same"), (8, long),
             *[(100 + i, t) for i, t in enumerate(ODD)]]
     docs = spark.createDataFrame(rows, "doc_id int, text string").select(
-        "*", *[F.lit(None).cast("string").alias(c) for c in ("row", "n", "ids", "file", "wide", "start", "named", "first")])
-    monkeypatch.setattr(token_files, "FILE_TOKENS", 50)
+        "*", *[F.lit(None).cast("string").alias(c) for c in ("row", "n", "ids", "file", "wide", "start", "counts", "first")])
     folder = scratch_path(spark, "files")
     files = token_files.write_token_files(docs, folder).collect()
     expected = _expected(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)))

@@ -114,4 +114,4 @@ def test_large_entries_stay_exact(spark, step):
     with np.errstate(invalid="ignore"):
         want = {w[0]: w[3] for w in _brute(rows)}
     assert {r.vec_id: r.deviation for r in got} == {i: d if d < 2 ** 63 else None for i, d in want.items()}
-    assert len(set(want.values()) & {r.deviation for r in got}) == (2 if step < 2 ** 30 else 0)
+    assert len(set(want.values()) & {r.deviation for r in got}) == (3 if step < 2 ** 30 else 0)
