@@ -7,10 +7,6 @@ sequences in that order: neighbours on the curve share sequences.
 
 from __future__ import annotations
 
-import os
-import zlib
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,61 +14,11 @@ from pyspark.sql import functions as F
 
 from flowlab.llm.common import map_batches, saved, strings
 from flowlab.llm.ordering import range_slices, running_start
+from flowlab.llm.word_ids import piece_tokenizer
 
 SEQUENCE = 2048
 DIMENSIONS, BITS = 3, 10
 BUCKETS = 256
-CACHED_WORDS = 250_000
-
-
-class WordTokenizer:
-    """A tokenizer whose tokens never reach across white space, with a bounded
-    cache of the ids of words (as bytes).  Texts are cut at blanks and line
-    breaks only; whatever else is white space stays inside for the tokenizer."""
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > CACHED_WORDS:
-            self.cache.clear()
-        for at in range(0, len(words), 500):
-            part = words[at:at + 500]
-            ends = np.cumsum([len(w) + 1 for w in part])
-            encoding = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoding.ids, "<u4")
-            of = np.searchsorted(ends, [a for a, _ in encoding.offsets], side="right")
-            cut = np.searchsorted(of, np.arange(len(part) + 1))
-            for i, w in enumerate(part):
-                self.cache[w] = ids[cut[i]:cut[i + 1]].tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        missing: set[str] = set()
-        for words in cut:
-            missing |= set(words).difference(self.cache)
-        if missing:
-            self._learn(sorted(missing))
-            if any(w not in self.cache for w in missing) or len(self.cache) == len(missing):
-                # the cache was emptied on the way: words known before are needed again
-                rest = set().union(*cut).difference(self.cache)
-                ids = dict(self.cache)
-                for at in range(0, len(rest := sorted(rest)), CACHED_WORDS):
-                    self.cache.clear()
-                    self._learn(rest[at:at + CACHED_WORDS])
-                    ids.update(self.cache)
-                return [b"".join(map(ids.__getitem__, words)) for words in cut]
-        return [b"".join(map(self.cache.__getitem__, words)) for words in cut]
-
-
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
 
 
 def default_vocabulary() -> str:
@@ -122,19 +68,19 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1) -> DataFrame:
     """``doc_id, row, curve, n, ids`` per row: ids (as bytes, 16 bits each if
-    they fit) with ``end_id`` behind, and the place on the curve."""
+    the vocabulary fits) with ``end_id`` behind, and the place on the curve.
+    An added token's string inside a text is that token, as in a plain call
+    of the library."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokenizer = _tokenizer(vocabulary or default_vocabulary())
-        ids = []
-        texts = strings(batch, "text")
-        for at in range(0, len(texts), 256):
-            ids += [np.frombuffer(b + np.uint32(end_id).tobytes(), "<u4") for b in tokenizer.encode(texts[at:at + 256])]
+        tokenizer = piece_tokenizer(vocabulary or default_vocabulary(), False)
+        end = np.array([end_id], tokenizer.dtype).tobytes()
+        ids = [np.frombuffer(b + end, tokenizer.dtype) for b in tokenizer.encode(strings(batch, "text"))]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("row"), pa.array(curve_keys(ids), pa.int64()),
              pa.array([len(x) for x in ids], pa.int64()),
-             pa.array([x.astype("<u2").tobytes() if not (x >> 16).any() else x.tobytes() for x in ids], pa.binary())],
+             pa.array([x.tobytes() for x in ids], pa.binary())],
             names=["doc_id", "row", "curve", "n", "ids"])
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     return map_batches(rows, run, f"doc_id {id_type}, row bigint, curve bigint, n bigint, ids binary")
@@ -183,6 +129,3 @@ def piece_digests(pieces: DataFrame) -> DataFrame:
     """``pieces`` with ``ids`` replaced by ``ids_crc32``."""
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
-
-def crc32_of(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())

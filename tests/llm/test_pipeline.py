@@ -4,14 +4,12 @@ edge rows."""
 import re
 from collections import Counter
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from flowlab.llm import packing, quality_rank, quality_rules
-from flowlab.llm.queries import fitted_quality
+from flowlab.llm import quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SENTENCE = re.compile(r"[^.!?,;:\n]*[.!?,;:\n]+|[^.!?,;:\n]+$")
@@ -38,56 +36,6 @@ def _rules(text):
     return "\n".join(line for line in lines if not _line_fails(line)) if keep else None
 
 
-def _one_of_each(docs):
-    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = {i: WORD.findall(t.translate(low)) for i, t in docs.items()}
-    sets = {i: {tuple(w[a:a + 4]) for a in range(max(1, len(w) - 3))} if w else set() for i, w in words.items()}
-    own = {i: i for i in docs}
-    links = [(i, j) for i in docs for j in docs if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
-    for _ in docs:
-        for i, j in links:
-            own[i] = own[j] = min(own[i], own[j])
-    return {i: t for i, t in docs.items() if own[i] == i}
-
-
-def _without_repeats(docs):
-    cut = {i: SENTENCE.findall(t) for i, t in docs.items()}
-    places = {}
-    for i in sorted(docs):
-        kept = [(n, s.strip()) for n, s in enumerate(cut[i]) if s.strip()]
-        for a in range(len(kept)):
-            for b in range(a + 2, len(kept) + 1):
-                if sum(len(s.split()) for _, s in kept[a:b]) >= 20:
-                    places.setdefault(tuple(s for _, s in kept[a:b]), []).append((i, kept[a][0], kept[b - 1][0]))
-                    break
-    gone = {(i, n) for found in places.values() for i, a, b in found[1:] for n in range(a, b + 1)}
-    return {i: "".join(s for n, s in enumerate(cut[i]) if (i, n) not in gone) for i in docs}
-
-
-def test_pipeline_against_brute_force(spark):
-    source = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
-    docs = {i: c for i, t in source.items() if (c := _rules(t or "")) is not None}
-    model = fitted_quality(spark, SF_SMALL)
-    docs = {i: t for i, t in docs.items() if model.score(quality_rank.features(t)) >= 0.5}
-    docs = _without_repeats(_one_of_each(docs))
-
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(packing.default_vocabulary())
-    tokenizer.encode_special_tokens = True
-    pieces = corpus_pipeline.run(spark, SF_SMALL).collect()
-    got, places = {}, {}
-    for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
-        got.setdefault(p.doc_id, []).append(bytes(p.ids))
-        places.setdefault(p.sequence_id, []).append((p.offset, p.length))
-    assert len(source) > len(docs) > 20
-    assert {i: b"".join(x) for i, x in got.items()} == \
-        {i: np.array(tokenizer.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes() for i, t in docs.items()}
-    for s, parts in places.items():
-        parts.sort()
-        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
-        assert sum(parts[-1]) == 2048 or s == max(places)
-
-
 GOOD = " ".join(f"This is plain sentence number {i} of an ordinary text about things." for i in range(12))
 EDGES = [(1, GOOD), (2, GOOD), (2, GOOD), (2, GOOD[::-1].replace("\n", " ")), (None, GOOD + " End."), (None, "one two three"), (3, None),
          (4, ""), (5, "one two three")]
