@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import shutil
 import tempfile
@@ -33,27 +32,32 @@ def ship_package(spark: SparkSession) -> None:
     sc._flowlab_shipped = True
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and
-    read it back.  Survives lost executors."""
+    read it back.  Survives lost executors.  The shuffle files of the write
+    go at its end, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path, compression=compression)
+    was = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(CLEANUP, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete written tables that are read no more, and let the driver drop
-    the shuffle files of finished jobs: Spark frees them only when the driver
-    collects its garbage, which a long job with a small driver seldom does."""
+    """Delete written tables that are read no more."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for df in tables:
         for file in df.inputFiles()[:1]:
             folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
             folder.getFileSystem(conf).delete(folder, True)
-    gc.collect()
-    jvm.System.gc()
 
 
 def partitions(spark: SparkSession) -> int:

@@ -2,15 +2,19 @@
 
 Sets fall into size bands.  Two sets with a similarity of at least the
 threshold lie in the same or in neighbouring bands and differ in at most ``k``
-elements, so when the element domain is cut into ``k + 1`` or more parts, they
-agree on a whole part: the hash of what a set holds of a part is a signature
-that both share.  Sets that share one are verified exactly.
+elements.  The element domain is cut into partitions and those into parts;
+some partition holds so few of the differences that both sets agree on all but
+a few of its parts.  The hash of what a set holds of such a subset of parts is
+a signature; every subset is enumerated, so both sets share one.  Sets that
+share a signature are verified exactly.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from functools import lru_cache
+from itertools import combinations
+from math import ceil, comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -84,13 +88,47 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(h)
 
 
+class Scheme:
+    """PartEnum for sets of at least ``low`` elements that differ in at most
+    ``k``.  The hash range is cut into ``n1`` partitions, each into ``n2``
+    parts.  Of any ``k`` differences at most ``k2`` fall into some partition,
+    so the sets agree on ``n2 - k2`` of its parts: every such subset of parts
+    gives a signature.  ``spare`` partitions more than that needs leave as
+    many out of the count.
+
+    Among the schemes of at most ``max(LEAST, GROWTH * (k + 1))`` signatures
+    the one whose signatures cover the most elements is taken: unlike sets
+    seldom agree on many."""
+
+    LEAST, GROWTH = 40, 1.5
+
+    def __init__(self, k: int, low: int):
+        best = None
+        for k2 in range(min(k, 4) + 1):
+            for n2 in range(k2 + 1, k2 + 5 if k2 else 2):
+                ways, need = comb(n2, k2), k // (k2 + 1) + 1
+                if need * ways > max(self.LEAST, self.GROWTH * (k + 1)):
+                    continue
+                spare = 0
+                for _ in range(4):   # so many partitions have an empty subset, three deviations above the mean
+                    n1 = need + spare
+                    empty = n1 * min(1.0, ways * exp(-low * (n2 - k2) / (n1 * n2)))
+                    spare = min(need // 3, ceil(empty + 3 * sqrt(empty)))
+                covered = (n2 - k2) / ((need + spare) * n2)
+                if best is None or covered > best[0]:
+                    best = (covered, need + spare, n2, k2, spare)
+        _, self.n1, self.n2, self.k2, self.spare = best
+        self.subsets = np.array(list(combinations(range(self.n2), self.n2 - self.k2)))
+        parts = self.n1 * self.n2
+        self.edges = np.array([i * 2 ** 64 // parts for i in range(1, parts)], _U)
+
+
 class Bands:
     """Size bands ``[low, high]`` with ``high = low / threshold^2``.  Of a pair
-    the smaller set's band gives the signature scheme: ``k`` differences at
-    most, ``k + 1 + spare`` parts."""
+    the smaller set's band gives the signature scheme."""
 
     def __init__(self, percent: int = PERCENT):
-        self.percent, self.lows, self.schemes = percent, [1], []
+        self.percent, self.lows, self.schemes, self.largest = percent, [1], [], []
 
     def _grow(self, size: int) -> None:
         while self.lows[-1] <= size:
@@ -98,40 +136,44 @@ class Bands:
             high = max(low, low * 10000 // (p * p))
             largest = high * 100 // p
             k = (high + largest) * (100 - p) // (100 + p)
-            self.schemes.append((k, 1 + k // 25, largest))
+            self.schemes.append(Scheme(k, low) if k else None)   # without differences sets are equal, and one node
+            self.largest.append(largest)
             self.lows.append(high + 1)
 
-    def of(self, size: int) -> list[tuple[int, int, int]]:
-        """``(band, k, spare)`` of the schemes in which a set of this size may
-        meet a different one."""
+    def of(self, size: int) -> list[tuple[int, Scheme]]:
+        """The bands, with schemes, in which a set of this size may meet a
+        different one."""
         self._grow(size)
         own = bisect_right(self.lows, size) - 1
-        return [(b, self.schemes[b][0], self.schemes[b][1]) for b in (own - 1, own)
-                if b >= 0 and self.schemes[b][0] and size <= self.schemes[b][2]]
+        return [(b, self.schemes[b]) for b in (own - 1, own) if b >= 0 and self.schemes[b] and size <= self.largest[b]]
+
+
+@lru_cache(maxsize=4)
+def bands_of(percent: int) -> Bands:
+    return Bands(percent)
 
 
 def signatures(h: np.ndarray, bands: Bands) -> np.ndarray:
-    """The signatures of a sorted set of 64-bit hashes.  Parts are equal ranges
-    of the hash.  A part that the set does not touch gives none, unless the set
-    misses more parts than the scheme has to spare: then two sets might agree
-    on untouched parts alone."""
+    """The signatures of a sorted set of 64-bit hashes.  A subset of parts
+    that the set does not touch gives none, unless more partitions have such a
+    subset than the scheme can spare: then two sets might agree on untouched
+    parts alone."""
     out = []
     with np.errstate(over="ignore"):
         total = np.concatenate([np.zeros(1, _U), np.cumsum(_mix(h + _U(77)), dtype=_U)])
-        for band, k, spare in bands.of(len(h)):
-            parts = k + 1 + spare
-            edges = (np.arange(parts + 1, dtype=object) * 2 ** 64 // parts)[1:-1]
-            cut = np.concatenate([[0], np.searchsorted(h, np.array(edges.tolist(), _U)), [len(h)]]).astype(np.int64)
-            held = np.diff(cut) > 0
-            tag = np.arange(parts).astype(_U) + _U((band * 2 + 1) << 32)
-            sig = _mix((total[cut[1:]] - total[cut[:-1]]) ^ _mix(tag))
-            out.append(sig if (~held).sum() > spare else sig[held])
+        for band, s in bands.of(len(h)):
+            cut = np.concatenate([[0], np.searchsorted(h, s.edges), [len(h)]]).astype(np.int64)
+            held = np.diff(cut).reshape(s.n1, s.n2)[:, s.subsets].sum(axis=2) > 0
+            content = (total[cut[1:]] - total[cut[:-1]]).reshape(s.n1, s.n2)[:, s.subsets].sum(axis=2, dtype=_U)
+            tag = np.arange(held.size).reshape(held.shape).astype(_U) + _U((band * 2 + 1) << 32)
+            sig = _mix(content ^ _mix(tag))
+            out.append(sig.ravel() if (~held).any(axis=1).sum() > s.spare else sig[held])
     return (np.concatenate(out) >> _U(64 - SIG_BITS)).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
 def _features(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bands, n, f1, f2, sigs = Bands(percent), [], [], [], []
+        bands, n, f1, f2, sigs = bands_of(percent), [], [], [], []
         with np.errstate(over="ignore"):
             for text in strings(batch, "text"):
                 h = shingles(text, words)
@@ -160,6 +202,13 @@ def sketch(h: np.ndarray) -> np.ndarray:
 
 
 _WORDS = [f"w{i}" for i in range(SKETCH)]
+_FOLDED = [f"f{i}" for i in range(SKETCH // 4)]
+
+
+def _folded(i: int):
+    """Word ``i`` of the sketch folded to a quarter of its bits, again a parity sketch."""
+    a, b, c, d = (F.col(f"w{j}") for j in range(i, SKETCH, SKETCH // 4))
+    return a.bitwiseXOR(b).bitwiseXOR(c.bitwiseXOR(d)).alias(f"f{i}")
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -182,10 +231,10 @@ def _side(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in columns])
 
 
-def _may_link(percent: int):
+def _may_link(percent: int, words: list[str] = _WORDS):
     """No sketch and no size rules the pair ``a, b`` out."""
-    differ = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WORDS[1:]),
-                 F.bit_count(F.col("a_w0").bitwiseXOR(F.col("b_w0"))))
+    first, *rest = (F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in words)
+    differ = sum(rest, first)
     return ((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
             & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)))
 
@@ -220,29 +269,28 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     3. In every bucket, members outside its largest component are compared
        with the members of other components.
     Pairs whose sizes or parity sketches prove too many differences are left
-    out before their sets are read.  No group is collected and no bucket gives
+    out inside that join (by sketches of 256 bits) and before their sets are
+    read (1,024 bits).  No group is collected and no bucket gives
     all its pairs; no link between sets of different components is left out.
     """
     spark = docs.sparkSession
-    rows = saved(_features(docs, words, percent), "jac-rows")
-    nodes = saved(rows.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("row").alias("node")), "jac-nodes")
-    sigs = saved(rows.select("row", "sigs").join(nodes.select(F.col("node").alias("row")), "row")
-                 .select(F.explode("sigs").alias("sig"), F.col("row").alias("node")), "jac-sigs")
-    release(spark)
+    features = saved(_features(docs, words, percent), "jac-features")
+    nodes = saved(features.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("row").alias("node")), "jac-nodes")
+    kept = saved(features.select("row", "sigs").join(nodes.select(F.col("node").alias("row")), "row"), "jac-sigs")
+    rows = saved(features.drop("sigs"), "jac-rows")
+    release(spark, features)
+    sigs = kept.select(F.explode("sigs").alias("sig"), F.col("row").alias("node"))
     shared = saved(sigs.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
                    .filter("lead <> last").select("sig", "lead"), "jac-shared")
-    release(spark)
     buckets = saved(sigs.join(shared, "sig"), "jac-buckets")
-    release(spark, sigs, shared)
+    release(spark, kept, shared)
 
     known = rows.select(F.col("row").alias("node"), "n", "doc_id", "text_key")
     sets = saved(_shingle_sets(docs, known.join(buckets.select("node").distinct(), "node"), words), "jac-sets")
-    release(spark)
     bits = ["node", "n", *_WORDS]
     first = buckets.filter(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     first = saved(first.join(_side(sets, "a", bits), "a").join(_side(sets, "b", bits), "b")
                   .filter(_may_link(percent)).select("a", "b"), "jac-pairs")
-    release(spark)
     links = saved(_verified(first, sets, percent), "jac-links")
     release(spark, first)
 
@@ -252,17 +300,18 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     sizes = member.groupBy("sig", "own").agg(F.count("*").alias("size"))
     mixed = saved(sizes.groupBy("sig").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count("*").alias("parts"))
                   .filter("parts > 1").select("sig", "main"), "jac-mixed")
-    held = saved(member.join(mixed, "sig").withColumn("open", F.col("own") != F.col("main")).drop("main")
-                 .join(sets.select(*bits), "node"), "jac-held")
+    short = sets.select("node", "n", *[_folded(i) for i in range(len(_FOLDED))])
+    held = saved(member.join(mixed, "sig").withColumn("open", F.col("own") != F.col("main")).drop("main").join(short, "node"), "jac-held")
     release(spark, buckets, member)
-    bits += ["own", "open"]
-    left = _side(held.filter("open"), "a", ["sig", "lead", *bits]).withColumnRenamed("a_sig", "sig")
-    right = _side(held, "b", ["sig", *bits]).withColumnRenamed("b_sig", "sig")
+    in_join = ["node", "own", "open", "n", *_FOLDED]
+    left = _side(held.filter("open"), "a", ["sig", "lead", *in_join]).withColumnRenamed("a_sig", "sig")
+    right = _side(held, "b", ["sig", *in_join]).withColumnRenamed("b_sig", "sig")
     untested = (F.col("a") != F.col("a_lead")) & (F.col("b") != F.col("a_lead"))
     cross = (left.join(right, "sig")
              .filter((F.col("a_own") != F.col("b_own")) & untested & (~F.col("b_open") | (F.col("a") < F.col("b"))))
-             .filter(_may_link(percent)).select("a", "b").distinct())
-    pairs = saved(cross, "jac-pairs")
+             .filter(_may_link(percent, _FOLDED)).select("a", "b").distinct())
+    pairs = saved(cross.join(_side(sets, "a", bits), "a").join(_side(sets, "b", bits), "b")
+                  .filter(_may_link(percent)).select("a", "b"), "jac-pairs")
     release(spark, held)
     more = saved(_verified(pairs, sets, percent), "jac-links")
     release(spark, sets, pairs)

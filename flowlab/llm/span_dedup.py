@@ -82,21 +82,6 @@ def span_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                        f"doc_id {id_type}, text_key bigint, start int, last int, h1 bigint, h2 bigint")
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    """``saved``, with the shuffle files of the write dropped at its end and
-    not when the driver happens to collect its garbage."""
-    conf = df.sparkSession.conf
-    was = conf.get(CLEANUP)
-    conf.set(CLEANUP, "true")
-    try:
-        return saved(df, name)
-    finally:
-        conf.set(CLEANUP, was)
-
-
 def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_key, ranges``: the ranges ``[start, last]`` of runs whose
     first occurrence (smallest document id, then position) is elsewhere.
@@ -105,10 +90,10 @@ def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     join back reads two plain shuffles, which AQE splits where one run is hot.
     """
     spans = saved(span_rows(docs, min_words), "spans")
-    repeated = _saved(spans.groupBy("h1", "h2")
+    repeated = saved(spans.groupBy("h1", "h2")
                       .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last_one"))
                       .filter("first <> last_one").select("h1", "h2", "first"), "span-firsts")
-    ranges = _saved(spans.join(repeated, ["h1", "h2"])
+    ranges = saved(spans.join(repeated, ["h1", "h2"])
                     .filter(~F.col("first").eqNullSafe(F.struct("doc_id", "start")))
                     .groupBy("doc_id", "text_key")
                     .agg(F.sort_array(F.collect_set(F.struct(F.col("start"), F.col("last")))).alias("ranges")), "span-ranges")

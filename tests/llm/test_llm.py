@@ -1,6 +1,7 @@
 """The llm operators against brute force on a small fixture with nulls, empty
 texts, repeated rows and extra columns."""
 
+import math
 import re
 
 import numpy as np
@@ -167,3 +168,28 @@ def test_long_words_merge_alike():
     pieces, byte_ids, _ = sentencepiece_codec.piece_table(sentencepiece_codec.default_model())
     word = "▁" + re.sub(r"\W", "", A) * 2
     assert sentencepiece_codec.merge_long(word, pieces, byte_ids) == sentencepiece_codec.merge_word(word, pieces, byte_ids)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_similar_sets_share_a_signature(percent):
+    rng = np.random.default_rng(percent)
+    bands = jaccard_join.Bands(percent)
+    for size in [2, 3, 5, 7, 9, 12, 20, 33, 60, 100, 250, 600, 2000] * 8:
+        base = rng.integers(0, 2 ** 63, size * 2, dtype=np.int64).astype(np.uint64) * np.uint64(2)
+        most = size * (100 - percent) // 100                        # elements left out of a set of this size
+        out = int(rng.integers(0, most + 1))
+        more = (size - out) * 100 // percent - size if out < most else 0
+        a, b = base[:size], np.concatenate([base[out:size], base[size:size + max(0, more)]])
+        common = size - out
+        assert 100 * common >= percent * (len(a) + len(b) - common)
+        sa, sb = (jaccard_join.signatures(np.sort(x), bands) for x in (a, b))
+        assert out == more == 0 or set(sa.tolist()) & set(sb.tolist()), (size, out, more)
+
+
+def test_schemes_hold_few_signatures_and_many_elements():
+    for low in (5, 20, 100, 700, 5000):
+        k = low * 25 // 100
+        s = jaccard_join.Scheme(k, low)
+        assert s.n1 - s.spare >= k // (s.k2 + 1) + 1 and len(s.subsets) == math.comb(s.n2, s.k2)
+        assert s.n1 * len(s.subsets) <= 1.5 * max(jaccard_join.Scheme.LEAST, jaccard_join.Scheme.GROWTH * (k + 1))
+        assert (s.n2 - s.k2) / (s.n1 * s.n2) > 1 / (k + 1)
