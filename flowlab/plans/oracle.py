@@ -180,9 +180,7 @@ WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.value
     "tumbling_stream": ORACLE_SQL["tumbling"],
     "sliding_global_stream": ORACLE_SQL["sliding_global"],
     "session_global_stream": ORACLE_SQL["session_global"],
-    "session_watermark_stream": f"""
-SELECT * FROM ({_sessions(5 * 60_000_000, keyed=False)}) s
-WHERE s.session_end <= (SELECT max(ts) FROM events) - INTERVAL 3500 MILLISECOND""",
+    "session_watermark_stream": ORACLE_SQL["session_global"],
     "count_window_10_stream": ORACLE_SQL["count_window_10"],
     "state_snapshot": """
 SELECT user_id, count(*) % 10 AS leftover FROM events GROUP BY user_id HAVING count(*) % 10 <> 0""",
@@ -198,9 +196,7 @@ ORACLE_SQL.update({
     "count_trigger_5_stream": ORACLE_SQL["count_trigger_5"],
     "count_window_10_list_stream": ORACLE_SQL["count_window_10_list"],
     "sliding_keyed_stream": ORACLE_SQL["sliding_keyed"],
-    "session_keyed_stream": f"""
-SELECT * FROM ({_sessions(6 * 3_600_000_000, keyed=True)}) s
-WHERE s.session_end <= (SELECT max(ts) FROM events)""",
+    "session_keyed_stream": ORACLE_SQL["session_keyed"],
     "rolling_sum_hot_key": f"""
 SELECT event_id, hot_user, c,
        CAST(sum(c) OVER (PARTITION BY hot_user ORDER BY event_id {_ROWS}) AS BIGINT) AS sum_c,
@@ -238,3 +234,5 @@ SELECT event_id, c, shard, batch_no FROM (
          count(*) OVER (PARTITION BY event_id % 4) AS shard_rows
   FROM {_EV})
 WHERE (batch_no + 1) * 100 <= shard_rows"""
+
+ORACLE_SQL["batched_sink_rows_stream"] = ORACLE_SQL["batched_sink_rows"]

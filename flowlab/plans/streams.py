@@ -12,11 +12,10 @@ from flowlab.operators.transforms import prefix_filter
 from flowlab.plans.catalogue import (COUNT_TRIGGER, COUNT_WINDOW, EXCLUDE_ABOVE, LATE_DELAY_US,
                                      SESSION_GAP_GLOBAL_US, SESSION_GAP_USER_US, SINK_SHARDS, SINK_THRESHOLD)
 from flowlab.sources.tables import directory_stream, load_table, state_partitions, table_stream
-from flowlab.streaming.operators import (batched_sink_stream, count_trigger_stream, count_window_stream,
-                                         exclude_stream, read_state, rolling_stream, session_agg_stream,
-                                         window_agg_stream, with_event_time)
-from flowlab.streaming.runner import (LATE_PARITY_CONF, SESSION_CONF, STATEFUL_CONF, StreamRun,
-                                      run_to_completion, run_with_restarts, scoped_conf, start_stream)
+from flowlab.streaming.carry import CarryRun, rolling_carry, sessions_to_end, sink_carry, window_carry
+from flowlab.streaming.operators import exclude_stream, window_agg_stream, with_event_time
+from flowlab.streaming.runner import run_to_completion, run_with_restarts
+
 
 
 def _ev_stream(spark: SparkSession, sf: str, **kw) -> DataFrame:
@@ -64,41 +63,52 @@ def q_sliding_global_stream(spark, sf):
     return _ntz_bounds(out, "window_start", "window_end")
 
 
+def _count_sum():
+    return {"n": ("count", F.lit(1)), "sum_c": ("sum", F.col("c"))}
+
+
 def q_session_global_stream(spark, sf):
-    ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
-    agg = session_agg_stream(ev, "et", "5 minutes", {"n": F.count(F.lit(1)), "sum_c": F.sum("c")})
-    out = run_to_completion(spark, agg, "session_global_stream", "complete", conf=_sized(spark, sf, SESSION_CONF))
-    return _ntz_bounds(out, "session_start", "session_end")
+    """W6 on a stream: all global sessions, open ones flushed at the end."""
+    return sessions_to_end(CarryRun(spark, "session_global_stream"), _ev_stream(spark, sf), "ts", SESSION_GAP_GLOBAL_US,
+                           _count_sum(), conf=_sized(spark, sf))
 
 
 def q_session_watermark_stream(spark, sf):
-    """Append mode: only sessions closed by the watermark (max - 3.5 s)."""
-    delay_ms = LATE_DELAY_US // 1000
-    ev = with_event_time(_ev_stream(spark, sf), "ts", "et", f"{delay_ms} milliseconds")
-    agg = session_agg_stream(ev, "et", f"{SESSION_GAP_GLOBAL_US // 1_000_000} seconds",
-                             {"n": F.count(F.lit(1)), "sum_c": F.sum("c")})
-    out = run_to_completion(spark, agg, "session_watermark_stream", "append",
-                            conf=_sized(spark, sf, {**SESSION_CONF, **LATE_PARITY_CONF}))
-    return _ntz_bounds(out, "session_start", "session_end")
+    """Sessions closed by the watermark (max - 3.5 s), and at the end of
+    the input those still open."""
+    return sessions_to_end(CarryRun(spark, "session_watermark_stream"), _ev_stream(spark, sf), "ts", SESSION_GAP_GLOBAL_US,
+                           _count_sum(), delay_us=LATE_DELAY_US, conf=_sized(spark, sf))
+
+
+def _carried(spark, sf, name: str, stream: DataFrame, step, output: str, schema: str) -> DataFrame:
+    run = CarryRun(spark, name)
+    run.run(stream, step, _sized(spark, sf))
+    return run.result(output, schema)
+
 
+def _count_window_10(with_values: bool = False):
+    return window_carry("user_id", "event_id", "c", COUNT_WINDOW, with_values)
 
-def _count_window_10(ev: DataFrame) -> DataFrame:
-    return count_window_stream(ev, "user_id", "event_id", "c", COUNT_WINDOW)
+
+_WINDOWS = "user_id bigint, window_no bigint, rows bigint, total bigint, first_event_id bigint, last_event_id bigint, values string"
+_ROLLED = ("user_id bigint, event_id bigint, c bigint, n bigint, sum bigint, min bigint, max bigint, first_event_type string, "
+           "argmin_event_id bigint, argmin_event_type string, argmax_event_id bigint, argmax_event_type string")
 
 
 def q_count_window_10_stream(spark, sf):
-    out = run_to_completion(spark, _count_window_10(_ev_stream(spark, sf)), "count_window_10_stream",
-                            "append", conf=_sized(spark, sf))
+    out = _carried(spark, sf, "count_window_10_stream", _ev_stream(spark, sf), _count_window_10(), "windows", _WINDOWS)
     return out.select("user_id", "window_no", "total")
 
 
 def q_state_snapshot(spark, sf):
     """K5: leftover count per user, read from the state of the count-window
     stream after it has consumed the table."""
-    run = StreamRun(spark, "state_snapshot")
-    run.run(_count_window_10(_ev_stream(spark, sf)), "append", _sized(spark, sf))
-    st = read_state(spark, run.checkpoint).filter(F.col("value.count") > 0)
-    return st.select(F.col("key.user_id").alias("user_id"), F.col("value.count").alias("leftover"))
+    run = CarryRun(spark, "state_snapshot")
+    run.run(_ev_stream(spark, sf), _count_window_10(), _sized(spark, sf))
+    state = run.carried("windows")
+    if state is None:
+        return spark.createDataFrame([], "user_id bigint, leftover bigint")
+    return state.filter("rows > 0").select("user_id", F.col("rows").alias("leftover"))
 
 
 def q_recovered_stream(spark, sf):
@@ -108,50 +118,54 @@ def q_recovered_stream(spark, sf):
     cols = ["event_id", "ts", "user_id", "event_type", "value"]
     ev = load_table(spark, sf, "events").select(*cols)
     lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
-    run = StreamRun(spark, "recovered_stream")
+    run = CarryRun(spark, "recovered_stream")
     if lo is None:
         return spark.createDataFrame([], "user_id long, window_no long, total long")
     landing, mid = run.out + "-landing", (lo + hi) // 2
 
-    def source():
+    def start():
         src = directory_stream(spark, landing, ev.schema, max_files_per_trigger=1)
-        return _count_window_10(src.select("event_id", "ts", "user_id", "event_type", cents("value").alias("c")))
+        return run.start(src.select("event_id", "user_id", cents("value").alias("c")), _count_window_10(), _sized(spark, sf))
+
+    ev.filter(F.col("event_id") <= mid).write.parquet(f"{landing}/part=00000")
+    run_with_restarts(start, attempts=3, delay_s=0.1)      # runs, then stops
+    ev.filter(F.col("event_id") > mid).write.parquet(f"{landing}/part=00001")
+    run_with_restarts(start, attempts=3, delay_s=0.1)      # restarts on the same checkpoint
+    return run.result("windows", _WINDOWS).select("user_id", "window_no", "total")
 
-    def start():
-        return start_stream(source(), run.out, run.checkpoint, "append")
 
-    with scoped_conf(spark, _sized(spark, sf, STATEFUL_CONF)):
-        ev.filter(F.col("event_id") <= mid).write.parquet(f"{landing}/part=00000")
-        run_with_restarts(start, attempts=3, delay_s=0.1)      # runs, then stops
-        ev.filter(F.col("event_id") > mid).write.parquet(f"{landing}/part=00001")
-        run_with_restarts(start, attempts=3, delay_s=0.1)      # restarts on the same checkpoint
-    return run.result(source().schema).select("user_id", "window_no", "total")
+def _sharded(spark, sf) -> DataFrame:
+    return _ev_stream(spark, sf).withColumn("shard", F.col("event_id") % SINK_SHARDS)
 
 
 def q_batched_sink_stream(spark, sf):
-    ev = _ev_stream(spark, sf).withColumn("shard", F.col("event_id") % SINK_SHARDS)
-    out = batched_sink_stream(ev, "shard", "event_id", "c", SINK_THRESHOLD)
-    res = run_to_completion(spark, out, "batched_sink_stream", "append", conf=_sized(spark, sf))
-    return res.select("shard", "batch_no", "rows", "first_event_id", "last_event_id", "total")
+    out = _carried(spark, sf, "batched_sink_stream", _sharded(spark, sf), window_carry("shard", "event_id", "c", SINK_THRESHOLD),
+                   "windows", _WINDOWS.replace("user_id", "shard"))
+    return out.select("shard", F.col("window_no").alias("batch_no"), "rows", "first_event_id", "last_event_id", "total")
+
+
+def q_batched_sink_rows_stream(spark, sf):
+    """S10 on a stream: the rows a threshold-buffered sink has flushed."""
+    return _carried(spark, sf, "batched_sink_rows_stream", _sharded(spark, sf).select("event_id", "c", "shard"),
+                    sink_carry("shard", "event_id", SINK_THRESHOLD), "flushed", "event_id bigint, c bigint, shard bigint, batch_no bigint")
 
 
 def q_rolling_sum_stream(spark, sf):
     """R2 in emit-per-row form on a stream."""
-    q = rolling_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", "event_type", emit="row")
-    out = run_to_completion(spark, q, "rolling_sum_stream", "append", conf=_sized(spark, sf))
+    out = _carried(spark, sf, "rolling_sum_stream", _ev_stream(spark, sf), rolling_carry("user_id", "event_id", "c", "event_type"), "rows", _ROLLED)
     return out.select("event_id", "user_id", "c", F.col("sum").alias("sum_c"), "first_event_type")
 
 
 def q_count_trigger_5_stream(spark, sf):
     """W8 on a stream: running totals at every 5th event of a user."""
-    q = count_trigger_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", COUNT_TRIGGER, "event_type")
-    return run_to_completion(spark, q, "count_trigger_5_stream", "append", conf=_sized(spark, sf))
+    out = _carried(spark, sf, "count_trigger_5_stream", _ev_stream(spark, sf),
+                   rolling_carry("user_id", "event_id", "c", "event_type", every=COUNT_TRIGGER), "rows", _ROLLED)
+    return out.select("user_id", "event_id", "n", F.col("sum").alias("total"), "first_event_type")
 
 
 def q_count_window_10_list_stream(spark, sf):
-    """K2 on a stream: list state of the open group, emitted as text."""
-    q = count_window_stream(_ev_stream(spark, sf), "user_id", "event_id", "c", COUNT_WINDOW, with_values=True)
-    out = run_to_completion(spark, q, "count_window_10_list_stream", "append", conf=_sized(spark, sf))
+    """K2 on a stream: the open group's values are carried and emitted as text."""
+    out = _carried(spark, sf, "count_window_10_list_stream", _ev_stream(spark, sf), _count_window_10(with_values=True), "windows", _WINDOWS)
     return out.select("user_id", "window_no", "values", "total")
 
 
@@ -165,22 +179,16 @@ def q_sliding_keyed_stream(spark, sf):
 
 
 def q_session_keyed_stream(spark, sf):
-    """W5 on a stream, append mode: sessions per user closed by the watermark."""
-    ev = with_event_time(_ev_stream(spark, sf), "ts", "et", "0 seconds")
-    agg = session_agg_stream(ev, "et", f"{SESSION_GAP_USER_US // 1_000_000} seconds",
-                             {"n": F.count(F.lit(1)), "sum_c": F.sum("c")}, keys=["user_id"])
-    out = run_to_completion(spark, agg, "session_keyed_stream", "append", conf=_sized(spark, sf, SESSION_CONF))
-    return _ntz_bounds(out, "session_start", "session_end")
+    """W5 on a stream: all sessions per user, open ones flushed at the end."""
+    return sessions_to_end(CarryRun(spark, "session_keyed_stream"), _ev_stream(spark, sf), "ts", SESSION_GAP_USER_US,
+                           _count_sum(), keys="user_id", conf=_sized(spark, sf))
 
 
 def q_rolling_argmin_stream(spark, sf):
     """R4 in emit-per-row form on a stream: the whole row of the running
     minimum, the first row winning ties."""
-    ev = _ev_stream(spark, sf).withColumn("eid", F.col("event_id"))
-    q = rolling_stream(ev, "user_id", "event_id", "c", ["event_type", "eid"], emit="row")
-    out = run_to_completion(spark, q, "rolling_argmin_stream", "append", conf=_sized(spark, sf))
-    return out.select("event_id", "user_id", "c", F.col("min").alias("argmin_c"),
-                      F.col("argmin_eid").cast("bigint").alias("argmin_event_id"), "argmin_event_type")
+    out = _carried(spark, sf, "rolling_argmin_stream", _ev_stream(spark, sf), rolling_carry("user_id", "event_id", "c", "event_type"), "rows", _ROLLED)
+    return out.select("event_id", "user_id", "c", F.col("min").alias("argmin_c"), "argmin_event_id", "argmin_event_type")
 
 
 STREAM_QUERIES = {
@@ -194,6 +202,7 @@ STREAM_QUERIES = {
     "state_snapshot": q_state_snapshot,
     "recovered_stream": q_recovered_stream,
     "batched_sink_stream": q_batched_sink_stream,
+    "batched_sink_rows_stream": q_batched_sink_rows_stream,
     "rolling_sum_stream": q_rolling_sum_stream,
     "count_trigger_5_stream": q_count_trigger_5_stream,
     "count_window_10_list_stream": q_count_window_10_list_stream,
