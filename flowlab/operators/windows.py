@@ -18,6 +18,8 @@ serialised.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,14 +67,16 @@ def sessions_native(df: DataFrame, time_col: str, gap: str, aggs: dict[str, tupl
                     *aggs.keys())
 
 
-def merge_intervals(parts: DataFrame, keys: list[str], gap_us: int, combine: dict[str, Column]) -> DataFrame:
+def merge_intervals(parts: DataFrame, keys: list[str], gap_us: int, combine: dict[str, Column],
+                    once: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Intervals ``_fl_s, _fl_e`` (microseconds) that lie at most ``gap_us``
     apart become one, per key, their other columns by ``combine``.  Intervals
-    may overlap; the scan over them is the two-level one."""
-    d = parts.groupBy(*keys, "_fl_s").agg(F.max("_fl_e").alias("_fl_e"), *combine.values())   # one row per place in the order
+    may overlap; the scan over them is the two-level one.  ``once`` may keep
+    a table that is read several times."""
+    d = once(parts.groupBy(*keys, "_fl_s").agg(F.max("_fl_e").alias("_fl_e"), *combine.values()))   # one row per place in the order
     plan = plan_chunks(d, keys, "_fl_s")
     d = running(d, keys, "_fl_s", {"_fl_prev": ("max", F.col("_fl_e"))}, include_current=False, chunk_width=plan)
-    d = d.withColumn("_fl_new", (F.col("_fl_prev").isNull() | (F.col("_fl_s") - F.col("_fl_prev") > gap_us)).cast("int"))
+    d = once(d.withColumn("_fl_new", (F.col("_fl_prev").isNull() | (F.col("_fl_s") - F.col("_fl_prev") > gap_us)).cast("int")))
     d = running(d, keys, "_fl_s", {"_fl_sid": ("sum", F.col("_fl_new"))}, chunk_width=plan)
     return d.groupBy(*keys, "_fl_sid").agg(F.min("_fl_s").alias("_fl_s"), F.max("_fl_e").alias("_fl_e"), *combine.values()).drop("_fl_sid")
 

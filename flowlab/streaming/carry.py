@@ -27,9 +27,8 @@ from flowlab.session import scratch_path
 from flowlab.streaming.runner import scoped_conf
 
 Tables = dict[str, DataFrame]
-#: ``step(batch, carried, batch_id) -> (outputs, state)``; ``carried(name)`` is
-#: the table the batch before left, ``None`` in the first batch.
-Step = Callable[[DataFrame, Callable[[str], DataFrame | None], int], tuple[Tables, Tables]]
+#: ``step(batch, carried, batch_id) -> (outputs, state)``
+Step = Callable[[DataFrame, "Carried", int], tuple[Tables, Tables]]
 
 
 def _keys(keys) -> list[str]:
@@ -38,6 +37,26 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+class Carried:
+    """What a step sees of its run: ``carried(name)`` is the table the batch
+    before left, ``None`` in the first batch."""
+
+    def __init__(self, run: CarryRun, batch_id: int):
+        self.run, self.batch_id, self.held = run, batch_id, []
+
+    def __call__(self, name: str) -> DataFrame | None:
+        return self.run.carried(name, self.batch_id)
+
+    def once(self, df: DataFrame) -> DataFrame:
+        """``df`` kept until the batch is written: several tables are made of it."""
+        self.held.append(df.persist())
+        return self.held[-1]
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist()
+
+
 class CarryRun:
     """Places of one stream with carried tables: sink, state, checkpoint."""
 
@@ -75,16 +94,16 @@ class CarryRun:
         """Start ``df`` with ``step`` on every batch, until its input is used
         up or as ``trigger`` says; a new start goes on at the same checkpoint."""
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
+            carried = Carried(self, batch_id)
             try:
-                outputs, state = step(batch, lambda name: self.carried(name, batch_id), batch_id)
+                outputs, state = step(carried.once(batch), carried, batch_id)
                 for base, tables in ((self.out, outputs), (self.state, state)):
                     for name, table in tables.items():
                         table.write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
                 for name in state:
                     self._drop_old(name, batch_id)
             finally:
-                batch.unpersist()
+                carried.release()
         with scoped_conf(self.spark, conf):     # the query's own session keeps them
             return (df.writeStream.foreachBatch(write).option("checkpointLocation", self.checkpoint)
                     .trigger(**(trigger or {"availableNow": True})).start())
@@ -187,6 +206,7 @@ def window_carry(keys, order: str, value: str, size: int, with_values: bool = Fa
         merged = parts.groupBy(*keys, "w").agg(
             F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.min("first").alias("first"), F.max("last").alias("last"),
             *([F.flatten(F.collect_list("values")).alias("values")] if with_values else []))
+        merged = carried.once(merged)
         out = merged.filter(F.col("rows") == size).select(
             *keys, F.col("w").alias("window_no"), "rows", "total", F.col("first.o").alias(f"first_{order}"), F.col("last.o").alias(f"last_{order}"),
             *([_as_text("values").alias("values")] if with_values else []))
@@ -217,7 +237,7 @@ def sink_carry(shard, order: str, threshold: int) -> Step:
             placed = placed.unionByName(held)
         placed = placed.withColumn("batch_no", F.floor((F.col("_pos") - 1) / threshold).cast("bigint"))
         full = F.count(F.lit(1)).over(W.partitionBy(*shard, "batch_no")) == threshold   # at most threshold rows
-        placed = placed.withColumn("_full", full)
+        placed = carried.once(placed.withColumn("_full", full))
         return ({"flushed": placed.filter("_full").drop("_full", "_pos")},
                 {"held": placed.filter("not _full").drop("_full", "batch_no"), "counts": whole.groupBy(*shard).agg(F.sum("_n").alias("_n"))})
     return step
@@ -256,7 +276,7 @@ def session_carry(time_col: str, gap_us: int, aggs: dict[str, tuple[str, Column]
             F.min("_fl_t").alias("_fl_s"), F.max("_fl_t").alias("_fl_e"), *_agg_exprs(aggs)).drop("_fl_b").withColumn("_fl_old", F.lit(False))
         if opened is not None:
             parts = parts.unionByName(opened.withColumn("_fl_old", F.lit(True)))
-        merged = merge_intervals(parts, keys, gap_us, {**combine, "_fl_old": F.max("_fl_old").alias("_fl_old")})
+        merged = carried.once(merge_intervals(parts, keys, gap_us, {**combine, "_fl_old": F.max("_fl_old").alias("_fl_old")}, carried.once))
         end = F.col("_fl_e") + gap_us
         if late == "merged" and then is not None:
             gone = (end <= then) & ~F.col("_fl_old")
@@ -265,7 +285,7 @@ def session_carry(time_col: str, gap_us: int, aggs: dict[str, tuple[str, Column]
         closed = F.lit(False) if top is None else end <= top - delay_us
         out["sessions"] = session_rows(merged.filter(closed), keys, gap_us, aggs, batch, time_col)
         state = {"open": merged.filter(~closed).drop("_fl_old"),
-                 "clock": batch.sparkSession.createDataFrame([(top,)], "max_t bigint")}
+                 "clock": batch.sparkSession.range(1).select(F.lit(top).cast("bigint").alias("max_t"))}
         return out, state
     return step
 
