@@ -25,6 +25,7 @@ from flowlab.llm.common import map_batches, saved, strings
 from flowlab.llm.ordering import neighbours, range_slices
 from flowlab.llm.url_filter import host_path
 
+_WORDS = 3                         # dropped by class words
 ARTICLE, OPEN, DROPPED = 0, 1, 2   # lines of the article, of undecided places, of places that are no text
 
 _TOKEN = re.compile(
@@ -51,10 +52,19 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 
 
-def _marked(attributes: str, inside: bool) -> bool:
+#: Blocks of running text: here a mark must be a whole class, id or role, not a word of one.
+_TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "td", "th", "tr", "figure", "figcaption",
+                "main", "article"}
+
+
+def _marked(attributes: str, inside: bool, whole: bool = False) -> bool:
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
+        if whole:
+            if set((m[2] or m[3] or m[4] or "").lower().split()) & _MARKS:
+                return True
+            continue
         value = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[2] or m[3] or m[4] or "")
         words = set(re.split(r"[^a-z0-9]+", value.lower()))
         if words & _MARKS or not inside and words & _OUTSIDE_MARKS:
@@ -70,6 +80,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     parts: list[str] = []
     article = 0                 # open article or main elements
     skip, depth = "", 0         # element whose content is no main text, and how often it is open
+    by_words = False            # whether class words alone say so
     header = 0
 
     def flush() -> None:
@@ -77,7 +88,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             line = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if line:
-                out.append((line, DROPPED if skip or header else ARTICLE if article else OPEN))
+                out.append((line, (_WORDS if skip and by_words and not header else DROPPED) if skip or header else ARTICLE if article else OPEN))
 
     at, n = 0, len(page)
     while at < n:
@@ -129,16 +140,24 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             continue
         if name in _VOID:
             continue
-        if name in _BOILERPLATE_TAGS or _marked(attributes, article > 0) and name not in ("body", "html"):
+        if name in ("article", "main"):
+            # the text itself, whatever its classes say; a second one may be a reader's comment
+            marked = any(kind == ARTICLE for _, kind in out) and _marked(attributes, True, whole=True)
+        else:
+            marked = name not in ("body", "html") and _marked(attributes, article > 0, name in _TEXT_BLOCKS)
+        if name in _BOILERPLATE_TAGS or marked:
             if name not in _BLOCK:
                 flush()
-            skip, depth = name, 1
+            skip, depth, by_words = name, 1, name not in _BOILERPLATE_TAGS
         elif name in ("article", "main"):
             article += 1
             header = 0
         elif name == "header" and not article:
             header += 1
     flush()
+    if all(kind in (DROPPED, _WORDS) for _, kind in out):     # class words alone never leave a page empty
+        return [(line, OPEN if kind == _WORDS else kind) for line, kind in out]
+    out = [(line, DROPPED if kind == _WORDS else kind) for line, kind in out]
     if not any(kind == ARTICLE for _, kind in out):
         return out
     return [(line, kind if kind == ARTICLE else DROPPED) for line, kind in out]

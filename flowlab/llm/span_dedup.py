@@ -90,14 +90,21 @@ def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     join back reads two plain shuffles, which AQE splits where one run is hot.
     """
     spans = saved(span_rows(docs, min_words), "spans")
-    repeated = saved(spans.groupBy("h1", "h2")
-                      .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last_one"))
+    shared = saved(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+                   .filter("low <> high").select("doc_id", F.lit(True).alias("shared")), "span-shared-ids")
+    # an occurrence is known by id and position; by its text too where several texts have one id, or none
+    whole = spans.withColumn("shared", F.lit(False)) if shared.isEmpty() else spans.join(shared, "doc_id", "left")
+    several = F.col("doc_id").isNull() | F.coalesce("shared", F.lit(False))
+    spans_of = whole.withColumn("which", F.when(several, F.col("text_key")).otherwise(0)).drop("shared")
+    place = F.struct("doc_id", "which", "start")
+    repeated = saved(spans_of.groupBy("h1", "h2")
+                      .agg(F.min(place).alias("first"), F.max(place).alias("last_one"))
                       .filter("first <> last_one").select("h1", "h2", "first"), "span-firsts")
-    ranges = saved(spans.join(repeated, ["h1", "h2"])
-                    .filter(~F.col("first").eqNullSafe(F.struct("doc_id", "start")))
+    ranges = saved(spans_of.join(repeated, ["h1", "h2"])
+                    .filter(~F.col("first").eqNullSafe(place))
                     .groupBy("doc_id", "text_key")
                     .agg(F.sort_array(F.collect_set(F.struct(F.col("start"), F.col("last")))).alias("ranges")), "span-ranges")
-    release(docs.sparkSession, spans, repeated)
+    release(docs.sparkSession, spans, repeated, shared)
     return ranges
 
 
@@ -109,7 +116,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     one stays empty.  A passage keeps its place in the document with the
     smallest id (null ids come first), at its first position; all other places
     lose every sentence a repeated run covers, also inside one document.  Rows
-    that repeat id and text are one document and are treated alike.  Only the
+    that repeat id and text are one document and are treated alike; of texts
+    that share an id, or have none, the one with the smallest hash comes first.  Only the
     ranges (a document's own sentences at most) meet the texts again, by id
     and text hash.
     """

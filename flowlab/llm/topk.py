@@ -21,14 +21,16 @@ from flowlab.llm.common import saved, ship_package
 BLOCK = 1024           # vectors of a block
 BINS = 1024
 EXACT_DOUBLE = 2 ** 52
-INT64 = 2 ** 62
+INT64 = 2 ** 63
+LARGEST = 2 ** 62 - 1  # scores beyond it, either way, are given as it
 PASSES = 64
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``vec_id, v`` with ``v = floor(scale * x)`` per component; rows whose
     vector (or id) is null, or holds a null or non-finite component, are left
-    out.  An empty vector stays (every score with it is 0)."""
+    out.  An empty vector stays (every score with it is 0).  A component that
+    does not fit 64 bits becomes the nearest value that does."""
     x = F.col("embedding")
     finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != F.lit(float("inf"))))
     return (vectors.filter(F.col("vec_id").isNotNull() & x.isNotNull()).filter(F.coalesce(finite, F.lit(False)))
@@ -60,15 +62,19 @@ def _pack(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Inner products, exact: by doubles while no partial sum can pass their
-    integers, else by 64-bit integers."""
+    integers, else by 64-bit integers, else by Python's; held to ``LARGEST``."""
     width = max(q.shape[1], c.shape[1])
     q, c = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, c))
-    bound = width * int(np.abs(q).max(initial=0)) * int(np.abs(c).max(initial=0))
+    bound = width * _reach(q) * _reach(c)
     if bound < EXACT_DOUBLE:
         return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
     if bound < INT64:
-        return q @ c.T
-    raise OverflowError("inner products of these vectors do not fit a 64-bit integer")
+        return np.clip(q @ c.T, -LARGEST, LARGEST)
+    return np.clip(q.astype(object) @ c.T.astype(object), -LARGEST, LARGEST).astype(np.int64)
+
+
+def _reach(m: np.ndarray) -> int:
+    return max(-int(m.min(initial=0)), int(m.max(initial=0)))
 
 
 def _pairs(queries: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
@@ -101,7 +107,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     its ``k`` highest inner products with rows of ``candidates`` of another id;
     all of them if fewer.  Equal scores go by smaller id.  Repeated candidate
     rows each take a place; repeated queries count once.  Vectors of unequal
-    length are filled with zeros.  Empty tables give no rows.
+    length are filled with zeros.  Empty tables give no rows.  A score beyond
+    ``LARGEST`` (about 4.6e18), either way, is given as ``LARGEST``; among
+    such scores the smaller id goes first.
 
     A block pair gives at most ``k`` histogram bins per query (bins under its
     own k-th best cannot hold the global one) and at most ``k`` rows per query
@@ -116,7 +124,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     def longest(df):
         square = F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))
         return df.agg(F.max(F.sqrt(square))).first()[0] or 0.0
-    bound = int(longest(queries) * longest(candidates) * (1 + 1e-9)) + 2
+    bound = min(int(longest(queries) * longest(candidates) * (1 + 1e-9)) + 2, LARGEST + 1)
     width = -(-(2 * bound + 1) // BINS)
     state = state.withColumns({"lo": F.lit(-bound).cast("bigint"), "hi": F.lit(bound + 1).cast("bigint"),
                                "width": F.lit(width).cast("bigint")})

@@ -114,3 +114,32 @@ def test_vectors_of_edge_rows(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(v.filter("vec_id % 50 = 0"), v, 3).collect())
     assert got == [(50, 1, 7, 0), (50, 2, 8, 0), (50, 3, 8, 0), (100, 1, 7, 5), (100, 2, 8, 5), (100, 3, 8, 5)]
     assert topk.top_k(v.limit(0), v.limit(0), 3).collect() == []
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<main class="site-main has-sidebar"><p>Main text.</p></main>', ["Main text."]),
+    ('<article class="post comment-open"><p>A</p><p class="share-price">B</p><div class="share">c</div><p class="advert">d</p></article>', ["A", "B"]),
+    ('<article><p>A</p></article><section class="comments"><article class="comment">no</article></section>', ["A"]),
+    ('<article><p>A</p></article><article class="comment"><p>no</p></article>', ["A"]),
+    ('<body><div class="search-page"><p>Only text.</p></div><nav>menu</nav></body>', ["Only text."]),
+    ('<div class="ad">x</div><p>y</p>', ["y"])])
+def test_marks_never_take_the_main_text(page, text):
+    assert [t for t, kind in html_extract.page_lines(page) if kind != html_extract.DROPPED] == text
+
+
+def test_large_finite_vectors_are_searched(spark):
+    rows = [(1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [1e9, 1.0]), (4, [2.0 ** 22, 3.0]), (5, [0.5, -1e9]), (6, [1.0, 1.0])]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = topk.top_k(vectors, vectors, k=5).collect()
+    held = {i: [min(max(int(np.floor(256 * x)), -2 ** 63), 2 ** 63 - 1) for x in v] for i, v in rows}
+    for i in held:
+        want = sorted((-min(max(sum(a * b for a, b in zip(held[i], held[j])), -topk.LARGEST), topk.LARGEST), j) for j in held if j != i)
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == i] == [(j, -s) for s, j in want]
+
+
+def test_spans_of_texts_that_share_an_id_or_have_none(spark):
+    rows = [(None, PASSAGE + " A."), (None, PASSAGE + " B."), (7, PASSAGE + " C."), (7, PASSAGE + " D."), (8, "Head. " + PASSAGE)]
+    for part in (rows, rows[2:], rows[:2]):
+        got = span_dedup.remove_repeats(spark.createDataFrame(part, "doc_id bigint, text string")).collect()
+        assert sum(PASSAGE in r.text for r in got) == 1 and len(got) == len(part)
+        assert all(r.doc_id == min((x[0] for x in part), key=lambda d: (d is not None, d or 0)) for r in got if PASSAGE in r.text)
