@@ -12,9 +12,10 @@ if one key holds a third of the data, one task scans a third of the data.
    ``chunks per key`` rows per key, independent of how many rows the key has;
 3. join the carry-in back on ``(key, chunk)`` and combine.
 
-By default ``plan_chunks`` measures the data first (one small job).  When
-no key is hot the plain window is cheaper (one shuffle, no join) and is
-used.  Otherwise only the hot keys are cut into chunks and aggregated into
+By default ``plan_chunks`` measures the data first (one small job, a bounded
+sketch of frequent keys).  When no key is hot the plain window is cheaper
+(one shuffle, no join) and is used.  Otherwise only the hot keys, which meet
+the rows as a small broadcast table, are cut into chunks and aggregated into
 chunk totals; every other key stays one chunk and just probes the small
 carry table.  Key-less scans always split.
 
@@ -32,11 +33,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 KINDS = ("sum", "count", "min", "max", "first")
 AUTO = "auto"
 _CHUNK = "_fl_chunk"
 _KEY = "_fl_key"
+_HOT = "_fl_hot"
+_POINTS = "_fl_points"
+SKETCH_ITEMS, SKETCH_MOST = 10_000, 1_000_000
 _NO_CHUNK = -(2 ** 62)
 
 
@@ -89,17 +94,19 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
                 oversplit: int = 2) -> ScanPlan:
     """Measure the data and decide how to scan.
 
-    One job computes per-key row counts (partial aggregation) and reduces
-    them to one row: rows of the hottest key and total rows.  A key is hot
-    when it holds more than ``skew_factor`` times the rows of an average
-    shuffle partition.  No hot key: plain window.  Otherwise each hot key is
-    cut at quantiles of its own order values, so that its chunks hold about
-    half an average partition each however its rows lie in the order range.
-    There are fewer than ``partitions / skew_factor`` hot keys with fewer than
-    ``oversplit * partitions`` points together (and one more each), which
-    bounds what is fetched.  Cold keys stay in one chunk and skip the chunk
-    totals.  Without keys the whole table is one hot group.  Rows that repeat
-    one order value are not cut apart.
+    One job reads the keys into a sketch of frequent items over their 64-bit
+    hashes, of bounded size and without a shuffle of keys; a single row comes
+    back.  A key is hot when the sketch gives it more than ``skew_factor``
+    times the rows of an average shuffle partition.  The sketch never gives a
+    key too few rows, and at most half an average partition too many, so no
+    hot key is missed and fewer than ``partitions`` are found.  No hot key:
+    plain window.  Otherwise a second job reads the rows of the hot keys only
+    and cuts each at quantiles of its own order values, so that its chunks
+    hold about half an average partition each however its rows lie in the
+    order range.  Fewer than ``oversplit * partitions`` points together (and
+    one more a key) are fetched.  Cold keys stay in one chunk and skip the
+    chunk totals.  Without keys the whole table is one hot group.  Rows that
+    repeat one order value are not cut apart.
     """
     keys = _as_list(keys)
     o = _order_number(df, order)
@@ -109,19 +116,24 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
         if row is None or row["points"] is None:
             return ScanPlan(None)            # empty, or no order value at all
         return ScanPlan(None, None, (tuple(sorted(set(row["points"]))),))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.max("_n").alias("hot"), F.sum("_n").alias("total")).first()
+    # an error of at most 3.5 / items of all rows, which is under half an average partition
+    items = min(SKETCH_MOST, max(SKETCH_ITEMS, 1 << (8 * parts - 1).bit_length()))
+    hashed = df.select(F.xxhash64(*keys).alias("h"))
+    row = hashed.agg(F.count(F.lit(1)).alias("total"), F.expr(f"approx_top_k(h, {min(parts, items // 8)}, {items})").alias("top")).first()
     if row is None or not row["total"]:
         return ScanPlan(None)
     per_part = max(1.0, row["total"] / parts)
     threshold = skew_factor * per_part
-    if row["hot"] <= threshold:
+    hot = {r["item"]: r["count"] for r in row["top"] if r["count"] > threshold}
+    if not hot:
         return ScanPlan(None)
-    # skewed: a second pass cuts the hot keys.  Quantiles for the hottest one,
+    # skewed: a second job cuts the hot keys.  Quantiles for the hottest one,
     # thinned for the others before they are fetched.
-    finest = max(2, oversplit * math.ceil(row["hot"] / per_part))
-    own = F.greatest(F.lit(2), F.lit(oversplit) * F.ceil(F.col("_n") / F.lit(per_part))).cast("int")
-    cut = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), _quantiles(o, finest).alias("_q"))
+    finest = max(2, oversplit * math.ceil(max(hot.values()) / per_part))
+    own = F.least(F.lit(finest), F.greatest(F.lit(2), F.lit(oversplit) * F.ceil(F.col("_n") / F.lit(per_part)))).cast("int")
+    found = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], f"{_HOT} bigint"))   # under ``partitions`` rows
+    cut = (df.join(found, F.xxhash64(*keys) == F.col(_HOT), "left_semi").groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("_n"), _quantiles(o, finest).alias("_q"))
            .filter((F.col("_n") > threshold) & F.col("_q").isNotNull())
            .select(*keys, F.transform(F.sequence(F.lit(1), own - 1), lambda j: F.element_at(
                "_q", F.greatest(F.lit(1), F.floor(j * F.lit(finest) / own).cast("int")))).alias("_q")).collect())
@@ -130,48 +142,43 @@ def plan_chunks(df: DataFrame, keys, order: str, skew_factor: float = 2.0,
     return ScanPlan(None, tuple(tuple(r[k] for k in keys) for r in cut), tuple(tuple(sorted(set(r["_q"]))) for r in cut))
 
 
-def _points_passed(o: Column, points: tuple) -> Column:
-    """How many of the sorted ``points`` are at most ``o``: a binary search
-    over a literal array, so wide plans cost a row only its logarithm."""
-    steps = [1 << i for i in reversed(range(len(points).bit_length()))]
-    table = F.array(*[F.lit(p).cast("bigint") for p in points])
+def _points_passed(o: Column, points: Column, most: int) -> Column:
+    """How many of the sorted ``points``, ``most`` at most, are at most ``o``:
+    a binary search, so wide plans cost a row only its logarithm."""
+    steps = [1 << i for i in reversed(range(max(1, most.bit_length())))]
 
     def step(at: Column, by: Column) -> Column:
         past = at + by
-        return F.when((past <= len(points)) & (F.get(table, past - 1) <= o), past).otherwise(at)
+        return F.when((past <= F.size(points)) & (F.get(points, past - 1) <= o), past).otherwise(at)
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step).cast("bigint")
 
 
-def _chunk_of(o: Column, plan: ScanPlan, keys: list[str]) -> Column:
-    """The chunk of a row; cold keys and null orders (which sort first anyway)
-    have ``_NO_CHUNK``, so the column is never null."""
+def _with_chunks(df: DataFrame, keys: list[str], order: str, plan: ScanPlan) -> DataFrame:
+    """``df`` with the chunk of each row and whether its key is split.  Cold
+    keys and null orders (which sort first anyway) have ``_NO_CHUNK``, so the
+    chunk is never null.  The hot keys and their points meet the rows as a
+    broadcast table; ``plan_chunks`` bounds it."""
+    o = _order_number(df, order)
+    some = bool(keys) and plan.hot is not None
+    if some:
+        points = plan.points or ((),) * len(plan.hot)
+        fields = [StructField(f"{_HOT}_{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+        table = df.sparkSession.createDataFrame([(*h, list(p)) for h, p in zip(plan.hot, points)],
+                                                StructType([*fields, StructField(_POINTS, ArrayType(LongType()))]))
+        same = F.lit(True)
+        for f, k in zip(fields, keys):
+            same = same & F.col(k).eqNullSafe(F.col(f.name))
+        d = df.join(F.broadcast(table), same, "left")
+    elif plan.points is not None:
+        d = df.withColumn(_POINTS, F.lit(list(plan.points[0])).cast("array<bigint>"))
+    else:
+        d = df.withColumn(_POINTS, F.array().cast("array<bigint>"))
     if plan.points is None:
         chunk = F.floor(o / F.lit(plan.width)).cast("bigint")
-        if keys and plan.hot is not None:
-            chunk = F.when(_hot_condition(keys, plan.hot), chunk)
-    elif plan.hot is None:
-        chunk = _points_passed(o, plan.points[0])
     else:
-        chunk = F.lit(None).cast("bigint")
-        for key, points in zip(plan.hot, plan.points):
-            chunk = F.when(_hot_condition(keys, (key,)), _points_passed(o, points)).otherwise(chunk)
-    return F.coalesce(F.when(o.isNotNull(), chunk), F.lit(_NO_CHUNK))
-
-
-def _hot_condition(keys: list[str], hot: tuple) -> Column:
-    if len(keys) == 1:
-        vals = [h[0] for h in hot if h[0] is not None]
-        cond = F.col(keys[0]).isin(vals) if vals else F.lit(False)
-        if any(h[0] is None for h in hot):
-            cond = cond | F.col(keys[0]).isNull()
-        return F.coalesce(cond, F.lit(False))
-    cond = F.lit(False)
-    for h in hot:
-        term = F.lit(True)
-        for k, v in zip(keys, h):
-            term = term & (F.col(k).isNull() if v is None else (F.col(k) == F.lit(v)))
-        cond = cond | F.coalesce(term, F.lit(False))
-    return cond
+        chunk = _points_passed(o, F.col(_POINTS), max(map(len, plan.points)))
+    hot = F.col(_POINTS).isNotNull()
+    return d.select(*df.columns, F.coalesce(F.when(o.isNotNull() & hot, chunk), F.lit(_NO_CHUNK)).alias(_CHUNK), hot.alias(_HOT))
 
 
 def _window_agg(kind: str, e: Column, w) -> Column:
@@ -256,16 +263,16 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
     # with a null key are kept by the join below, and the join reuses the
     # window's partitioning on (key, chunk) instead of shuffling again.
     key = F.struct(*keys) if keys else F.lit(0)
-    hot = _hot_condition(keys, plan.hot) if (keys and plan.hot is not None) else None
-    chunk = _chunk_of(_order_number(df, order), plan, keys)
-    d = df.withColumn(_KEY, key).withColumn(_CHUNK, chunk)
+    some = bool(keys) and plan.hot is not None
+    chunked = _with_chunks(df, keys, order, plan).withColumn(_KEY, key)
+    d = chunked.drop(_HOT)
 
     w_in = Window.partitionBy(_KEY, _CHUNK).orderBy(order) \
         .rowsBetween(Window.unboundedPreceding, frame_end)
     inner = d.select("*", *[_window_agg(k, e, w_in).alias(f"_fl_in_{n}") for n, (k, e) in aggs.items()])
 
     # chunk totals of the split keys only (cold keys have no earlier chunk)
-    totals = (d.filter(hot) if hot is not None else d).groupBy(_KEY, _CHUNK).agg(
+    totals = (chunked.filter(_HOT) if some else d).groupBy(_KEY, _CHUNK).agg(
         *[_chunk_total(k, e, order).alias(f"_fl_t_{n}") for n, (k, e) in aggs.items()])
     w_c = Window.partitionBy(_KEY).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
@@ -273,7 +280,7 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
         F.count(F.lit(1)).over(w_c).alias("_fl_nb"),
         *[_carry(k, F.col(f"_fl_t_{n}"), w_c).alias(f"_fl_c_{n}") for n, (k, _e) in aggs.items()])
 
-    joined = inner.join(carry, on=[_KEY, _CHUNK], how="left" if hot is not None else "inner")
+    joined = inner.join(carry, on=[_KEY, _CHUNK], how="left" if some else "inner")
     nb = F.coalesce(F.col("_fl_nb"), F.lit(0))
     out_cols = [F.col(c) for c in df.columns]
     for n, (k, _e) in aggs.items():

@@ -70,10 +70,12 @@ def rolling_max_by(df, key, order, value, cols=(), prefix="argmax", **kw) -> Dat
     return _arg_extreme(df, key, order, value, list(cols), prefix, largest=True, **kw)
 
 
-def rolling_reduce(df, key, order, sums: dict[str, str], carry=(), **kw) -> DataFrame:
-    """Pairwise reduce with associative combiners: running sums of the
-    given columns (``out_name -> column``), other fields from the first row."""
-    aggs = {out: ("sum", F.col(c)) for out, c in sums.items()}
+def rolling_reduce(df, key, order, reduced: dict[str, str | tuple[str, str]], carry=(), **kw) -> DataFrame:
+    """Pairwise reduce with associative combiners, other fields from the
+    first row.  ``reduced`` maps an output name to a column, which is summed,
+    or to ``(kind, column)`` with one of ``prefix.KINDS`` (sum, count, min,
+    max, first; min and max take structs too)."""
+    aggs = {out: (("sum", F.col(c)) if isinstance(c, str) else (c[0], F.col(c[1]))) for out, c in reduced.items()}
     return running(df, key, order, {**aggs, **_firsts(carry)}, **kw)
 
 

@@ -155,6 +155,12 @@ def q_rolling_reduce(spark, sf):
                           carry=["event_type"]).drop("event_type", "one")
 
 
+def q_rolling_reduce_kinds(spark, sf):
+    """Running minimum, maximum, count and first value by one reduce."""
+    return rolling_reduce(_events(spark, sf).drop("ts"), "user_id", "event_id", {
+        "min_c": ("min", "c"), "max_c": ("max", "c"), "cnt": ("count", "c"), "first_c": ("first", "c")}).drop("event_type")
+
+
 def q_rolling_avg(spark, sf):
     return rolling_avg(_events(spark, sf).drop("ts", "event_type"), "user_id", "event_id", "c", name="avg_c")
 
@@ -181,6 +187,12 @@ def q_sliding_global(spark, sf):
     return sliding(_events(spark, sf), "ts", "4 hours", "2 hours", _wagg())
 
 
+def q_sliding_day_by_minute(spark, sf):
+    """Windows of a day that slide by a minute, by panes."""
+    return sliding(_events(spark, sf), "ts", "24 hours", "1 minute", {
+        **_wagg(), "min_c": ("min", F.col("c")), "max_c": ("max", F.col("c"))}, keys=["event_type"])
+
+
 def q_session_keyed(spark, sf):
     return sessions(_events(spark, sf), "ts", SESSION_GAP_USER_US, _wagg(), keys=["user_id"])
 
@@ -288,11 +300,13 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rolling_argmin": q_rolling_argmin,
     "rolling_argmax": q_rolling_argmax,
     "rolling_reduce": q_rolling_reduce,
+    "rolling_reduce_kinds": q_rolling_reduce_kinds,
     "rolling_avg": q_rolling_avg,
     "final_aggregates": q_final_aggregates,
     "tumbling": q_tumbling,
     "sliding_keyed": q_sliding_keyed,
     "sliding_global": q_sliding_global,
+    "sliding_day_by_minute": q_sliding_day_by_minute,
     "session_keyed": q_session_keyed,
     "session_global": q_session_global,
     "late_report": q_late_report,

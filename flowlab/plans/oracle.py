@@ -57,12 +57,12 @@ SELECT {key_sel}min(ts) AS session_start, make_timestamp(epoch_us(max(ts)) + {ga
 FROM g GROUP BY {key_sel}sid"""
 
 
-def _sliding(size_us: int, slide_us: int, keyed: bool) -> str:
+def _sliding(size_us: int, slide_us: int, keyed: bool, more: str = "") -> str:
     k = size_us // slide_us
     key_sel = "event_type, " if keyed else ""
     return f"""
 SELECT {key_sel}make_timestamp(s) AS window_start, make_timestamp(s + {size_us}) AS window_end,
-       count(*) AS n, CAST(sum(c) AS BIGINT) AS sum_c
+       count(*) AS n, CAST(sum(c) AS BIGINT) AS sum_c{more}
 FROM (SELECT e.*, (floor(epoch_us(ts) / {slide_us})::BIGINT - o.k) * {slide_us} AS s
       FROM {_EV} e, range(0, {k}) o(k))
 GROUP BY {key_sel}s"""
@@ -116,6 +116,9 @@ FROM (SELECT *, max(struct_pack(v := c, t := -event_id, o := event_id, et := eve
     "rolling_reduce": f"""
 SELECT event_id, user_id, c, CAST(sum(c) OVER w AS BIGINT) AS sum_c, count(*) OVER w AS cnt,
        first_value(event_type) OVER w AS first_event_type
+FROM {_EV} WINDOW w AS {_W_USER}""",
+    "rolling_reduce_kinds": f"""
+SELECT event_id, user_id, c, min(c) OVER w AS min_c, max(c) OVER w AS max_c, count(c) OVER w AS cnt, first_value(c) OVER w AS first_c
 FROM {_EV} WINDOW w AS {_W_USER}""",
     "rolling_avg": f"""
 SELECT event_id, user_id, c, CAST(sum(c) OVER w AS DOUBLE) / count(*) OVER w AS avg_c
@@ -132,6 +135,7 @@ FROM {_EV} GROUP BY event_type""",
     "tumbling": _sliding(3_600_000_000, 3_600_000_000, keyed=True),
     "sliding_keyed": _sliding(7_200_000_000, 3_600_000_000, keyed=True),
     "sliding_global": _sliding(14_400_000_000, 7_200_000_000, keyed=False),
+    "sliding_day_by_minute": _sliding(86_400_000_000, 60_000_000, keyed=True, more=", min(c) AS min_c, max(c) AS max_c"),
     "session_keyed": _sessions(6 * 3_600_000_000, keyed=True),
     "session_global": _sessions(5 * 60_000_000, keyed=False),
     "late_report": """

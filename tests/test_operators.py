@@ -304,8 +304,8 @@ def test_streaming_steps_refuse_fractions(spark):
 
 
 def _chunk_sizes(df, keys, plan):
-    from flowlab.operators.prefix import _chunk_of
-    return sorted(r["count"] for r in df.groupBy(*keys, _chunk_of(F.col("o"), plan, keys).alias("chunk")).count().collect())
+    from flowlab.operators.prefix import _CHUNK, _with_chunks
+    return sorted(r["count"] for r in _with_chunks(df, keys, "o", plan).groupBy(*keys, _CHUNK).count().collect())
 
 
 def test_chunks_are_cut_by_rows_not_by_order_range(spark):
@@ -343,3 +343,85 @@ def test_plan_of_null_keys_and_null_orders(spark):
     assert ours.exceptAll(plain).isEmpty()
     assert not plan_chunks(df.limit(0), "k", "o").split
     assert not plan_chunks(df.limit(0), None, "o").split
+
+
+def test_five_hundred_hot_keys_are_planned_quickly(spark):
+    """Their number costs the plan nothing to speak of, and the rows are right."""
+    import time
+    from flowlab.operators.prefix import plan_chunks
+    from flowlab.streaming.runner import scoped_conf
+    hot = spark.range(200_000).select(F.when(F.col("id") % 500 == 7, None).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("o"))
+    df = hot.unionByName(spark.range(50_000).select((F.col("id") + 1_000).alias("k"), F.col("id").alias("o")))
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": "2000"}):
+        plan_chunks(df, "k", "o")           # code generated and compiled before the clock starts
+        begun = time.time()
+        plan = plan_chunks(df, "k", "o")
+        ours = running(df, "k", "o", {"n": ("count", F.lit(1)), "s": ("sum", F.col("o"))}, chunk_width=plan)
+        ours._jdf.queryExecution().executedPlan()
+        assert time.time() - begun < 5
+    assert len(plan.hot) == 500 and (None,) in plan.hot
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": "8"}):
+        plain = running(df, "k", "o", {"n": ("count", F.lit(1)), "s": ("sum", F.col("o"))}, chunk_width=None)
+        assert ours.exceptAll(plain).isEmpty() and plain.exceptAll(ours).isEmpty()
+
+
+@pytest.mark.parametrize("keys", [["a", "b"], ["b"]])
+def test_hot_keys_of_several_columns_and_signed_zeros(spark, keys):
+    """Keys with null parts and a floating zero of either sign stay whole."""
+    from flowlab.operators.prefix import plan_chunks
+    df = spark.range(6_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("x")).alias("a"),
+        F.when(F.col("id") % 4 == 1, F.lit(-0.0)).when(F.col("id") % 4 == 2, F.lit(0.0))
+        .when(F.col("id") % 4 == 3, F.lit(float("nan"))).alias("b"), F.col("id").alias("o"))
+    plan = plan_chunks(df, keys, "o", skew_factor=0.5)
+    assert plan.split
+    ours = running(df, keys, "o", {"n": ("count", F.lit(1))}, chunk_width=plan).select("o", "n")
+    plain = running(df, keys, "o", {"n": ("count", F.lit(1))}, chunk_width=None).select("o", "n")
+    assert ours.exceptAll(plain).isEmpty() and plain.exceptAll(ours).isEmpty()
+
+
+@pytest.mark.parametrize("size,slide,keys", [
+    ("24 hours", "1 hour", ["k"]), ("24 hours", "1 hour", []), ("7 seconds", "3 seconds", ["k"]), ("10 seconds", "4 seconds", []),
+    ("2 minutes", "2 minutes", ["k"]), ("3 seconds", "10 seconds", ["k"]), ("1 hour 30 minutes", "1 minute", ["k"])])
+@pytest.mark.parametrize("ntz", [False, True])
+def test_panes_equal_copied_rows(spark, size, slide, keys, ntz):
+    """Windows by panes have the rows of Spark's own windows: sparse and dense
+    times, times before 1970, nulls in key, time and value, an empty table."""
+    import random
+    from flowlab.operators.windows import sliding_panes
+    rng = random.Random(5)
+    times = [rng.choice([rng.randrange(-200, 200), rng.randrange(0, 300_000), rng.randrange(-10 ** 6, 10 ** 6)]) for _ in range(250)]
+    rows = [(rng.choice(["a", "b", None]), None if i % 50 == 0 else t + rng.choice([0.0, 0.25]), None if rng.random() < 0.3 else rng.randrange(-9, 9))
+            for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "k string, t double, v long").withColumn("ts", F.timestamp_micros((F.col("t") * 1_000_000).cast("long")))
+    if ntz:
+        df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    aggs = {"n": ("count", F.lit(1)), "nv": ("count", F.col("v")), "s": ("sum", F.col("v")), "lo": ("min", F.col("v")), "hi": ("max", F.col("v"))}
+    ours = sliding_panes(df, "ts", size, slide, aggs, keys)
+    by_rows = df.groupBy(*keys, F.window("ts", size, slide).alias("w")) if slide != "10 seconds" else None
+    if by_rows is None:      # Spark's own windows may not slide by more than their size
+        t = F.unix_micros(F.col("ts").cast("timestamp"))
+        start = t - F.pmod(t, F.lit(10_000_000))
+        by_rows = df.filter(t - start < 3_000_000).withColumn("w", F.struct(
+            F.timestamp_micros(start).cast(df.schema["ts"].dataType).alias("start"),
+            F.timestamp_micros(start + 3_000_000).cast(df.schema["ts"].dataType).alias("end"))).groupBy(*keys, "w")
+    copied = by_rows.agg(F.count("*").alias("n"), F.count("v").alias("nv"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")) \
+        .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "nv", "s", "lo", "hi")
+    assert ours.schema["window_start"].dataType == df.schema["ts"].dataType
+    assert sorted(map(tuple, ours.collect()), key=str) == sorted(map(tuple, copied.collect()), key=str)
+    assert sliding_panes(df.limit(0), "ts", size, slide, aggs, keys).isEmpty()
+
+
+def test_intervals_of_no_fixed_length_are_refused():
+    from flowlab.operators.windows import interval_us
+    assert interval_us("1 day 2 seconds") == 86_402_000_000
+    with pytest.raises(ValueError):
+        interval_us("1 month")
+
+
+def test_reduce_takes_every_kind(spark):
+    from flowlab.operators import rolling_reduce
+    df = spark.createDataFrame([("a", 1, 5, "p"), ("a", 2, None, "q"), ("a", 3, 2, "r"), ("b", 4, 7, None)], "k string, o int, v int, w string")
+    out = rolling_reduce(df, "k", "o", {"s": "v", "lo": ("min", "v"), "hi": ("max", "v"), "n": ("count", "v"), "f": ("first", "w")})
+    assert sorted((r.o, r.s, r.lo, r.hi, r.n, r.f) for r in out.collect()) == [
+        (1, 5, 5, 5, 1, "p"), (2, 5, 5, 5, 1, "p"), (3, 7, 2, 5, 2, "p"), (4, 7, 7, 7, 1, None)]
