@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-The words of the corpus are counted; for the frequent ones all substrings of
-bounded length are exploded, an equi-join with the piece table leaves the
+The words of the corpus, cut where no piece can reach over, are counted; for
+the frequent parts all substrings of bounded length are exploded, an equi-join with the piece table leaves the
 lattice's edges, and a fold over each word's edges gives its pieces.  The
 vocabulary is a BPE one, whose segmentation is defined by merges, not by the
 best sum of scores: the fold therefore merges the best adjacent pair of edges
@@ -13,6 +13,7 @@ go through the same merges inside the task, so every text is encoded whole.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ MAX_TABLE = 100_000    # words of the broadcast table
 MAX_CACHED = 100_000   # words a task remembers beside it
 MAX_LETTERS = 40       # code points of a word that may enter it
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_LETTER = r"[^\W\d_²³¹]"    # raised digits are no letters
+_PART = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}*(?:(?!{_LETTER})[^{SPACE}])+|{SPACE}+")
 
 
 def default_model() -> str:
@@ -58,6 +61,20 @@ def piece_table(model: str) -> tuple[dict[str, tuple[int, float]], tuple[int, ..
     return ordinary, tuple(byte_ids), tuple(out)
 
 
+@lru_cache(maxsize=2)
+def part_pattern(model: str) -> re.Pattern:
+    """What a word is cut by.  Where no piece of the vocabulary holds a letter
+    beside another character, no merge can join the two: a word's ids are then
+    those of its letters and of what stands between, and far fewer different
+    parts than words are left.  Otherwise a word is one part."""
+    letter = re.compile(_LETTER)
+    for piece in piece_table(model)[0]:
+        for a, b in zip(piece, piece[1:]):
+            if a != SPACE and bool(letter.match(a)) != bool(letter.match(b)):
+                return _WORD
+    return _PART
+
+
 def split_words(text: str) -> list[str]:
     """The marked words of a text: blanks become marks, one is put in front;
     no piece reaches over the start of a run of marks."""
@@ -67,29 +84,35 @@ def split_words(text: str) -> list[str]:
 def merge_word(word: str, pieces: dict, byte_ids: tuple) -> list[int]:
     """Ids of one word: the best-scored adjacent pair is merged until none is
     a piece, leftmost first; a character that is no piece gives its bytes."""
+    get, none = pieces.get, (0, -math.inf)
     parts = list(word)
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            found = pieces.get(parts[i] + parts[i + 1])
-            if found is not None and (best is None or found[1] > best):
-                best, at = found[1], i
-        if at < 0:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    scores = [get(a + b, none)[1] for a, b in zip(parts, parts[1:])]
+    while scores and (best := max(scores)) > -math.inf:
+        i = scores.index(best)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del scores[i]
+        if i < len(scores):
+            scores[i] = get(parts[i] + parts[i + 1], none)[1]
+        if i:
+            scores[i - 1] = get(parts[i - 1] + parts[i], none)[1]
     out = []
     for p in parts:
-        found = pieces.get(p)
+        found = get(p)
         out += [found[0]] if found is not None else [byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
     return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n`` over all texts; counted inside each task, with at most
-    ``2 * MAX_TABLE`` words and a batch's at a time, before the shuffle."""
+def word_counts(docs: DataFrame, model: str) -> DataFrame:
+    """``word, n`` of the parts of words over all texts; counted inside each
+    task, with at most ``2 * MAX_TABLE`` words and a batch's at a time, before
+    the shuffle."""
     ship_package(docs.sparkSession)
 
-    def rows(c: Counter) -> pa.RecordBatch:
+    def rows(words: Counter) -> pa.RecordBatch:
+        c, pattern = Counter(), part_pattern(model)
+        for w, n in words.items():
+            for part in pattern.findall(w):
+                c[part] += n
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,20 +190,21 @@ def encode(docs: DataFrame, model: str | None = None, limit: int = MAX_TABLE, ca
     """
     spark: SparkSession = docs.sparkSession
     model = model or default_model()
-    frequent = saved(frequent_words(saved(word_counts(docs), "piece-words"), limit), "piece-frequent")
+    frequent = saved(frequent_words(saved(word_counts(docs, model), "piece-words"), limit), "piece-frequent")
     rows = lattice_encode(frequent, model).collect()  # at most ``limit`` words
     known = spark.sparkContext.broadcast({r.word: np.array(r.ids, "<u4").tobytes() for r in rows})
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces, byte_ids, _ = piece_table(model)
-        table, rare, out = known.value, _cache(model), []
+        table, rare, pattern, out = known.value, _cache(model), part_pattern(model), []
         for t in strings(batch, "text"):
             parts = []
             for w in split_words(t):
                 ids = table.get(w) or rare.get(w)
                 if ids is None:
-                    ids = np.array(_merge_cached(w, pieces, byte_ids), "<u4").tobytes()
+                    ids = b"".join([table.get(p) or np.array(_merge_cached(p, pieces, byte_ids), "<u4").tobytes()
+                                    for p in pattern.findall(w)])
                     if len(rare) >= MAX_CACHED:
                         rare.clear()
                     rare[w] = ids

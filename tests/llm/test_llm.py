@@ -193,3 +193,20 @@ def test_schemes_hold_few_signatures_and_many_elements():
         assert s.n1 - s.spare >= k // (s.k2 + 1) + 1 and len(s.subsets) == math.comb(s.n2, s.k2)
         assert s.n1 * len(s.subsets) <= 1.5 * max(jaccard_join.Scheme.LEAST, jaccard_join.Scheme.GROWTH * (k + 1))
         assert (s.n2 - s.k2) / (s.n1 * s.n2) > 0.9 / (k + 1)
+
+
+def test_words_cut_where_no_piece_reaches_over():
+    """The ids of a word's parts, one behind the other, are the library's."""
+    import sentencepiece
+    model = sentencepiece_codec.default_model()
+    pieces, byte_ids, _ = sentencepiece_codec.piece_table(model)
+    pattern = sentencepiece_codec.part_pattern(model)
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    texts = ["One, two.\nThree(four)x2y", "a²b m².c x³", "  two  blanks ", "▁mark", "\n\n\t.", "5 000€ été Größe", "日本a語 жук1жук", "e\u0301e\u0301.", "_a_b__c"]
+    for text in texts:
+        parts = [p for w in sentencepiece_codec.split_words(text) for p in pattern.findall(w)]
+        assert "".join(parts) == "▁" + text.replace(" ", "▁")
+        assert [i for p in parts for i in sentencepiece_codec.merge_word(p, pieces, byte_ids)] == sp.encode(text)
+    for a in pieces:
+        if len(pattern.findall(a)) > 1:       # pieces of the cut vocabulary are never cut but before marks
+            assert "▁" in a[1:]
