@@ -81,6 +81,11 @@ def split_words(text: str) -> list[str]:
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def word_parts(word: str, pattern: re.Pattern) -> list[str]:
+    """The parts of a marked word; one of letters alone is never cut."""
+    return [word] if word.lstrip(SPACE).isalpha() else pattern.findall(word)
+
+
 def merge_word(word: str, pieces: dict, byte_ids: tuple) -> list[int]:
     """Ids of one word: the best-scored adjacent pair is merged until none is
     a piece, leftmost first; a character that is no piece gives its bytes."""
@@ -111,7 +116,7 @@ def word_counts(docs: DataFrame, model: str) -> DataFrame:
     def rows(words: Counter) -> pa.RecordBatch:
         c, pattern = Counter(), part_pattern(model)
         for w, n in words.items():
-            for part in pattern.findall(w):
+            for part in word_parts(w, pattern):
                 c[part] += n
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
 
@@ -204,7 +209,7 @@ def encode(docs: DataFrame, model: str | None = None, limit: int = MAX_TABLE, ca
                 ids = table.get(w) or rare.get(w)
                 if ids is None:
                     ids = b"".join([table.get(p) or np.array(_merge_cached(p, pieces, byte_ids), "<u4").tobytes()
-                                    for p in pattern.findall(w)])
+                                    for p in word_parts(w, pattern)])
                     if len(rare) >= MAX_CACHED:
                         rare.clear()
                     rare[w] = ids

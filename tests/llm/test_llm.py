@@ -202,9 +202,10 @@ def test_words_cut_where_no_piece_reaches_over():
     pieces, byte_ids, _ = sentencepiece_codec.piece_table(model)
     pattern = sentencepiece_codec.part_pattern(model)
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
-    texts = ["One, two.\nThree(four)x2y", "a²b m².c x³", "  two  blanks ", "▁mark", "\n\n\t.", "5 000€ été Größe", "日本a語 жук1жук", "e\u0301e\u0301.", "_a_b__c"]
+    texts = ["One, two.\nThree(four)x2y", "a²b m².c x³", "  two  blanks ", "▁mark", "\n\n\t.", "5 000€ été Größe", "日本a語 жук1жук", "e\u0301e\u0301.", "_a_b__c", "ªº ǅ ʰ ⅷ ½ ٣ ²"]
     for text in texts:
-        parts = [p for w in sentencepiece_codec.split_words(text) for p in pattern.findall(w)]
+        parts = [p for w in sentencepiece_codec.split_words(text) for p in sentencepiece_codec.word_parts(w, pattern)]
+        assert parts == [p for w in sentencepiece_codec.split_words(text) for p in pattern.findall(w)]
         assert "".join(parts) == "▁" + text.replace(" ", "▁")
         assert [i for p in parts for i in sentencepiece_codec.merge_word(p, pieces, byte_ids)] == sp.encode(text)
     for a in pieces:
