@@ -202,13 +202,6 @@ def sketch(h: np.ndarray) -> np.ndarray:
 
 
 _WORDS = [f"w{i}" for i in range(SKETCH)]
-_FOLDED = [f"f{i}" for i in range(SKETCH // 4)]
-
-
-def _folded(i: int):
-    """Word ``i`` of the sketch folded to a quarter of its bits, again a parity sketch."""
-    a, b, c, d = (F.col(f"w{j}") for j in range(i, SKETCH, SKETCH // 4))
-    return a.bitwiseXOR(b).bitwiseXOR(c.bitwiseXOR(d)).alias(f"f{i}")
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -231,14 +224,40 @@ def _side(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in columns])
 
 
-def _may_link(percent: int, words: list[str] = _WORDS):
+def _may_link(percent: int):
     """No sketch and no size rules the pair ``a, b`` out."""
-    first, *rest = (F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in words)
+    first, *rest = (F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WORDS)
     differ = sum(rest, first)
     return ((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
             & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)))
 
 
+def _mixed_buckets(member: DataFrame) -> DataFrame:
+    """``sig, main`` of the buckets of ``member`` (sig, node, own) that hold
+    more than one component ``own``; ``main`` is the largest.  Buckets of the
+    same members would give the same pairs: one of them stands for all.  They
+    are told by their size and four sums over 32-bit hashes of the members."""
+    prints = [f"p{i}" for i in range(4)]
+    hashes = [F.xxhash64("node", F.lit(i)).bitwiseAND(F.lit(2 ** 32 - 1)) for i in range(4)]
+    sizes = member.groupBy("sig", "own").agg(F.count("*").alias("size"), *[F.sum(h).alias(p) for h, p in zip(hashes, prints)])
+    whole = sizes.groupBy("sig").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count("*").alias("parts"),
+                                     F.sum("size").alias("members"), *[F.sum(p).alias(p) for p in prints])
+    return whole.filter("parts > 1").groupBy("main", "members", *prints).agg(F.min("sig").alias("sig")).select("sig", "main")
+
+
+def _meetings(held: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of members of a bucket in different components, one
+    of them open, that sizes and sketches leave possible; ``held`` is ``sig,
+    lead, node, own, open, n`` and the sketch's words."""
+    in_join = ["node", "own", "open", "n", *_WORDS]
+    left = _side(held.filter("open"), "a", ["sig", "lead", *in_join]).withColumnRenamed("a_sig", "sig")
+    right = _side(held, "b", ["sig", *in_join]).withColumnRenamed("b_sig", "sig")
+    untested = (F.col("a") != F.col("a_lead")) & (F.col("b") != F.col("a_lead"))
+    return (left.join(right, "sig")
+            .filter((F.col("a_own") != F.col("b_own")) & untested & (~F.col("b_open") | (F.col("a") < F.col("b"))))
+            .filter(_may_link(percent)).select("a", "b"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold, by exact counts."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -267,10 +286,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     2. Each bucket's members are compared with its smallest member only; most
        of a group of near copies is one component after that.
     3. In every bucket, members outside its largest component are compared
-       with the members of other components.
-    Pairs whose sizes or parity sketches prove too many differences are left
-    out inside that join (by sketches of 256 bits) and before their sets are
-    read (1,024 bits).  No group is collected and no bucket gives
+       with the members of other components.  Of buckets with the same
+       members only one is kept.
+    Pairs whose sizes or parity sketches (1,024 bits) prove too many
+    differences are left out inside that join, before their sets are read.  No group is collected and no bucket gives
     all its pairs; no link between sets of different components is left out.
     """
     spark = docs.sparkSession
@@ -297,21 +316,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     labels = components(links)
     member = saved(buckets.join(labels, "node", "left")
                    .select("sig", "lead", "node", F.coalesce("component", "node").alias("own")), "jac-members")
-    sizes = member.groupBy("sig", "own").agg(F.count("*").alias("size"))
-    mixed = saved(sizes.groupBy("sig").agg(F.max_by("own", F.struct("size", "own")).alias("main"), F.count("*").alias("parts"))
-                  .filter("parts > 1").select("sig", "main"), "jac-mixed")
-    short = sets.select("node", "n", *[_folded(i) for i in range(len(_FOLDED))])
-    held = saved(member.join(mixed, "sig").withColumn("open", F.col("own") != F.col("main")).drop("main").join(short, "node"), "jac-held")
+    mixed = saved(_mixed_buckets(member), "jac-mixed")
+    held = saved(member.join(mixed, "sig").withColumn("open", F.col("own") != F.col("main")).drop("main")
+                 .join(sets.select("node", "n", *_WORDS), "node"), "jac-held")
     release(spark, buckets, member)
-    in_join = ["node", "own", "open", "n", *_FOLDED]
-    left = _side(held.filter("open"), "a", ["sig", "lead", *in_join]).withColumnRenamed("a_sig", "sig")
-    right = _side(held, "b", ["sig", *in_join]).withColumnRenamed("b_sig", "sig")
-    untested = (F.col("a") != F.col("a_lead")) & (F.col("b") != F.col("a_lead"))
-    cross = (left.join(right, "sig")
-             .filter((F.col("a_own") != F.col("b_own")) & untested & (~F.col("b_open") | (F.col("a") < F.col("b"))))
-             .filter(_may_link(percent, _FOLDED)).select("a", "b").distinct())
-    pairs = saved(cross.join(_side(sets, "a", bits), "a").join(_side(sets, "b", bits), "b")
-                  .filter(_may_link(percent)).select("a", "b"), "jac-pairs")
+    pairs = saved(_meetings(held, percent).distinct(), "jac-pairs")
     release(spark, held)
     more = saved(_verified(pairs, sets, percent), "jac-links")
     release(spark, sets, pairs)

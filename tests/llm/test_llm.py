@@ -211,3 +211,25 @@ def test_words_cut_where_no_piece_reaches_over():
     for a in pieces:
         if len(pattern.findall(a)) > 1:       # pieces of the cut vocabulary are never cut but before marks
             assert "▁" in a[1:]
+
+
+def test_buckets_of_the_same_members_meet_once(spark):
+    """A pair that shares many signatures meets in every bucket it shares;
+    buckets of the same members are one."""
+    rows = [(sig, node, 1 if node in (1, 2) else node) for sig, members in
+            [(1, (1, 2, 3)), (2, (1, 2, 3)), (3, (3, 2, 1)), (4, (1, 2)), (5, (2, 3)), (6, (3, 4)), (7, (4, 3))] for node in members]
+    mixed = jaccard_join._mixed_buckets(spark.createDataFrame(rows, "sig bigint, node bigint, own bigint"))
+    assert sorted((r.sig, r.main) for r in mixed.collect()) == [(1, 1), (5, 3), (6, 4)]
+
+
+def test_sets_just_under_the_threshold_do_not_leave_the_join(spark):
+    """124 differences of 800 elements: too many for 80 %, which 256 bits of
+    the sketch do not show; with 40 the pair stays."""
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 2 ** 63, 2000, dtype=np.int64).astype(np.uint64))
+    near = {1: pool[:400], 2: np.sort(np.concatenate([pool[:338], pool[500:562]])), 3: np.sort(np.concatenate([pool[:380], pool[600:620]])),
+            0: pool[1000:1400]}
+    rows = [(7, 0, i, i, i != 0, len(h), *jaccard_join.sketch(h).tolist()) for i, h in near.items()]
+    held = spark.createDataFrame(rows, "sig bigint, lead bigint, node bigint, own bigint, open boolean, n bigint, "
+                                 + ", ".join(f"{w} bigint" for w in jaccard_join._WORDS))
+    assert sorted(map(tuple, jaccard_join._meetings(held, 80).collect())) == [(1, 3)]
