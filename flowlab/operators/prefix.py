@@ -280,6 +280,8 @@ def running(df: DataFrame, keys, order: str, aggs: dict[str, tuple[str, Column]]
         F.count(F.lit(1)).over(w_c).alias("_fl_nb"),
         *[_carry(k, F.col(f"_fl_t_{n}"), w_c).alias(f"_fl_c_{n}") for n, (k, _e) in aggs.items()])
 
+    if some and plan.points is not None:   # a row for each point and hot key, which ``plan_chunks`` bounds
+        carry = F.broadcast(carry)
     joined = inner.join(carry, on=[_KEY, _CHUNK], how="left" if some else "inner")
     nb = F.coalesce(F.col("_fl_nb"), F.lit(0))
     out_cols = [F.col(c) for c in df.columns]
