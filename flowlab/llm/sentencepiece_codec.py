@@ -15,12 +15,16 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,7 @@ SPACE = "▁"
 MAX_TABLE = 100_000    # words of the broadcast table
 MAX_CACHED = 100_000   # words a task remembers beside it
 MAX_LETTERS = 40       # code points of a word that may enter it
+LONG_WORD = 200        # code points beyond which a word's merges go through a heap
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _LETTER = r"[^\W\d_²³¹]"    # raised digits are no letters
 _PART = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}*(?:(?!{_LETTER})[^{SPACE}])+|{SPACE}+")
@@ -81,6 +86,17 @@ def split_words(text: str) -> list[str]:
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def bare_words(text: str) -> list[str]:
+    """The words of ``split_words`` without the mark that each begins with.
+    Most texts have single blanks inside only and are cut at them; others
+    need the runs of marks told apart."""
+    if not text:
+        return []
+    if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+        return [w[1:] for w in split_words(text)]
+    return text.split(" ")
+
+
 def word_parts(word: str, pattern: re.Pattern) -> list[str]:
     """The parts of a marked word; one of letters alone is never cut."""
     return [word] if word.lstrip(SPACE).isalpha() else pattern.findall(word)
@@ -89,22 +105,26 @@ def word_parts(word: str, pattern: re.Pattern) -> list[str]:
 def merge_word(word: str, pieces: dict, byte_ids: tuple) -> list[int]:
     """Ids of one word: the best-scored adjacent pair is merged until none is
     a piece, leftmost first; a character that is no piece gives its bytes."""
-    get, none = pieces.get, (0, -math.inf)
-    parts = list(word)
-    scores = [get(a + b, none)[1] for a, b in zip(parts, parts[1:])]
-    while scores and (best := max(scores)) > -math.inf:
+    out = []
+    for p in merged_parts(word, lambda pair, none: pieces.get(pair, (0, none))[1]):
+        out += merge_word_piece(p, pieces, byte_ids)
+    return out
+
+
+def merged_parts(word: str, score: Callable[[str, float], float]) -> list[str]:
+    """The strings that a word's characters are merged to; ``score`` gives a
+    piece's score, its second argument for what is no piece."""
+    none, parts = -math.inf, list(word)
+    scores = list(map(score, map(add, parts, parts[1:]), repeat(none)))
+    while scores and (best := max(scores)) > none:
         i = scores.index(best)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        parts[i] = joined = parts[i] + parts.pop(i + 1)
         del scores[i]
         if i < len(scores):
-            scores[i] = get(parts[i] + parts[i + 1], none)[1]
+            scores[i] = score(joined + parts[i + 1], none)
         if i:
-            scores[i - 1] = get(parts[i - 1] + parts[i], none)[1]
-    out = []
-    for p in parts:
-        found = get(p)
-        out += [found[0]] if found is not None else [byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
-    return out
+            scores[i - 1] = score(parts[i - 1] + joined, none)
+    return parts
 
 
 def word_counts(docs: DataFrame, model: str) -> DataFrame:
@@ -116,7 +136,7 @@ def word_counts(docs: DataFrame, model: str) -> DataFrame:
     def rows(words: Counter) -> pa.RecordBatch:
         c, pattern = Counter(), part_pattern(model)
         for w, n in words.items():
-            for part in word_parts(w, pattern):
+            for part in word_parts(SPACE + w, pattern):
                 c[part] += n
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
 
@@ -124,7 +144,7 @@ def word_counts(docs: DataFrame, model: str) -> DataFrame:
         c: Counter = Counter()
         for batch in batches:
             for t in strings(batch, "text"):
-                c.update(split_words(t))
+                c.update(bare_words(t))
             if len(c) > 2 * MAX_TABLE:
                 yield rows(c)
                 c.clear()
@@ -201,35 +221,59 @@ def encode(docs: DataFrame, model: str | None = None, limit: int = MAX_TABLE, ca
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pieces, byte_ids, _ = piece_table(model)
-        table, rare, pattern, out = known.value, _cache(model), part_pattern(model), []
-        for t in strings(batch, "text"):
-            parts = []
-            for w in split_words(t):
-                ids = table.get(w) or rare.get(w)
-                if ids is None:
-                    ids = b"".join([table.get(p) or np.array(_merge_cached(p, pieces, byte_ids), "<u4").tobytes()
-                                    for p in word_parts(w, pattern)])
-                    if len(rare) >= MAX_CACHED:
-                        rare.clear()
-                    rare[w] = ids
-                parts.append(ids)
-            out.append(b"".join(parts))
+        ids = _word_ids(model, known).__getitem__
+        out = [b"".join(map(ids, bare_words(t))) for t in strings(batch, "text")]
         return pa.RecordBatch.from_arrays(
             [*[batch.column(c) for c in carry], pa.array([len(b) // 4 for b in out], pa.int64()), pa.array(out, pa.binary())],
             names=[*carry, "n_pieces", "ids"])
     return map_batches(docs.select(*dict.fromkeys([*carry, "text"])), run, ", ".join(fields) + ", n_pieces bigint, ids binary")
 
 
-@lru_cache(maxsize=2)
-def _cache(model: str) -> dict[str, bytes]:
-    return {}
+class WordIds(dict):
+    """Ids (as bytes) by word without its first mark.  Words of the table are
+    there from the start; another is merged when it is first met, and of those
+    at most ``MAX_CACHED`` are remembered."""
+
+    def __init__(self, model: str, table: dict[str, bytes]):
+        self.pieces, self.byte_ids, _ = piece_table(model)
+        self.pattern, self.table = part_pattern(model), table
+        self.scores = {p: s for p, (_, s) in self.pieces.items()}
+        self.packed = {p: struct.pack("<I", i) for p, (i, _) in self.pieces.items()}
+        self._refill()
+
+    def _refill(self) -> None:
+        self.clear()
+        self.update((w[1:], ids) for w, ids in self.table.items() if w.startswith(SPACE))
+        self.most = len(self) + MAX_CACHED
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.most:
+            self._refill()
+        out = b""
+        for part in word_parts(SPACE + word, self.pattern):
+            out += self.table.get(part) or self._merged(part)
+        self[word] = out
+        return out
+
+    def _merged(self, part: str) -> bytes:
+        if len(part) > LONG_WORD:
+            ids = merge_long(part, self.pieces, self.byte_ids)
+            return struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.packed
+        return b"".join([packed[p] if p in packed else self._utf8(p) for p in merged_parts(part, self.scores.get)])
+
+    def _utf8(self, letter: str) -> bytes:
+        return b"".join([struct.pack("<I", self.byte_ids[b]) for b in letter.encode("utf-8", "surrogatepass")])
+
+
+_filled: dict = {}   # of the last broadcast table in this process
 
 
-def _merge_cached(word: str, pieces: dict, byte_ids: tuple) -> list[int]:
-    if len(word) <= 200:
-        return merge_word(word, pieces, byte_ids)
-    return merge_long(word, pieces, byte_ids)
+def _word_ids(model: str, known: Broadcast) -> WordIds:
+    table = known.value
+    if _filled.get("table") is not table or _filled["model"] != model:
+        _filled.update(table=table, model=model, words=WordIds(model, table))
+    return _filled["words"]
 
 
 def merge_long(word: str, pieces: dict, byte_ids: tuple) -> list[int]:

@@ -213,6 +213,23 @@ def test_words_cut_where_no_piece_reaches_over():
             assert "▁" in a[1:]
 
 
+@pytest.mark.parametrize("text", ["", " ", "  ", "a b", " a", "a ", "a  b", "a\nb c,", "a▁b c", "▁", "▁ a", "a   ▁ b  "])
+def test_bare_words_are_the_words_less_a_mark(text):
+    assert ["▁" + w for w in sentencepiece_codec.bare_words(text)] == sentencepiece_codec.split_words(text)
+
+
+def test_forgotten_words_are_merged_again(monkeypatch):
+    import sentencepiece
+    model = sentencepiece_codec.default_model()
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    monkeypatch.setattr(sentencepiece_codec, "MAX_CACHED", 2)
+    frequent = {"▁the": np.array(sp.encode("the"), "<u4").tobytes()}
+    words = sentencepiece_codec.WordIds(model, frequent)
+    for w in "the quick, brown the (fox) quick, the 12 dögs 😀 quick,".split():
+        assert np.frombuffer(words[w], "<u4").tolist() == sp.encode(w)
+        assert "the" in words and len(words) <= 3
+
+
 def test_buckets_of_the_same_members_meet_once(spark):
     """A pair that shares many signatures meets in every bucket it shares;
     buckets of the same members are one."""
