@@ -171,53 +171,59 @@ def signatures(h: np.ndarray, bands: Bands) -> np.ndarray:
     return (np.concatenate(out) >> _U(64 - SIG_BITS)).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
+def sketch(h: np.ndarray, bits: int = 64 * SKETCH) -> np.ndarray:
+    """One bit per hash bucket (``bits``, a power of two): the parity of the
+    elements in it.  Two sets differ in at least as many elements as their
+    sketches differ in bits.  A half of as many bits is the other half's XOR."""
+    with np.errstate(over="ignore"):
+        place = (_mix(h + _U(99)) & _U(bits - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def wide_sketch(h: np.ndarray) -> bytes | None:
+    """The sketch of at least as many bits as elements, of a set too large for
+    ``SKETCH`` words."""
+    return sketch(h, 1 << (len(h) - 1).bit_length()).tobytes() if len(h) > 64 * SKETCH else None
+
+
+_WORDS = [f"w{i}" for i in range(SKETCH)]
+
+
 def _features(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bands, n, f1, f2, sigs = bands_of(percent), [], [], [], []
+        bands, n, f1, f2, short, wide, sigs = bands_of(percent), [], [], [], [], [], []
         with np.errstate(over="ignore"):
             for text in strings(batch, "text"):
                 h = shingles(text, words)
                 n.append(len(h))
                 f1.append(int(_mix(h + _U(1)).sum(dtype=_U).astype(np.int64)))
                 f2.append(int(_mix(h + _U(2)).sum(dtype=_U).astype(np.int64)))
+                short.append(sketch(h))
+                wide.append(wide_sketch(h))
                 sigs.append(signatures(h, bands))
+        short = np.array(short, np.int64).reshape(-1, SKETCH)
         values, at = np.concatenate([*sigs, np.zeros(0, np.int64)]), np.cumsum([0, *map(len, sigs)])
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("row"), batch.column("text_key"), pa.array(n, pa.int64()),
-             pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
+             pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), *[pa.array(short[:, i]) for i in range(SKETCH)], pa.array(wide, pa.binary()),
              pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))],
-            names=["doc_id", "row", "text_key", "n", "f1", "f2", "sigs"])
+            names=["doc_id", "row", "text_key", "n", "f1", "f2", *_WORDS, "wide", "sigs"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_key"), "text")
-    return map_batches(rows, run, f"doc_id {id_type}, row bigint, text_key bigint, n bigint, f1 bigint, f2 bigint, sigs array<bigint>")
-
-
-def sketch(h: np.ndarray) -> np.ndarray:
-    """One bit per hash bucket: the parity of the elements in it.  Two sets
-    differ in at least as many elements as their sketches differ in bits."""
-    with np.errstate(over="ignore"):
-        place = (_mix(h + _U(99)) % _U(64 * SKETCH)).astype(np.int64)
-    odd = (np.bincount(place, minlength=64 * SKETCH) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
-
-
-_WORDS = [f"w{i}" for i in range(SKETCH)]
+    return map_batches(rows, run, f"doc_id {id_type}, row bigint, text_key bigint, n bigint, f1 bigint, f2 bigint, "
+                       + ", ".join(f"{w} bigint" for w in _WORDS) + ", wide binary, sigs array<bigint>")
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``node, n, h`` (hashes as bytes) and the sketch's words for ``nodes``
-    (node, n, doc_id, text_key)."""
+    """``node, h`` (hashes as bytes) for ``nodes`` (node, doc_id, text_key)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t, words) for t in strings(batch, "text")]
-        bits = np.array([sketch(h) for h in sets], np.int64).reshape(-1, SKETCH)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("n"), pa.array([h.tobytes() for h in sets], pa.binary()),
-             *[pa.array(bits[:, i]) for i in range(SKETCH)]], names=["node", "n", "h", *_WORDS])
+        sets = [shingles(t, words).tobytes() for t in strings(batch, "text")]
+        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "h"])
     keyed = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key"), "text")
     on = F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key"))
     # rows that repeat id and text give the same set
-    return map_batches(keyed.join(nodes, on).select("node", "n", "text"), run,
-                       "node bigint, n bigint, h binary, " + ", ".join(f"{w} bigint" for w in _WORDS)).dropDuplicates(["node"])
+    return map_batches(keyed.join(nodes, on).select("node", "text"), run, "node bigint, h binary").dropDuplicates(["node"])
 
 
 def _side(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
@@ -258,8 +264,34 @@ def _meetings(held: DataFrame, percent: int) -> DataFrame:
             .filter(_may_link(percent)).select("a", "b"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the threshold, by exact counts."""
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    while len(bits) > size:
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return bits
+
+
+def _not_told_apart(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that wide sketches (of two large sets) leave possible."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y, n in zip(*(batch.column(c).to_pylist() for c in ("a_wide", "b_wide", "n"))):
+            if x is not None and y is not None:
+                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+                size = min(len(x), len(y))
+                differ = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum())
+                keep.append(differ * (100 + percent) <= n * (100 - percent))
+            else:
+                keep.append(True)
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    large = bits.filter("wide is not null")
+    whole = (pairs.join(_side(large, "a", ["node", "n", "wide"]), "a", "left")
+             .join(_side(large, "b", ["node", "n", "wide"]), "b", "left"))
+    return map_batches(whole.select("a", "b", "a_wide", "b_wide", (F.col("a_n") + F.col("b_n")).alias("n")), run, "a bigint, b bigint")
+
+
+def _verified(docs: DataFrame, known: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sets reach the threshold, by exact counts.  Only
+    the sets of these pairs are built; ``known`` is ``node, doc_id, text_key``."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
         for x, y in zip(batch.column("a_h").to_pylist(), batch.column("b_h").to_pylist()):
@@ -267,8 +299,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             common = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * common >= percent * (len(x) + len(y) - common))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = saved(_shingle_sets(docs, known.join(ends, "node"), words), "jac-sets")
     whole = pairs.join(_side(sets, "a", ["node", "h"]), "a").join(_side(sets, "b", ["node", "h"]), "b")
-    return map_batches(whole.select("a", "b", "a_h", "b_h"), run, "a bigint, b bigint")
+    links = saved(map_batches(whole.select("a", "b", "a_h", "b_h"), run, "a bigint, b bigint"), "jac-links")
+    release(docs.sparkSession, sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -289,41 +325,46 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
        with the members of other components.  Of buckets with the same
        members only one is kept.
     Pairs whose sizes or parity sketches (1,024 bits) prove too many
-    differences are left out inside that join, before their sets are read.  No group is collected and no bucket gives
-    all its pairs; no link between sets of different components is left out.
+    differences are left out inside that join, those of larger sets by wider
+    sketches after it.  Sets are built for the other pairs only, anew from the
+    texts.  No group is collected and no bucket gives all its pairs; no link
+    between sets of different components is left out.
     """
     spark = docs.sparkSession
-    features = saved(_features(docs, words, percent), "jac-features")
+    features = saved(_features(docs, words, percent), "jac-features", "zstd")
     nodes = saved(features.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("row").alias("node")), "jac-nodes")
-    kept = saved(features.select("row", "sigs").join(nodes.select(F.col("node").alias("row")), "row"), "jac-sigs")
-    rows = saved(features.drop("sigs"), "jac-rows")
+    own = ["n", *_WORDS, "wide"]
+    kept = saved(features.select("row", *own, "sigs").join(nodes.select(F.col("node").alias("row")), "row"), "jac-sigs", "zstd")
+    rows = saved(features.select("doc_id", "row", "text_key", "n", "f1", "f2"), "jac-rows")
     release(spark, features)
     sigs = kept.select(F.explode("sigs").alias("sig"), F.col("row").alias("node"))
     shared = saved(sigs.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
                    .filter("lead <> last").select("sig", "lead"), "jac-shared")
     buckets = saved(sigs.join(shared, "sig"), "jac-buckets")
+    bits = saved(kept.select(F.col("row").alias("node"), *own), "jac-bits")
     release(spark, kept, shared)
 
-    known = rows.select(F.col("row").alias("node"), "n", "doc_id", "text_key")
-    sets = saved(_shingle_sets(docs, known.join(buckets.select("node").distinct(), "node"), words), "jac-sets")
-    bits = ["node", "n", *_WORDS]
+    known = rows.select(F.col("row").alias("node"), "doc_id", "text_key")
+    short = ["node", "n", *_WORDS]
     first = buckets.filter(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    first = saved(first.join(_side(sets, "a", bits), "a").join(_side(sets, "b", bits), "b")
-                  .filter(_may_link(percent)).select("a", "b"), "jac-pairs")
-    links = saved(_verified(first, sets, percent), "jac-links")
-    release(spark, first)
+    met = saved(first.join(_side(bits, "a", short), "a").join(_side(bits, "b", short), "b")
+                .filter(_may_link(percent)).select("a", "b"), "jac-met")
+    pairs = saved(_not_told_apart(met, bits, percent), "jac-pairs")
+    links = _verified(docs, known, pairs, words, percent)
+    release(spark, met, pairs)
 
     labels = components(links)
     member = saved(buckets.join(labels, "node", "left")
                    .select("sig", "lead", "node", F.coalesce("component", "node").alias("own")), "jac-members")
     mixed = saved(_mixed_buckets(member), "jac-mixed")
     held = saved(member.join(mixed, "sig").withColumn("open", F.col("own") != F.col("main")).drop("main")
-                 .join(sets.select("node", "n", *_WORDS), "node"), "jac-held")
+                 .join(bits.select(*short), "node"), "jac-held")
     release(spark, buckets, member)
-    pairs = saved(_meetings(held, percent).distinct(), "jac-pairs")
+    met = saved(_meetings(held, percent).distinct(), "jac-met")
     release(spark, held)
-    more = saved(_verified(pairs, sets, percent), "jac-links")
-    release(spark, sets, pairs)
+    pairs = saved(_not_told_apart(met, bits, percent), "jac-pairs")
+    more = _verified(docs, known, pairs, words, percent)
+    release(spark, bits, met, pairs)
     labels = saved(components(links.unionByName(more)), "jac-labels")
 
     of_node = nodes.join(labels, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("part"))
