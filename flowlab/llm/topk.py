@@ -9,6 +9,7 @@ The last pass keeps the scores at or above it; ties go to the smaller id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import saved, ship_package
+from flowlab.llm.common import partitions, saved, ship_package
 
 BLOCK = 1024           # vectors of a block
 BINS = 1024
@@ -40,7 +41,8 @@ def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
 def _pack(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Rows packed to blocks: ids, vectors as one matrix (shorter vectors are
-    filled with zeros) and the extra columns, all as bytes."""
+    filled with zeros) of the smallest integers that hold it and the extra
+    columns, all as bytes."""
     ship_package(rows.sparkSession)
     names = ["vec_id", *extra]
 
@@ -55,11 +57,20 @@ def _pack(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
                     m[i, :len(v)] = v
                 cols = [part.column(c).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() for c in names]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], t) for x, t in [*zip(cols, [pa.binary()] * len(cols)), (m.tobytes(), pa.binary()),
+                    [pa.array([x], t) for x, t in [*zip(cols, [pa.binary()] * len(cols)), (_narrow(m).tobytes(), pa.binary()),
                                                    (width, pa.int32())]], names=[*names, "m", "width"])
     return rows.select(*names, "v").mapInArrow(run, ", ".join(f"{c} binary" for c in names) + ", m binary, width int")
 
 
+def _narrow(m: np.ndarray) -> np.ndarray:
+    kinds = (np.int8, np.int16, np.int32)
+    return next((m.astype(t) for t in kinds if np.iinfo(t).min <= m.min() and m.max() <= np.iinfo(t).max), m)
+
+
+def _matrix(m: bytes, rows: int, width: int) -> np.ndarray:
+    return np.frombuffer(m, f"i{len(m) // (rows * width)}").astype(np.int64).reshape(rows, width)
+
+
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Inner products, exact: by doubles while no partial sum can pass their
     integers, else by 64-bit integers, else by Python's; held to ``LARGEST``."""
@@ -77,15 +88,27 @@ def _reach(m: np.ndarray) -> int:
     return max(-int(m.min(initial=0)), int(m.max(initial=0)))
 
 
-def _pairs(queries: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
-    """Each block of queries with each block of candidates: query blocks are
-    copied to every group, a hash join on the group brings them together.  The
-    query set is the stated one, a fixed fraction of the rows."""
-    left = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns],
-                          F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    right = candidates.select(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"),
-                              *[F.col(c).alias(f"c_{c}") for c in candidates.columns])
-    return left.join(right, "g").drop("g")
+def _grid(candidates: int, queries: int, cells: int) -> tuple[int, int]:
+    """Groups of candidate and of query blocks: about ``cells`` pairs of groups
+    at the least number of copies (a block has one for each group of the other
+    side)."""
+    cells = min(cells, candidates * queries)
+    groups = min(candidates, max(1, round(sqrt(cells * candidates / queries))))
+    return groups, min(queries, ceil(cells / groups))
+
+
+def _pairs(queries: DataFrame, candidates: DataFrame, grid: tuple[int, int]) -> DataFrame:
+    """Each block of queries with each block of candidates: either side's
+    blocks fall into groups and are copied to every group of the other, a join
+    on both groups brings them together.  It is a merge join: Spark takes the
+    copies for as small as the table that they are made of, and would send
+    them through the driver."""
+    def dealt(df: DataFrame, side: str, own: str, groups: int, other: str, copies: int) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns],
+                         F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias(own),
+                         F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other))
+    left, right = dealt(queries, "q", "h", grid[1], "g", grid[0]), dealt(candidates, "c", "g", grid[0], "h", grid[1])
+    return left.hint("merge").join(right, ["g", "h"]).drop("g", "h")
 
 
 def _each_pair(pairs: DataFrame, fn, schema: str) -> DataFrame:
@@ -93,8 +116,8 @@ def _each_pair(pairs: DataFrame, fn, schema: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                arr = {k: np.frombuffer(v, np.int64) for k, v in row.items() if isinstance(v, bytes)}
-                s = _scores(arr["q_m"].reshape(-1, row["q_width"]), arr["c_m"].reshape(-1, row["c_width"]))
+                arr = {k: np.frombuffer(v, np.int64) for k, v in row.items() if isinstance(v, bytes) and k not in ("q_m", "c_m")}
+                s = _scores(*(_matrix(row[f"{x}_m"], len(arr[f"{x}_vec_id"]), row[f"{x}_width"]) for x in "qc"))
                 out = fn(arr, s, arr["q_vec_id"][:, None] != arr["c_vec_id"][None, :])
                 if out is not None and len(out[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out],
@@ -116,9 +139,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     and tie, so hot vectors add no rows; nothing else is kept.
     """
     cand = saved(_pack(candidates), "topk-candidates")
-    groups = max(1, cand.count())
     state = saved(queries.groupBy("vec_id").agg(F.first("v").alias("v"))
                   .withColumns({"need": F.lit(k).cast("bigint"), "open": F.lit(1).cast("bigint")}), "topk-queries")
+    grid = _grid(max(1, cand.count()), max(1, ceil(state.count() / BLOCK)), 2 * partitions(cand.sparkSession))
 
     # the first bins span the scores that the vectors' lengths allow
     def longest(df):
@@ -143,7 +166,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
 
     for _ in range(PASSES):
         packed = _pack(state.filter("open = 1").withColumnRenamed("width", "width_"), ("lo", "hi", "width_", "need"))
-        counts = (_each_pair(_pairs(packed, cand, groups), histogram, "vec_id bigint, bin bigint, n bigint")
+        counts = (_each_pair(_pairs(packed, cand, grid), histogram, "vec_id bigint, bin bigint, n bigint")
                   .groupBy("vec_id", "bin").agg(F.sum("n").alias("n")))
         down = W.partitionBy("vec_id").orderBy(F.col("bin").desc())
         before = F.coalesce(F.sum("n").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -182,7 +205,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
             scores.append(s[i, at])
         return (np.concatenate(ids), np.concatenate(found), np.concatenate(scores)) if ids else None
 
-    rows = _each_pair(_pairs(_pack(state, ("lo",)), cand, groups), finalists, "query_id bigint, vec_id bigint, score bigint")
+    rows = _each_pair(_pairs(_pack(state, ("lo",)), cand, grid), finalists, "query_id bigint, vec_id bigint, score bigint")
     order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
